@@ -75,3 +75,8 @@ def kept(key: str, build: Callable):
         _KEPT.clear()
         _KEPT[key] = build()
     return _KEPT[key]
+
+
+def long_batches(spark: SparkSession, rows: int = 65_536) -> None:
+    """For tables of a few numbers a row."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
