@@ -2,7 +2,7 @@
 
 Learning (training labels only):
 1. a bounded sample of TRAIN_DOCS labelled documents, in the order of a digest of their ids; near copies among them
-   (the same bottom hash over their words) count once, so one text copied a thousand times teaches one document;
+   (the same bottom hash over their word trigrams) count once, so one text copied a thousand times teaches one document;
 2. document frequencies of words and word prefixes in either class, and their log-odds with a Dirichlet prior whose
    mean is the feature's frequency in both classes together; features with a small effect or a small z-score go;
 3. the background of clean documents gives the extreme-value parameters: lambda solves E[exp(lambda * s)] = 1 over
@@ -38,8 +38,8 @@ from baitline.llm.common import OnBatches, checkpointed, kept, short_batches, te
 from baitline.llm.tokens import Words
 
 TRAIN_DOCS = 12_000
-PRIOR = 10.0  # documents' worth of prior
-LEAST_EFFECT, LEAST_Z = 0.7, 2.5
+PRIOR = 0.05  # mass of the Dirichlet prior, in training documents as a share of all of them
+LEAST_EFFECT, LEAST_Z = 2.5, 2.2
 DRIFT = 0.1
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
@@ -59,10 +59,11 @@ def features_of(words: list[str]) -> set[str]:
 def log_odds(toxic: float, clean: float, n_toxic: float, n_clean: float) -> tuple[float, float]:
     """(log-odds, z-score) of a feature that toxic of n_toxic and clean of n_clean documents hold."""
     both = (toxic + clean) / (n_toxic + n_clean)
-    prior = PRIOR * both
+    mass = PRIOR * (n_toxic + n_clean)
+    prior = mass * both
     if prior <= 0:
         return 0.0, 0.0
-    odds = lambda y, n: math.log((y + prior) / (n + PRIOR - y - prior))
+    odds = lambda y, n: math.log((y + prior) / (n + mass - y - prior))
     delta = odds(toxic, n_toxic) - odds(clean, n_clean) if both < 1 else 0.0
     return delta, delta / math.sqrt(1 / (toxic + prior) + 1 / (clean + prior))
 
@@ -144,7 +145,7 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, found = [], []
         for text in batch.column(0).to_pylist():
             words = words_of(text)
-            sketch.append(min((crc32(w.encode()) for w in set(words)), default=0) << 12 | min(len(words).bit_length(), 4095))
+            sketch.append(min((crc32(" ".join(w).encode()) for w in zip(words, words[1:], words[2:])), default=crc32(" ".join(words).encode())))
             found.append(words)
         yield pa.RecordBatch.from_arrays([pa.array(sketch, pa.int64()), batch.column(1), pa.array(found, pa.list_(pa.string())), batch.column(2)], names=["sketch", "toxic", "words", "doc_id"])
 
@@ -158,7 +159,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([a for a, _ in counts.values()], pa.int64()), pa.array([b for _, b in counts.values()], pa.int64())], names=["feature", "t", "c"])
 
 
-def _honest(batches: Iterator[pa.RecordBatch], model: Model, with_curve: bool) -> Iterator[pa.RecordBatch]:
+def _honest(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Per training document: label, tokens, largest raw segment, evidence, and a histogram of its token scores."""
     for batch in batches:
         rows = []
@@ -213,12 +214,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return model
     counted = train.mapInArrow(_features, "feature string, t long, c long").groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     t, c = F.col("t"), F.col("c")
-    prior = F.lit(PRIOR) * (t + c) / F.lit(model.n_toxic + model.n_clean)
-    odds = lambda y, n: F.log((y + prior) / (F.lit(n + PRIOR) - y - prior))
+    mass = PRIOR * (model.n_toxic + model.n_clean)
+    prior = F.lit(PRIOR) * (t + c)
+    odds = lambda y, n: F.log((y + prior) / (F.lit(n + mass) - y - prior))
     delta = odds(t, model.n_toxic) - odds(c, model.n_clean)
     strong = counted.where((t + c < model.n_toxic + model.n_clean) & (F.abs(delta) >= LEAST_EFFECT) & (F.abs(delta) / F.sqrt(1 / (t + prior) + 1 / (c + prior)) >= LEAST_Z))
     model.counts = {r.feature: (float(r.t), float(r.c)) for r in strong.toLocalIterator()}
-    honest = lambda: train.mapInArrow(OnBatches(_honest, model, True), "toxic int, n long, best double, a double, b double, c double, mgf array<double>").toPandas()
+    honest = lambda: train.mapInArrow(OnBatches(_honest, model), "toxic int, n long, best double, a double, b double, c double, mgf array<double>").toPandas()
     found = honest()
     clean = found[(found.toxic == 0) & (found.n > 0)]
     if len(clean):
