@@ -52,9 +52,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "group_size",
         )
     )
-    found = rows.select("doc_id", F.unhex("sha").alias("digest")).join(classes, "digest")
-    first = Window.partitionBy("digest", "doc_id").orderBy("keep_id")
-    return found.withColumn("nth", F.row_number().over(first)).select(
+    nth = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy(F.lit(0)))  # before the join, which then has its own exchange
+    found = rows.select("doc_id", F.unhex("sha").alias("digest")).withColumn("nth", nth).join(classes, "digest")
+    return found.select(
         "doc_id",
         "keep_id",
         "group_size",
