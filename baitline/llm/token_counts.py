@@ -37,7 +37,7 @@ def frequent_table(docs: DataFrame, path: str, text_col: str = "text", entries:
     """Numbers of tokens of the pre-tokens that are frequent in the first sample_docs documents met."""
     splitter = tokens.Splitter(path, tokens.BYTE_PATTERN, lower=False)
     seen: Counter[str] = Counter()
-    for row in docs.select(text_or_empty(text_col).alias("t")).limit(sample_docs).toLocalIterator():
+    for row in docs.select(text_or_empty(text_col).alias("t")).take(sample_docs):
         if splitter.safe(row.t):
             for special, part in splitter.pieces(row.t):
                 if not special:
