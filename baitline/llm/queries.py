@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from baitline.llm import bpe, exact_dedup, mixing, simhash, token_counts, toxicity
+from baitline.llm import ann, bpe, exact_dedup, mixing, simhash, token_counts, toxicity
 from baitline.llm.common import table
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
