@@ -30,7 +30,7 @@ TABLE_CHARS = 32
 
 
 def count_one(path: str, word: str) -> int:
-    return len(tokens.load(path).encode(word, add_special_tokens=False).ids)
+    return len(tokens.merged(path, word))
 
 
 def frequent_table(docs: DataFrame, path: str, text_col: str = "text", entries: int = TABLE_ENTRIES, sample_docs: int = SAMPLE_DOCS) -> dict[str, int]:
@@ -56,7 +56,7 @@ class Counts:
 
     def __call__(self, text: str) -> int:
         if not self.splitter.safe(text):
-            return count_one(self.path, text)
+            return len(tokens.load(self.path).encode(text, add_special_tokens=False).ids)
         return sum(1 if special else sum(map(self.words.__getitem__, self.splitter.words(part))) for special, part in self.splitter.pieces(text))
 
 

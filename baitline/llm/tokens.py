@@ -105,8 +105,16 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=4096)
+@lru_cache(maxsize=1)
+def _latin_table() -> dict[int, str]:
+    return dict(_byte_alphabet())
+
+
 def byte_chars(word: str) -> str:
     """A pre-token as the byte-level alphabet writes it."""
-    alphabet = _byte_alphabet()
-    return "".join(alphabet[b] for b in word.encode("utf-8"))
+    return word.encode("utf-8").decode("latin-1").translate(_latin_table())
+
+
+def merged(path: str, word: str) -> list:
+    """The library's tokens of one (normalised) pre-token: its BPE model alone, without splitting."""
+    return load(path).model.tokenize(byte_chars(word))
