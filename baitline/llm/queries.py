@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from baitline.llm import ann, bpe, exact_dedup, html_text, mixing, simhash, token_counts, toxicity
+from baitline.llm import ann, bpe, exact_dedup, html_text, mixing, repeats, simhash, token_counts, toxicity
 from baitline.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op2_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
