@@ -49,9 +49,9 @@ def shingles(text: str, k: int) -> list[bytes]:
     return [joined[a:b] for a, b in zip([0, *ends[:-k].tolist()], stops)]
 
 
-def fingerprint(text: str, k: int = SHINGLE) -> int:
+def fingerprint(text: str, k: int = SHINGLE, seed: int = SEED) -> int:
     """A bit is set if it is set in over half the shingles' XXH64."""
-    hashes = [xxh64_intdigest(s, SEED) for s in shingles(text, k)]
+    hashes = [xxh64_intdigest(s, seed) for s in shingles(text, k)]
     if not hashes:
         return 0
     bits = np.unpackbits(np.array(hashes, ">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
@@ -64,6 +64,13 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
 
+def _two_fingerprints(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column(2).to_pylist()
+        found = [np.array([fingerprint(t, k, seed) for t in texts], np.uint64).view(np.int64) for seed in (SEED, SEED + 1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, found)], names=["doc_id", "text_key", "fp", "fp2"])
+
+
 def group_bounds(groups: int) -> list[tuple[int, int]]:
     """Segments [from, to) of each group."""
     cuts = [round(SEGMENTS * i / groups) for i in range(groups + 1)]
@@ -71,90 +78,109 @@ def group_bounds(groups: int) -> list[tuple[int, int]]:
 
 
 def cells_of(points: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
-    """(cell, fingerprint) rows: for each group the cells of the grid points within 1."""
+    """(cell, number of the point) rows: for each group the cells of the grid points within 1."""
     counts = [np.bitwise_count((points >> np.uint64(2 * s)) & np.uint64(3)).astype(np.int64) for s in range(SEGMENTS)]
+    every = np.arange(len(points))
     cells, owners = [], []
     for g, (low, high) in enumerate(group_bounds(groups)):
         home = np.full(len(points), g << 56, np.int64)
         for s in range(low, high):
             home += counts[s] * 3 ** (s - low)
         cells.append(home)
-        owners.append(points)
+        owners.append(every)
         for s in range(low, high):
             for step, fits in ((-1, counts[s] > 0), (1, counts[s] < 2)):
                 cells.append(home[fits] + step * 3 ** (s - low))
-                owners.append(points[fits])
+                owners.append(every[fits])
     return np.concatenate(cells), np.concatenate(owners)
 
 
 def _cells(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
+    """Rows of (fp, more columns) become rows of (cell, fp, more columns)."""
     for batch in batches:
         points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
         for at in range(0, len(points), 4096):
             cells, owners = cells_of(points[at : at + 4096], groups)
-            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(owners.view(np.int64))], names=["cell", "fp"])
+            rows = pa.array(owners + at)
+            yield pa.RecordBatch.from_arrays([pa.array(cells), *(c.take(rows) for c in batch.columns)], names=["cell", *batch.schema.names])
+
+
+class Near:
+    """Whether points are linked: rows of (fp) or of (fp, fp2) as uint64."""
 
+    def __init__(self, distance: int, total: int | None = None):
+        self.distance, self.total = distance, total
 
-def forest(points: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links that join each component of points (distinct fingerprints), found from pivots."""
+    def __call__(self, rows: np.ndarray, row: np.ndarray) -> np.ndarray:
+        first = np.bitwise_count(rows[:, 0] ^ row[..., 0])
+        near = first <= self.distance
+        if self.total is not None:
+            near &= first.astype(np.int64) + np.bitwise_count(rows[:, 1] ^ row[..., 1]) <= self.total
+        return near
+
+
+def forest(points: np.ndarray, near: Near) -> list[tuple[int, int]]:
+    """Numbers of linked rows that join each component of points (distinct rows), found from pivots."""
     links = []
-    rest = points
+    rest = np.arange(len(points))
     while len(rest):
         queue, rest = [rest[0]], rest[1:]
         while queue and len(rest):
             pivot = queue.pop()
-            near = np.bitwise_count(rest ^ pivot) <= distance
-            if near.any():
-                found = rest[near]
-                rest = rest[~near]
+            hit = near(points[rest], points[pivot])
+            if hit.any():
+                found = rest[hit]
+                rest = rest[~hit]
                 links.extend((int(pivot), int(x)) for x in found)
                 queue.extend(found)
     return links
 
 
-def links_of(cells: np.ndarray, points: np.ndarray, distance: int) -> np.ndarray:
-    """Forest links of rows sorted by (cell, point), each cell whole."""
+def links_of(cells: np.ndarray, points: np.ndarray, nodes: np.ndarray, near: Near) -> np.ndarray:
+    """Forest links, as pairs of nodes, of rows sorted by cell, each cell whole."""
     if len(cells) < 2:
-        return np.empty((0, 2), np.uint64)
+        return np.empty((0, 2), np.int64)
     starts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(cells)])))
-    found = []
-    linked = np.zeros(len(starts), bool)  # small cells that hold a link
-    small = np.repeat(sizes <= FEW, sizes)
     number = np.repeat(np.arange(len(starts)), sizes)
+    small = np.repeat(sizes <= FEW, sizes)
+    linked = np.zeros(len(starts), bool)  # small cells that hold a link
     for d in range(1, min(FEW, len(cells))):
-        both = (cells[d:] == cells[:-d]) & small[d:]
-        at = np.flatnonzero(both)
+        at = np.flatnonzero((cells[d:] == cells[:-d]) & small[d:])
         if not len(at):
             break
-        at = at[np.bitwise_count(points[at] ^ points[at + d]) <= distance]
+        at = at[near(points[at], points[at + d])]
         linked[number[at]] = True
+    found = []
     for i in np.flatnonzero(linked | (sizes > FEW)):
-        found.extend(forest(np.unique(points[starts[i] : starts[i] + sizes[i]]), distance))
-    return np.unique(np.array(found, np.uint64), axis=0) if found else np.empty((0, 2), np.uint64)
+        own = slice(starts[i], starts[i] + sizes[i])
+        found.extend((nodes[own][a], nodes[own][b]) for a, b in forest(points[own], near))
+    return np.unique(np.array(found, np.int64), axis=0) if found else np.empty((0, 2), np.int64)
 
 
-def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
-    """Batches are sorted by cell; rows of the last cell wait for the next batch."""
-    def out(cells: np.ndarray, points: np.ndarray) -> pa.RecordBatch:
-        links = links_of(cells, points, distance).view(np.int64)
+def _links(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.RecordBatch]:
+    """Batches of (cell, fp[, fp2, node]) sorted by cell; rows of the last cell wait for the next batch."""
+
+    def out(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        points = np.column_stack(columns[1:3]).view(np.uint64) if len(columns) > 2 else columns[1].view(np.uint64).reshape(-1, 1)
+        links = links_of(columns[0], points, columns[-1], near)
         return pa.RecordBatch.from_arrays([pa.array(links[:, 0].copy()), pa.array(links[:, 1].copy())], names=["a", "b"])
 
-    parts: list[tuple[np.ndarray, np.ndarray]] = []
+    parts: list[list[np.ndarray]] = []
     for batch in batches:
-        cells = batch.column(0).to_numpy(zero_copy_only=False)
-        points = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-        if not len(cells):
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(columns[0]):
             continue
-        cut = int(np.searchsorted(cells, cells[-1]))
-        if cut == 0 and (not parts or parts[-1][0][-1] == cells[0]):
-            parts.append((cells, points))  # one cell fills the batch
+        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        if cut == 0 and (not parts or parts[-1][0][-1] == columns[0][0]):
+            parts.append(columns)  # one cell fills the batch
             continue
-        parts.append((cells[:cut], points[:cut]))
-        yield out(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-        parts = [(cells[cut:], points[cut:])]
+        parts.append([c[:cut] for c in columns])
+        yield out(parts)
+        parts = [[c[cut:] for c in columns]]
     if parts:
-        yield out(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+        yield out(parts)
 
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,24 +190,51 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE, id_col: str = "doc_id", text
     return rows.mapInArrow(OnBatches(_fingerprints, k), "doc_id long, fp long")
 
 
-def linked(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(a, b): links between different fingerprints of prints(fp) whose components are those of all links."""
-    spark = prints.sparkSession
+def linked(points: DataFrame, distance: int = DISTANCE, total: int | None = None) -> DataFrame:
+    """(a, b): links between rows of points(fp) or points(fp, fp2, node) whose components are those of all links.
+
+    Rows are linked within ``distance`` of fp and, with a second fingerprint, within ``total`` of both together; a and
+    b are fingerprints or nodes.
+    """
+    spark = points.sparkSession
     groups = distance // 3 + 1  # the fewest with distance // groups <= 2
     long_batches(spark)
-    points = prints.select("fp").distinct()
-    cells = points.mapInArrow(OnBatches(_cells, groups), "cell long, fp long")
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(prints, mb=1, least=1))
+    more = points.columns[1:]
+    cells = points.distinct().mapInArrow(OnBatches(_cells, groups), ", ".join(f"{c} long" for c in ("cell", "fp", *more)))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions_for(points, mb=1, least=1))
     dealt = cells.repartition(n, "cell").sortWithinPartitions("cell", "fp")
-    return dealt.mapInArrow(OnBatches(_links, distance), "a long, b long")
+    return dealt.mapInArrow(OnBatches(_links, Near(distance, total)), "a long, b long")
 
 
 def near_groups(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint, component_id for every row of docs."""
     prints = checkpointed(fingerprints(docs, k, id_col, text_col))
-    roots = connected_components(linked(prints, distance))
+    roots = connected_components(linked(prints.select("fp"), distance))
     by_print = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     placed = by_print.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = placed.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
     return prints.join(of_print, F.col("fp") == F.col("_fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near(docs: DataFrame, k: int = 5, distance: int = 8, total: int = 18, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without near copies: of each component of links the row with the smallest id stays; docs' own columns.
+
+    Shingles are five words, and two independent fingerprints of 64 bits are compared: 18 differing bits of 128 are an
+    angle whose cosine stands for a Jaccard similarity of a little over 0.8. One fingerprint alone would link
+    unrelated documents by chance once there are many. Rows equal in id and text stay or go together, in the row that
+    has the smallest id; null ids come last.
+    """
+    spark = docs.sparkSession
+    short_batches(spark)
+    key = F.xxhash64(text_or_empty(text_col))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("text_key"), text_or_empty(text_col).alias("text"))
+    prints = checkpointed(rows.mapInArrow(OnBatches(_two_fingerprints, k), "doc_id long, text_key long, fp long, fp2 long").withColumn("node", F.xxhash64("fp", "fp2")))
+    roots = connected_components(linked(prints.select("fp", "fp2", "node"), distance, total)).withColumnRenamed("node", "_node")
+    placed = prints.join(roots, F.col("node") == F.col("_node"), "left").select("doc_id", "text_key", F.coalesce("component", "node").alias("root"))
+    ranked = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = placed.groupBy("root").agg(F.min(ranked).alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("root", "_root")
+    gone = placed.join(first, F.col("root") == F.col("_root")).where(~F.struct("doc_id", "text_key").eqNullSafe(F.struct("first.doc_id", "first.text_key")))
+    gone = gone.select(F.struct("doc_id", "text_key").alias("_gone")).distinct()
+    keyed = docs.withColumn("_row", F.struct(F.col(id_col).cast("long").alias("doc_id"), key.alias("text_key")))
+    return keyed.join(gone, F.col("_row").eqNullSafe(F.col("_gone")), "left_anti").drop("_row")
