@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from baitline.llm import ann, bpe, exact_dedup, html_text, mixing, repeats, simhash, token_counts, toxicity
+from baitline.llm import ann, bpe, exact_dedup, html_text, mixing, passages, repeats, simhash, token_counts, toxicity
 from baitline.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passage_classes(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
