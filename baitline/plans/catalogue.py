@@ -1,11 +1,540 @@
-"""The named queries over the shared tables, and their SQL."""
+"""The named queries over the shared tables: each applies an operator, and has SQL that gives the same rows."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from baitline.functions import ranges, sequences
+from baitline.functions.sequences import CODONS
+from baitline.operators import chimera, distribute, hits, introns, mapping, paralogs, reports, targets
+from baitline.plans.views import oracle, views
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str, *names: str):
+    """Registers a function of views under its own name, with its SQL over the same views."""
+
+    def register(f: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        _QUERIES[f.__name__] = lambda spark, sf_dir: f(*views(spark, sf_dir, *names))
+        _SQL[f.__name__] = oracle(sql, *names)
+        return f
+
+    return register
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# --- reads, hits and targets ---
+
+_BEST = """select gene, taxon, total from (select gene, taxon, sum(cast(score as bigint))::bigint as total,
+    row_number() over (partition by gene order by sum(cast(score as bigint)) desc, taxon) as rn from hits{where} group by gene, taxon) where rn = 1"""
+
+
+@query(_BEST.format(where=""), "hits")
+def best_target(h):
+    return distribute.best_targets(h)
+
+
+@query(f"select taxon, count(*) as genes from ({_BEST.format(where='')}) group by taxon", "hits")
+def target_tally(h):
+    return distribute.tally(distribute.best_targets(h))
+
+
+@query(_BEST.format(where=" where not contains(taxon, 'tax-1')"), "hits")
+def exclude_taxon(h):
+    return distribute.best_targets(distribute.without_taxon(h, "tax-1"))
+
+
+@query("select read_id, array_to_string(list_sort(list(distinct gene)), ',') as genes from hits group by read_id", "hits")
+def distinct_gene_hits(h):
+    return distribute.genes_per_read(h)
+
+
+@query("select read_id, sample, gene from (select distinct contig as read_id, sample from seqs) join (select distinct read_id, gene from hits) using (read_id)", "seqs", "hits")
+def reads_to_genes(s, h):
+    return distribute.reads_to_genes(s.select(F.col("contig").alias("read_id"), "sample").distinct(), h)
+
+
+@query(
+    """, g as (select distinct read_id, gene from hits), p as (select contig * 2 as id1, contig as id2 from seqs)
+    select id1, id2, gene from p join g on id1 = read_id
+    union all select id1, id2, gene from p join g on id2 = read_id where id1 not in (select read_id from g)""",
+    "hits",
+    "seqs",
+)
+def paired_fallback_join(h, s):
+    return distribute.pairs_to_genes(s.select((F.col("contig") * 2).alias("id1"), F.col("contig").alias("id2")), h)
+
+
+@query("select gene, count(*) as reads from (select distinct read_id, gene from hits) group by gene", "hits")
+def gene_read_counts(h):
+    return distribute.gene_counts(distribute.read_genes(h))
+
+
+@query("select count(distinct read_id) as mapped from hits", "hits")
+def mapped_read_count(h):
+    return distribute.mapped_reads(h)
+
+
+@query(
+    "select taxon, total, mapped, round_even(100.0::double * mapped / total, 1) as pct_on_target from (select taxon, count(*) as total, count(*) filter (where score > 30) as mapped from hits group by taxon)",
+    "hits",
+)
+def pct_on_target(h):
+    return reports.enrichment(h.groupBy("taxon").agg(F.count("*").alias("total"), F.count_if(F.col("score") > 30).alias("mapped")))
+
+
+@query("select distinct gene from targets where gene not in (select gene from hits where score > 49 and ln = 6 and read_id % 50 = 0)", "targets", "hits")
+def unmatched_genes(t, h):
+    return distribute.genes_without_hits(t, h.where("score > 49 and ln = 6 and read_id % 50 = 0"))
+
+
+@query(
+    f"select b.gene, coalesce(w.taxon, b.taxon) as taxon from ({_BEST.format(where='')}) b left join (select gene, min(taxon) as taxon from targets where length(seq) > 88 group by gene) w on b.gene = w.gene",
+    "hits",
+    "targets",
+)
+def preferred_target(h, t):
+    return distribute.preferred(distribute.best_targets(h), t.where("length(seq) > 88").groupBy("gene").agg(F.min("taxon").alias("taxon")))
+
+
+@query("select name, regexp_extract(name, '([^-]*)$', 1) as gene, regexp_extract(name, '^(.*)-[^-]*$', 1) as taxon from targets", "targets")
+def gene_taxon_split(t):
+    return t.select("name", sequences.gene_of(F.col("name")).alias("gene"), sequences.taxon_of(F.col("name")).alias("taxon"))
+
+
+@query("select regexp_replace(split_part(concat('r.', cast(read_id as string), '1/', cast(1 + ln % 2 as string), ' x y'), ' ', 1), '/[12]$', '') as id, count(*) as n from hits group by 1", "hits")
+def read_id_normalise(h):
+    raw = F.concat(F.lit("r."), F.col("read_id").cast("string"), F.lit("1/"), (1 + F.col("ln") % 2).cast("string"), F.lit(" x y"))
+    return h.groupBy(sequences.read_id(raw).alias("id")).agg(F.count("*").alias("n"))
+
+
+@query(
+    """select read_id, target, votes from (select read_id, target, votes, row_number() over (partition by read_id order by votes desc, target) as rn from (
+        select r.read_id, t.target, count(*) as votes from (select distinct seq_no as read_id, substr(seq, i + 1, 21) as kmer from targets, unnest(range(0, length(seq) - 20)) as u(i)) r
+        join (select distinct name as target, substr(seq, i + 1, 21) as kmer from targets, unnest(range(0, length(seq) - 20)) as u(i)) t using (kmer) group by all) where votes >= 3) where rn <= 10""",
+    "targets",
+)
+def kmer_mapping(t):
+    return mapping.map_reads(t.select(F.col("seq_no").alias("read_id"), "seq"), t.select(F.col("name").alias("target"), "seq"), k=21, least=3, most=10)
+
+
+# --- target sets ---
+
+_BROKEN = "select case when seq_no % 7 = 0 then replace(name, '-', '_') when seq_no % 11 = 0 then concat(name, '''') else name end as name, seq_no from targets"
+
+
+@query(f"select name, seq_no from ({_BROKEN}) where not (regexp_matches(name, '^.+-[^-]+$') and not contains(name, '''') and not contains(name, '\"'))", "targets")
+def bad_headers(t):
+    name = F.when(F.col("seq_no") % 7 == 0, F.replace("name", F.lit("-"), F.lit("_"))).when(F.col("seq_no") % 11 == 0, F.concat("name", F.lit("'"))).otherwise(F.col("name"))
+    return targets.bad_headers(t.select(name.alias("name"), "seq_no"))
+
+
+@query("select name, count(*) as n from targets group by name having count(*) > 1", "targets")
+def duplicate_names(t):
+    return targets.duplicate_names(t)
+
+
+def _protein(seq: str) -> str:
+    """DuckDB's translation of whole codons."""
+    at = " + ".join(f"(instr('TCAGN', substr({seq}, (k * 3 + {i})::bigint, 1)) - 1) * {5 ** (3 - i)}" for i in (1, 2, 3))
+    return f"array_to_string(list_transform(range(0, length({seq}) // 3), lambda k: substr('{CODONS}', ({at} + 1)::bigint, 1)), '')"
+
+
+_PADDED = "concat(seq, repeat('N', (3 - length(seq) % 3) % 3))"
+_STOPS = "cast(length(regexp_replace({p}, '[^*]', '', 'g')) as bigint)"
+
+
+@query(f"select seq_no, {_protein('p')} as protein from (select seq_no, {_PADDED} as p from targets)", "targets")
+def translate(t):
+    return t.select("seq_no", sequences.translate(sequences.pad_codons(F.col("seq"))).alias("protein"))
+
+
+@query(f"select seq_no, {_PADDED} as padded from targets", "targets")
+def pad_codons(t):
+    return t.select("seq_no", sequences.pad_codons(F.col("seq")).alias("padded"))
+
+
+@query("select seq_no, translate(reverse(seq), 'ACGTN', 'TGCAN') as rc from targets", "targets")
+def reverse_complement(t):
+    return t.select("seq_no", sequences.reverse_complement(F.col("seq")).alias("rc"))
+
+
+_FRAMES = f"""select seq_no, frame, protein, {_STOPS.format(p='protein')} - case when ends_with(protein, '*') then 1 else 0 end as inside from (
+    select seq_no, frame, {_protein('p')} as protein from (select seq_no, f as frame, substr(seq, f + 1) as p from targets, unnest(range(0, 3)) as u(f)))"""
+
+
+@query(f"select seq_no, frame, protein, inside, inside = 0 as open from ({_FRAMES})", "targets")
+def frames_open(t):
+    return targets.frames(t).select("seq_no", "frame", "protein", "inside", "open")
+
+
+@query(f"select seq_no, {_STOPS.format(p='protein')} as stops, ends_with(protein, '*') as terminal from (select seq_no, {_protein('p')} as protein from (select seq_no, {_PADDED} as p from targets))", "targets")
+def stop_codons(t):
+    p = sequences.translate(sequences.pad_codons(F.col("seq")))
+    return t.select("seq_no", sequences.stops(p).alias("stops"), p.endswith("*").alias("terminal"))
+
+
+_ENTROPY = "(select -sum(n / {w}::double * log2(n / {w}::double)) from (select count(*) as n from unnest(string_split({s}, '')) as u(c) where c <> '' group by c))"
+
+
+@query(
+    "select seq_no, round(-sum(p * log2(p)), 6) as entropy from (select seq_no, c, count(*) / max(length(seq))::double as p from (select seq_no, seq, unnest(string_split(seq, '')) as c from targets) group by seq_no, c) group by seq_no",
+    "targets",
+)
+def entropy(t):
+    return t.select("seq_no", F.round(sequences.entropy(F.col("seq")), 6).alias("entropy"))
+
+
+@query(
+    """, w as (select seq_no, i, substr(seq, i + 1, 20) as s from targets, unnest(range(0, greatest(length(seq) - 20, 0) + 1)) as u(i)),
+    e as (select seq_no, i, -sum(p * log2(p)) as h from (select seq_no, i, c, count(*) / max(length(s))::double as p from (select seq_no, i, s, unnest(string_split(s, '')) as c from w) group by seq_no, i, c) group by seq_no, i)
+    select distinct seq_no from e where h <= 1.45""",
+    "targets",
+)
+def low_complexity(t):
+    return targets.low_complexity(t, 20, 1.45).select("seq_no")
+
+
+@query("select name, seq_no from (select *, count(*) over (partition by gene) as n, max(length(seq)) over (partition by gene) as m from targets) where n = 1 or length(seq) > m * 0.9", "targets")
+def relative_length(t):
+    return targets.relative_length(t, 0.9).select("name", "seq_no")
+
+
+@query("select distinct gene from targets where gene not in (select gene from targets where seq_no % 40 < 25)", "targets")
+def lost_genes(t):
+    return targets.lost_genes(t, t.where("seq_no % 40 < 25"))
+
+
+@query(
+    f""", p as (select name, seq, {_protein('p')} as protein from (select name, seq, {_PADDED} as p from targets)),
+    x as (select 'duplicate' as section, name from targets group by name having count(*) > 1
+    union all select 'not_codons', name from targets where length(seq) % 3 <> 0
+    union all select 'stops', name from p where {_STOPS.format(p='protein')} - case when ends_with(protein, '*') then 1 else 0 end > 0
+    union all select 'terminal_stop', name from p where {_STOPS.format(p='protein')} = 1 and ends_with(protein, '*'))
+    select section, name, count(*) as n from x group by all""",
+    "targets",
+)
+def target_check(t):
+    return targets.check(t).where("section not in ('header', 'low_complexity')").groupBy("section", "name").agg(F.count("*").alias("n"))
+
+
+# --- alignments ---
+
+#: Identity flags and a gapped hit sequence for a contig, from a digest of its name.
+_IDENT = "list_transform(range(1, 33), lambda i: case when instr('0123', substr(md5(contig), i::bigint, 1)) > 0 then 0 else 1 end)"
+_GAPPED = "substr(repeat(translate(md5(contig), '0123456789abcdef', 'ACGT-CGTACGTACGT'), 4), 1, cast((e - s) * 3 as int))"
+
+
+def _with_ident(h):
+    return h.withColumn("ident", F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.when(F.instr(F.lit("0123"), F.substr(F.md5(F.col("contig").cast("binary")), i, F.lit(1))) > 0, 0).otherwise(1)))
+
+
+def _with_gapped(h):
+    return h.withColumn("hit_seq", F.expr(_GAPPED.replace("md5(contig)", "md5(cast(contig as binary))")))
+
+
+@query("select gene, contig, sim from hsps where sim > 75", "hsps")
+def identity_filter(h):
+    return hits.above_identity(h, 75).select("gene", "contig", "sim")
+
+
+_TRIM = "case when {ok}[1] then 0 when coalesce(list_position({ok}, true), 0) > 0 then list_position({ok}, true) - 1 + list_position(list_slice({i}, list_position({ok}, true), list_position({ok}, true) + 4), 1) - 1 end"
+_OK = "list_transform(range(1, 29), lambda k: list_sum(list_slice({i}, k, k + 4)) * 100.0 / 5 > 75)"
+
+
+@query(
+    f"""select gene, contig, cast({_TRIM.format(ok='a', i='i')} as bigint) as five, cast({_TRIM.format(ok='b', i='r')} as bigint) as three
+    from (select gene, contig, i, r, {_OK.format(i='i')} as a, {_OK.format(i='r')} as b from (select gene, contig, i, list_reverse(i) as r from (select gene, contig, {_IDENT} as i from hsps)))""",
+    "hsps",
+)
+def terminal_trim(h):
+    return _with_ident(h).withColumn("t", ranges.terminal_trim(F.col("ident"))).select("gene", "contig", F.col("t.five").alias("five"), F.col("t.three").alias("three"))
+
+
+@query("select gene, contig from hsps where not ((s % 23 < 15 and (s % 23) % 3 <> 0) or (e % 31 < 15 and (e % 31) % 3 <> 0))", "hsps")
+def frameshift_filter(h):
+    return hits.without_frameshifts(h.withColumn("intron_spans", F.array(F.col("s") % 23, F.col("e") % 31))).select("gene", "contig")
+
+
+@query(
+    f"select gene, contig from (select gene, contig, {_protein('p')} as protein from (select gene, contig, concat(q, repeat('N', (3 - length(q) % 3) % 3)) as p from (select gene, contig, replace({_GAPPED}, '-', '') as q from hsps))) where {_STOPS.format(p='protein')} - case when ends_with(protein, '*') then 1 else 0 end = 0",
+    "hsps",
+)
+def internal_stop_filter(h):
+    return hits.without_internal_stops(_with_gapped(h)).select("gene", "contig")
+
+
+_ONCE = "select * from (select *, row_number() over (partition by gene, s, e order by sim desc, depth desc, contig) as n1 from hsps) where n1 = 1"
+_TILED = f"select * from (select *, max(e) over (partition by gene order by s, e desc rows between unbounded preceding and 1 preceding) as reach from ({_ONCE})) where coalesce(reach < e, true)"
+
+
+@query(f"select gene, contig, s, e from ({_TILED})", "hsps")
+def containment(h):
+    return hits.uncontained(h).select("gene", "contig", "s", "e")
+
+
+_PIECES = f"""select gene, contig, rk, case when nx is null then replace(h, '-', '') when nx < e then replace(substr(h, 1, greatest(length(h) + (nx - e) * 3, 0)::bigint), '-', '')
+    else concat(replace(h, '-', ''), repeat('N', ((nx - e) * 3)::bigint)) end as piece
+    from (select *, {_GAPPED} as h, lead(s) over (partition by gene order by s, e, contig) as nx, row_number() over (partition by gene order by s, e, contig) as rk from ({_TILED}))"""
+
+
+@query(f"select gene, contig, piece from ({_PIECES})", "hsps")
+def overlap_trim(h):
+    return hits.overlap_trimmed(_with_gapped(hits.uncontained(h))).select("gene", "contig", "piece")
+
+
+@query(f"select gene, count(*) as hits, string_agg(piece, '' order by rk) as seq from ({_PIECES}) group by gene", "hsps")
+def stitch(h):
+    return hits.stitched(hits.overlap_trimmed(_with_gapped(hits.uncontained(h))))
+
+
+@query(f"select gene, contig, h as seq from (select gene, contig, {_GAPPED} as h, row_number() over (partition by gene order by length({_GAPPED}) desc, contig) as rn from hsps) where rn = 1", "hsps")
+def longest_hit(h):
+    return hits.longest(_with_gapped(h))
+
+
+@query(
+    f"select gene, 'identity' as stage, count(*) as hits from hsps where sim > 75 group by gene union all select gene, 'tiled', count(*) from ({_TILED}) group by gene",
+    "hsps",
+)
+def hit_stage_report(h):
+    return hits.stage_report({"identity": hits.above_identity(h, 75), "tiled": hits.uncontained(h)})
+
+
+# --- paralogs ---
+
+
+@query(
+    """select gene, coalesce(sum(case when depth > 1 then width end), 0)::bigint as deep from (
+    select gene, sum(d) over (partition by gene order by p rows unbounded preceding) as depth, lead(p) over (partition by gene order by p) - p as width from (
+    select gene, p, sum(d) as d from (select gene, s as p, 1 as d from hsps union all select gene, e, -1 from hsps) group by gene, p)) group by gene""",
+    "hsps",
+)
+def coverage_depth(h):
+    return paralogs.covered_twice(h)
+
+
+@query("select gene, contig from hsps where (e - s) / 40.0::double > 0.75", "hsps")
+def long_hits(h):
+    frags = F.array(F.struct(F.col("s"), (F.col("s") + 1).alias("e")), F.struct((F.col("s") + 1).alias("s"), F.col("e")))
+    return paralogs.long_hits(h.withColumn("q_frags", frags).withColumn("query_len", F.lit(40.0))).select("gene", "contig")
+
+
+_MAIN = """select *, case when max(case when bd = 1 and coalesce(second, 0) * 1.5 <= depth then 1 else 0 end) over (partition by gene) = 1 then bd = 1 else bs = 1 end as main from (
+    select *, row_number() over (partition by gene order by depth desc, contig) as bd, row_number() over (partition by gene order by sim desc, depth desc, contig) as bs,
+    lead(depth) over (partition by gene order by depth desc, contig) as second from hsps)"""
+
+
+@query(f"select gene, contig from ({_MAIN}) where main", "hsps")
+def paralog_main(h):
+    return paralogs.with_main(h, multiplier=1.5).where("main").select("gene", "contig")
+
+
+@query(f"select gene, contig, case when main then 'main' else cast(row_number() over (partition by gene, main order by s, e, contig) - 1 as string) end as suffix from ({_MAIN})", "hsps")
+def paralog_names(h):
+    return paralogs.named(paralogs.with_main(h, multiplier=1.5)).select("gene", "contig", "suffix")
+
+
+# --- coordinates, chimeras, introns ---
+
+_RANKED = "select gene, contig, e - s as len, row_number() over (partition by gene order by s, e, contig) as rank from hsps"
+_PLACED = f"select *, coalesce(sum(len) over (partition by gene order by rank rows between unbounded preceding and 1 preceding), 0)::bigint as lo from ({_RANKED})"
+
+
+def _ranked(h):
+    from pyspark.sql import Window
+
+    return h.select("gene", "contig", (F.col("e") - F.col("s")).alias("len"), F.row_number().over(Window.partitionBy("gene").orderBy("s", "e", "contig")).alias("rank"))
+
+
+@query(f"select gene, contig, lo, lo + len as hi from ({_PLACED})", "hsps")
+def offsets(h):
+    return chimera.offsets(_ranked(h)).select("gene", "contig", "lo", "hi")
+
+
+@query(f"select p.gene, contig, read_id, start, p.end from (select gene, contig as read_id, s * 7 as start, s * 7 + 10 as end from hsps) p join (select gene, contig, lo, lo + len as hi from ({_PLACED})) l on p.gene = l.gene and start >= lo and p.end <= hi", "hsps")
+def range_join(h):
+    points = h.select("gene", F.col("contig").alias("read_id"), (F.col("s") * 7).alias("start"), (F.col("s") * 7 + 10).alias("end"))
+    return chimera.in_ranges(points, chimera.offsets(_ranked(h))).select("gene", "contig", "read_id", "start", "end")
+
+
+@query("select gene, contig, cast(e2 - s2 as bigint) as second, cast(e3 - s3 as bigint) as third from (select gene, contig, 5 as s2, 5 + e - s as e2, 5 + e - s as s3, 5 + e - s + s as e3 from hsps)", "hsps")
+def exon_coords(h):
+    frags = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.lit(5).cast("long").alias("e")), F.struct((F.col("s") + 10).alias("s"), (F.col("e") + 10).alias("e")), F.struct((F.col("e") + 50).alias("s"), (F.col("e") + 50 + F.col("s")).alias("e")))
+    x = h.withColumn("x", ranges.exons(frags))
+    return x.select("gene", "contig", (F.col("x")[1]["e"] - F.col("x")[1]["s"]).alias("second"), (F.col("x")[2]["e"] - F.col("x")[1]["e"]).alias("third"))
+
+
+@query("select gene, contig, 200 - e as s, 200 - s as e from hsps", "hsps")
+def revcomp_coords(h):
+    x = h.withColumn("x", ranges.reversed_ranges(F.array(F.struct("s", "e")), F.lit(200).cast("long")))
+    return x.select("gene", "contig", F.col("x")[0]["s"].alias("s"), F.col("x")[0]["e"].alias("e"))
+
+
+@query("select gene, count(*) as pairs from pairs where ((nm1 = 0 and nm2 >= 5) or (nm2 = 0 and nm1 >= 5)) and contig1 <> contig2 group by gene having count(*) > 5", "pairs")
+def discordant_pairs(p):
+    return chimera.chimeric_genes(p)
+
+
+@query(
+    """select gene, contig, count(*) as hits, count(distinct strand) = 1 as one_strand, sum(brk) = 1 as consecutive from (
+    select *, case when lag(contig) over (partition by gene order by s, e, contig, ln) is not distinct from contig then 0 else 1 end as brk from (select gene, concat('c', cast(ln % 4 as string)) as contig, ln, s, e, strand from hsps))
+    group by gene, contig having count(*) >= 2""",
+    "hsps",
+)
+def consecutive_contigs(h):
+    return introns.repeated_contigs(h.withColumn("contig", F.concat(F.lit("c"), (F.col("ln") % 4).cast("string"))))
+
+
+@query("select gene, string_agg(seq, 'NNNNNNNNNN' order by seq_no) as supercontig from targets group by gene", "targets")
+def supercontig_join(t):
+    return introns.supercontig(t.withColumn("rank", F.col("seq_no")))
+
+
+@query("select seq_no, substr(seq, 11, 10) as first, substr(seq, 31, 15) as second from targets", "targets")
+def intron_slices(t):
+    frag = lambda a, b: F.struct(F.lit(a).alias("s"), F.lit(b).alias("e"))
+    x = introns.intron_texts(t.withColumn("h_frags", F.array(frag(0, 10), frag(20, 30), frag(45, 60))))
+    return x.select("seq_no", F.col("introns")[0].alias("first"), F.col("introns")[1].alias("second"))
+
+
+# --- reports ---
+
+
+@query("select gene, cast(round_even(avg(length(seq)), 0) as bigint) as mean_len from targets group by gene", "targets")
+def mean_length(t):
+    return reports.mean_lengths(t)
+
+
+@query("select seq_no, cast(length(replace(replace(seq, 'GG', 'NN'), 'N', '')) as bigint) as bases from targets", "targets")
+def bases_recovered(t):
+    return t.select("seq_no", reports.length_without_n(F.replace("seq", F.lit("GG"), F.lit("NN"))).alias("bases"))
+
+
+@query(
+    "select sample, count(*) filter (where len > mean_len * 0.25) as above_25, count(*) filter (where len > mean_len * 0.5) as above_50, count(*) filter (where len > mean_len * 0.75) as above_75, count(*) filter (where len > mean_len * 1.5) as above_150 from lengths join means using (gene) group by sample",
+    "lengths",
+    "means",
+)
+def length_thresholds(n, m):
+    return reports.thresholds(n, m)
+
+
+@query(
+    "select s.sample" + "".join(f", max(len) filter (where gene = {g}) as g{g}" for g in range(40)) + " from lengths s group by s.sample",
+    "lengths",
+)
+def seq_length_matrix(n):
+    out = reports.wide(n, "len", list(range(40)))
+    return out.select("sample", *(F.col(str(g)).alias(f"g{g}") for g in range(40)))
+
+
+@query("select sample, gene, least(len / mean_len::double, 1.0) as recovered from lengths join means using (gene)", "lengths", "means")
+def recovery_ratio(n, m):
+    return reports.recovery(n, m)
+
+
+@query("select sample, genes, bases from (select sample, count(*) as genes, sum(len)::bigint as bases from lengths group by sample) where genes > 30 and bases < 30000", "lengths")
+def sample_filter(n):
+    stats = n.groupBy("sample").agg(F.count("*").alias("genes"), F.sum("len").alias("bases"))
+    return reports.passing(stats, [("genes", "greater", 0.75), ("bases", "smaller", 30000)], genes=40)
+
+
+@query("select sample, gene, len from lengths where not exists (select 1 from (select distinct sample, gene from seqs where contig % 97 = 0) c where c.sample = lengths.sample and c.gene = lengths.gene)", "lengths", "seqs")
+def skip_chimeric(n, s):
+    return reports.without_chimeras(n, s.where("contig % 97 = 0").select("sample", "gene").distinct())
+
+
+_PARALOGS = "select sample, gene, contig from seqs where kind = 0"
+_FALLBACK = f"{_PARALOGS} union all select sample, gene, min(contig) as contig from seqs s where not exists (select 1 from seqs p where p.kind = 0 and p.sample = s.sample and p.gene = s.gene) group by sample, gene"
+
+
+def _fallback(s):
+    return reports.paralogs_or_gene(s.where("kind = 0").select("sample", "gene", "contig"), s.groupBy("sample", "gene").agg(F.min("contig").alias("contig")))
+
+
+@query(_FALLBACK, "seqs")
+def paralog_fallback(s):
+    return _fallback(s)
+
+
+@query(f"select sample, gene, coalesce(copies, 0) as copies from (select distinct sample from seqs) cross join (select distinct gene from seqs) left join (select sample, gene, count(*) as copies from ({_FALLBACK}) group by all) using (sample, gene)", "seqs")
+def paralog_matrix(s):
+    return reports.grid(s, s, reports.paralog_counts(_fallback(s)), "copies")
+
+
+@query(f"select gene, count(*) as samples from (select sample, gene, count(*) as copies from ({_FALLBACK}) group by all) where copies > 1 group by gene having count(*) / 25.0::double >= 0.6", "seqs")
+def genes_over_threshold(s):
+    return reports.genes_over(reports.paralog_counts(_fallback(s)), 25, 0.6)
+
+
+@query(f"select sample, count(*) as genes from (select sample, gene, count(*) as copies from ({_FALLBACK}) group by all) where copies > 1 group by sample having count(*) / 40.0::double >= 0.5", "seqs")
+def samples_over_threshold(s):
+    return reports.samples_over(reports.paralog_counts(_fallback(s)), 40, 0.5)
+
+
+_DENIED = "select sample, gene from lengths join means using (gene) where len > 0 and (len < 300 or len < mean_len * 2.0)"
+
+
+@query(f"select gene, array_to_string(list_sort(list(cast(sample as string))), ',') as samples from ({_DENIED}) group by gene", "lengths", "means")
+def deny_list(n, m):
+    return reports.deny_list(reports.denied(n, m, 300, 2.0).withColumn("sample", F.col("sample").cast("string")))
+
+
+@query(f"select sample, gene, len from lengths where (sample, gene) not in ({_DENIED})", "lengths", "means")
+def deny_filter(n, m):
+    return reports.without_denied(n, reports.denied(n, m, 300, 2.0))
+
+
+@query("select sample from (select unnest(range(0, 40)) as sample) where sample not in (select sample from lengths)", "lengths")
+def missing_samples(n):
+    return reports.missing_samples(n.sparkSession.range(0, 40).withColumnRenamed("id", "sample"), n.select("sample").distinct())
+
+
+@query("select sample, gene, coalesce(len, 0) as len from (select distinct sample from lengths) cross join (select distinct gene from means) left join lengths using (sample, gene)", "lengths", "means")
+def grid_fill(n, m):
+    return reports.grid(n, m, n, "len")
+
+
+_FILES = "select gene as file, concat('s', cast(seq_no % 60 as string)) as name, substr(min(seq), 1, 60) as seq from targets group by all"
+
+
+def _files(t):
+    return t.groupBy(F.col("gene").alias("file"), F.concat(F.lit("s"), (F.col("seq_no") % 60).cast("string")).alias("name")).agg(F.substr(F.min("seq"), F.lit(1), F.lit(60)).alias("seq"))
+
+
+@query(
+    f", f as ({_FILES}) select name, string_agg(coalesce(seq, repeat('-', size)), '' order by file) as seq from (select distinct name from f) cross join (select file, max(length(seq)) as size from f group by file) left join f using (file, name) group by name",
+    "targets",
+)
+def concat_alignments(t):
+    return reports.concatenated(_files(t))
+
+
+@query(
+    f", z as (select file, size, sum(size) over (order by file) as stop from (select file, max(length(seq)) as size from ({_FILES}) group by file)) select file, part, (stop - size + 1 + shift)::bigint as from_pos, stop::bigint as to_pos, 3::bigint as stride from z, (values ('codon1', 0), ('codon2', 1), ('codon3', 2)) v(part, shift)",
+    "targets",
+)
+def partition_bounds(t):
+    return reports.partitions(_files(t), codons=True)
+
+
+@query(
+    """select sample, count(*) filter (where stitched = 'single') as without_stitched, count(*) filter (where stitched = 'stitched') as with_stitched, count(*) filter (where stitched = 'skipped') as skipped,
+    count(*) filter (where chimera) as chimeras, count(*) filter (where paralog_long) as paralogs_long, count(*) filter (where paralog_depth) as paralogs_depth from flags group by sample""",
+    "flags",
+)
+def status_counts(f):
+    return reports.status_counts(f)
