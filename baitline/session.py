@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session; on a cluster the session comes from spark-submit instead."""
     os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    os.environ["PYTHONPATH"] = os.pathsep.join(dict.fromkeys([root, *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]))
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("baitline")
