@@ -46,9 +46,14 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+#: Bytes taken for a row where the optimizer knows no size.
+ROW_BYTES = 2048
+
+
 def input_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of df's size, from file sizes; no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The optimizer's estimate of df's size, from file sizes, without a job; by a count where it has none."""
+    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return known if known < 1 << 52 else df.count() * ROW_BYTES
 
 
 def partitions_for(df: DataFrame, mb: int = 8, least: int = 12) -> int:
@@ -80,3 +85,14 @@ def kept(key: str, build: Callable):
 def long_batches(spark: SparkSession, rows: int = 65_536) -> None:
     """For tables of a few numbers a row."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until df has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out

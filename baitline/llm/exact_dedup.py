@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from baitline.llm.common import SPACE, text_or_empty
+from baitline.llm.common import SPACE, fresh, text_or_empty
 
 
 def _normalised(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -65,9 +65,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of docs that stay, with docs' own columns. Rows equal in id and normalised text leave one row."""
-    kept = exact_groups(docs, id_col, text_col, salts).where("kept").select(F.struct("doc_id", "text_sha256").alias("_kept_key"))
+    row, other = fresh(docs, "_row", "_kept")
+    kept = exact_groups(docs, id_col, text_col, salts).where("kept").select(F.struct("doc_id", "text_sha256").alias(other))
     text = F.regexp_replace(text_or_empty(text_col), SPACE, " ")
-    keyed = docs.withColumn("_row_key", F.struct(F.col(id_col).cast("long").alias("doc_id"), F.sha2(text, 256).alias("text_sha256")))
-    same = F.col("_row_key").eqNullSafe(F.col("_kept_key"))
-    stay = keyed.join(kept, same, "left_semi")
-    return stay.dropDuplicates(["_row_key"]).drop("_row_key")
+    keyed = docs.withColumn(row, F.struct(F.col(id_col).cast("long").alias("doc_id"), F.sha2(text, 256).alias("text_sha256")))
+    stay = keyed.join(kept, F.col(row).eqNullSafe(F.col(other)), "left_semi")
+    return stay.dropDuplicates([row]).drop(row)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from baitline.llm.common import WORD, checkpointed, partitions_for
+from baitline.llm.common import WORD, checkpointed, fresh, partitions_for
 
 BUCKET_ROWS = 2048
 #: Default schedules by the source's weight 1, 2, 3: knots of (t, multiplier), mean 1. Light sources fade, heavy ones grow.
@@ -124,11 +124,10 @@ def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     taken further than its target; one of which nothing is taken is left out. Where an id is repeated, each of its
     rows has the same count: the mean of what its rows take, rounded up.
     """
-    mixed = mix(docs, **options)
-    by_id = mixed.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"), F.min("position").alias("_turn"))
-    copies = F.when(F.col("_taken") > 0, F.ceil(F.col("_taken") / F.col("_size"))).otherwise(F.lit(0)).cast("int")
-    due_ids = by_id.withColumn("_copies", copies).where("_copies > 0").select("_mix_id", "_copies", "_turn")
-    joined = docs.join(due_ids, docs[options.get("id_col", "doc_id")].cast("long").eqNullSafe(F.col("_mix_id")))
+    own, taken, size, turn, copies, copy = fresh(docs, "_mix_id", "_taken", "_size", "_turn", "_copies", "_copy")
+    by_id = mix(docs, **options).groupBy(F.col("doc_id").alias(own)).agg(F.sum("taken").alias(taken), F.sum("size").alias(size), F.min("position").alias(turn))
+    due_ids = by_id.withColumn(copies, F.when(F.col(taken) > 0, F.ceil(F.col(taken) / F.col(size))).otherwise(F.lit(0)).cast("int")).where(F.col(copies) > 0).select(own, copies, turn)
+    joined = docs.join(due_ids, docs[options.get("id_col", "doc_id")].cast("long").eqNullSafe(F.col(own)))
     n = partitions_for(docs, mb=8)
-    out = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).repartitionByRange(n, "_turn", "_mix_id").sortWithinPartitions("_turn", "_mix_id", "_copy")
+    out = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).repartitionByRange(n, turn, own).sortWithinPartitions(turn, own, copy)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from baitline.llm.common import OnBatches, checkpointed, long_batches, partitions_for, short_batches, text_or_empty
+from baitline.llm.common import OnBatches, checkpointed, fresh, long_batches, partitions_for, short_batches, text_or_empty
 from baitline.llm.components import connected_components
 
 DISTANCE = 4
@@ -235,6 +235,7 @@ def drop_near(docs: DataFrame, k: int = 5, distance: int = 8, total: int = 18, i
     ranked = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     first = placed.groupBy("root").agg(F.min(ranked).alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("root", "_root")
     gone = placed.join(first, F.col("root") == F.col("_root")).where(~F.struct("doc_id", "text_key").eqNullSafe(F.struct("first.doc_id", "first.text_key")))
-    gone = gone.select(F.struct("doc_id", "text_key").alias("_gone")).distinct()
-    keyed = docs.withColumn("_row", F.struct(F.col(id_col).cast("long").alias("doc_id"), key.alias("text_key")))
-    return keyed.join(gone, F.col("_row").eqNullSafe(F.col("_gone")), "left_anti").drop("_row")
+    row, other = fresh(docs, "_row", "_gone")
+    gone = gone.select(F.struct("doc_id", "text_key").alias(other)).distinct()
+    keyed = docs.withColumn(row, F.struct(F.col(id_col).cast("long").alias("doc_id"), key.alias("text_key")))
+    return keyed.join(gone, F.col(row).eqNullSafe(F.col(other)), "left_anti").drop(row)

@@ -180,14 +180,15 @@ def _honest(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
 LAMBDAS = [0.25 * i for i in range(1, 17)]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> np.ndarray:
-    """Weights (intercept first) by Newton's method with a ridge on all but the intercept."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 200) -> np.ndarray:
+    """Weights (intercept first) by Newton's method with a ridge and bounded steps, so separable data stay finite."""
     x = np.column_stack((np.ones(len(x)), x))
     w = np.zeros(x.shape[1])
-    penalty = np.diag([1e-6] + [ridge] * (x.shape[1] - 1))
+    penalty = np.diag([1e-3] + [ridge] * (x.shape[1] - 1))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ w)
+        step *= min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         w += step
         if np.abs(step).max() < 1e-8:
             break
