@@ -59,11 +59,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op7_exact_dedup": r"""
-            with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
-            select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
-                   doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
-            from n
-        """,
-    }
+    """SQL for the queries that it can express; the others are held against plain versions in the tests."""
+    return {"op7_exact_dedup": _EXACT, "op8_mixing": _MIXING}
+
+
+_EXACT = r"""
+    with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
+    select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+           doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
+    from n
+"""
+
+_MIXING = r"""
+    with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+        cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) as draw from documents),
+    s as (select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as rank from d group by source),
+    w as (select *, ((rank - 1) % 3 + 1)::bigint as weight, source_size * 3 as most from s),
+    l as (select *, ((sum(source_size) over ())::bigint - coalesce(sum(most) over before, 0)::bigint)::double / ((sum(weight) over ())::bigint - coalesce(sum(weight) over before, 0)::bigint)::double as level
+        from w window before as (order by most::double / weight::double, rank rows between unbounded preceding and 1 preceding)),
+    t as (select source, source_size, weight, least(most::double, max(level) over () * weight) as target from l),
+    p as (select d.*, source_size, weight, target, coalesce(sum(size) over (partition by d.source order by draw, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as before
+        from d join t on d.source is not distinct from t.source),
+    g as (select *, round(target)::bigint as goal, case when source_size > 0 then round(target)::bigint // source_size else 0 end as passes, before::double / target as share from p),
+    k as (select *, passes * size + least(greatest(goal - passes * source_size - before, 0), size) as taken,
+        case weight when 1 then (sqrt(greatest(2.25::double + -2.0::double * share, 0.0::double)) - 1.5::double) / -1.0::double when 2 then share
+             else (sqrt(greatest(0.25::double + 2.0::double * share, 0.0::double)) - 0.5::double) end as due from g)
+    select doc_id, source, size, source_size, target, taken::bigint as taken,
+        case when taken > 0 then floor(least(greatest(due, 0.0::double), 1.0::double) * 1000000000)::bigint end as position from k
+"""
