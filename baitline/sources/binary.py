@@ -6,6 +6,7 @@ Files are opened through Arrow file systems, so paths may be in any store that A
 from __future__ import annotations
 
 import gzip
+import io
 import struct
 import tarfile
 from collections.abc import Iterator
@@ -55,7 +56,7 @@ class _Reader(DataSourceReader):
 
 class _Fastq(_Reader):
     def rows(self, file, path: str) -> Iterator[tuple]:
-        lines = gzip.GzipFile(fileobj=file) if path.endswith(".gz") else file
+        lines = io.BufferedReader(gzip.GzipFile(fileobj=file) if path.endswith(".gz") else file)
         number = 0
         while head := lines.readline():
             seq, plus, qual = (lines.readline().rstrip(b"\r\n").decode() for _ in range(3))
@@ -169,7 +170,7 @@ class Packed(DataSource):
 
 def _load(spark: SparkSession, source: type[DataSource], path: str) -> DataFrame:
     spark.dataSource.register(source)
-    return spark.read.format(source.name()).option("path", path).load(path)
+    return spark.read.format(source.name()).load(path)
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:

@@ -1,0 +1,153 @@
+"""Readers and writers on small files."""
+
+import gzip
+import struct
+import tarfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from baitline.sources import binary, c4, sinks, text
+
+FASTQ = "@r1/1 x\nACGT\n+\nIIII\n@r2/1\nGG\n+r2\n@@\n"
+
+
+def test_fasta(spark, tmp_path):
+    (tmp_path / "a.fasta").write_text(">tax-one-g.1 some words\nACG\nTTT\n>plain\nAC\r\nGT\n>empty\n")
+    rows = {r.seq_name: r for r in text.fasta(spark, str(tmp_path / "a.fasta")).collect()}
+    assert {n: r.seq for n, r in rows.items()} == {"tax-one-g.1": "ACGTTT", "plain": "ACGT", "empty": ""}
+    assert rows["tax-one-g.1"].description == "some words" and rows["plain"].description == ""
+    t = text.targets(spark, str(tmp_path / "a.fasta")).where("gene = 'g.1'").first()  # dots belong to the gene
+    assert (t.taxon, t.seq) == ("tax-one", "ACGTTT")
+
+
+def test_contigs(spark, tmp_path):
+    (tmp_path / "c.fasta").write_text(">NODE_1_length_8_cov_2.5\nACGTACGT\n")
+    assert tuple(text.contigs(spark, str(tmp_path / "c.fasta")).first()) == ("NODE_1_length_8_cov_2.5", "ACGTACGT", 8, 2.5)
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_fastq(spark, tmp_path, packed):
+    path = tmp_path / ("r.fastq.gz" if packed else "r.fastq")
+    path.write_bytes(gzip.compress(FASTQ.encode()) if packed else FASTQ.encode())
+    rows = binary.fastq(spark, str(path)).orderBy("ord").collect()
+    assert [(r.id, r.seq, r.qual) for r in rows] == [("r1/1 x", "ACGT", "IIII"), ("r2/1", "GG", "@@")]
+    pairs = binary.fastq_pairs(spark, str(path), f"file://{path}").orderBy("ord").collect()
+    assert [(r.seq1, r.id2) for r in pairs] == [("ACGT", "r1/1 x"), ("GG", "r2/1")]
+
+
+@pytest.mark.parametrize("bad", ["@r\nACGT\n+\nIII\n", "r\nAC\n+\nII\n", "@r\nAC\n"])
+def test_malformed_fastq_is_an_error(spark, tmp_path, bad):
+    (tmp_path / "r.fastq").write_text(bad)
+    with pytest.raises(Exception, match="is not FASTQ"):
+        binary.fastq(spark, str(tmp_path / "r.fastq")).collect()
+
+
+def test_sam_and_bam(spark, tmp_path):
+    (tmp_path / "a.sam").write_text("@HD\tx\nr1\t0\tt-g1\t5\t60\t4M\t*\t0\t0\tACGT\tIIII\tNM:i:2\nr2\t4\t*\t0\t0\t*\t*\t0\t0\tAC\tII\n")
+    (r,) = text.sam(spark, str(tmp_path / "a.sam")).collect()
+    assert (r.read_id, r.target, r.pos, r.mapq, r.seq, r.nm, r.score) == ("r1", "t-g1", 5, 60, "ACGT", 2, 60.0)
+    assert text.sam(spark, str(tmp_path / "a.sam"), mapped_only=False).count() == 2
+
+    def record(name, flag, ref, tags):
+        body = struct.pack("<iiBBHHHiiii", ref, 4, len(name) + 1, 60, 0, 1, flag, 4, -1, -1, 0) + name.encode() + b"\0" + struct.pack("<I", 4 << 4) + bytes([0x12, 0x48]) + b"IIII" + tags
+        return struct.pack("<i", len(body)) + body
+
+    data = b"BAM\x01" + struct.pack("<i", 0) + struct.pack("<i", 1) + struct.pack("<i", 5) + b"t-g1\0" + struct.pack("<i", 100)
+    data += record("r1", 0, 0, b"XZZab\0XBBc" + struct.pack("<ib", 1, 3) + b"NMC\x02") + record("r2", 4, -1, b"")
+    (tmp_path / "a.bam").write_bytes(gzip.compress(data[:40]) + gzip.compress(data[40:]) + gzip.compress(b""))
+    (b,) = binary.bam(spark, str(tmp_path / "a.bam")).collect()
+    assert b.asDict() == r.asDict()
+
+
+def test_tables(spark, tmp_path):
+    put = lambda name, value: (tmp_path / name).write_text(value) and str(tmp_path / name)
+    (hit,) = text.tabular(spark, put("h.tsv", "r.11/1\ttax-g1\t90.0\t30\t3\t0\t1\t90\t1\t30\t1e-9\t55.5\n")).collect()
+    assert (hit.read_id, hit.target, hit.score) == ("r.11/1", "tax-g1", 55.5)
+    assert text.primary_mapped(spark, put("f.tsv", "10\t0\tmapped\n7\t0\tprimary mapped\n")).first().mapped == 7
+    got = {r.key: r["values"] for r in text.control(spark, put("c.txt", "TARGETFILE\tx.fasta\nALLOW_GENE_REMOVAL\tTrue\tmore\n")).collect()}
+    assert got == {"TARGETFILE": ["x.fasta"], "ALLOW_GENE_REMOVAL": ["True", "more"]}
+    with pytest.raises(Exception, match="unknown key"):
+        text.control(spark, put("c2.txt", "WHAT\tx\n")).collect()
+    assert sorted(r.sample for r in text.names(spark, put("n.txt", "b\n\na\n")).collect()) == ["a", "b"]
+    for wrong in ("a\na\n", "x/y\n"):
+        with pytest.raises(Exception, match="bad or repeated"):
+            text.names(spark, put("n2.txt", wrong)).collect()
+    assert sorted(map(tuple, text.denied(spark, put("d.tsv", "g1\ts1,s2\ng2\t\n")).collect())) == [("g1", "s1"), ("g1", "s2")]
+    lengths, means = text.length_matrix(spark, put("l.tsv", "Species\tg1\tg.2\nMeanLength\t10.5\t20\ns1\t5\t0\n"))
+    assert sorted(map(tuple, lengths.collect())) == [("s1", "g.2", 0), ("s1", "g1", 5)] and dict(means.collect()) == {"g1": 10.5, "g.2": 20.0}
+    assert dict(text.preferred(spark, put("p.txt", "g1 tax-a\ng2\ttax-b\n")).collect()) == {"g1": "tax-a", "g2": "tax-b"}
+
+
+def test_blast_xml(spark, tmp_path):
+    hsp = "<Hsp><Hsp_bit-score>9.5</Hsp_bit-score><Hsp_query-from>3</Hsp_query-from><Hsp_query-to>8</Hsp_query-to><Hsp_hit-from>20</Hsp_hit-from><Hsp_hit-to>15</Hsp_hit-to><Hsp_qseq>ACGTAC</Hsp_qseq><Hsp_hseq>ACCTAC</Hsp_hseq><Hsp_midline>|| |||</Hsp_midline></Hsp>"
+    (tmp_path / "b.xml").write_text(f"<Out><Hit><Hit_def>NODE_1</Hit_def><Hit_len>40</Hit_len><Hit_hsps>{hsp}</Hit_hsps></Hit></Out>")
+    (r,) = text.blast_xml(spark, str(tmp_path / "b.xml")).collect()
+    assert (r.contig, r.s, r.e, r.h_s, r.h_e, r.strand, list(r.ident)) == ("NODE_1", 2, 8, 14, 20, -1, [1, 1, 0, 1, 1, 1])
+
+
+C4 = """
+C4 Alignment:
+------------
+         Query: tax-g1
+        Target: NODE_2 [revcomp]
+         Model: protein2genome:local
+     Raw score: 50
+   Query range: 2 -> 9
+  Target range: 60 -> 18
+
+  3 : AlaLys#TyrGln  >>>> Target Intron  :  6
+      ||| !!#|||!!|            20 bp
+      AlaGln#TyrHisgt
+ 60 : GCTCAATTATCATgt................... : 47
+
+  7 : 1 >>>>  Met<->Leu :  9
+              |||   |||
+            agMetTrpLeu
+ 27 : ......agATGTGGCTG : 18
+
+>NODE_2,tax-g1,2,9,70.0,(-),60,18
+GCTCAA
+TATCAT
+"""
+
+
+def test_c4(spark, tmp_path):
+    block = C4.replace("AlaLys#TyrGln  >>>>", "AlaLys-TyrGln  >>>>")
+    r = c4.parse(block.split("C4 Alignment:")[1])
+    assert (r["contig"], r["revcomp"], r["strand"], r["score"], r["pct"], r["cds"]) == ("NODE_2", True, -1, 50, 70.0, "GCTCAATATCAT")
+    assert [(f["q_s"], f["q_e"]) for f in r["frags"]] == [(2, 4), (4, 6), (6, 8)]
+    assert r["intron_spans"] == [1, 20] and r["ident"] == [1, 0, 1, 0, 1, 0, 1]
+    assert r["hit_seq"] == "GCTCAATATCATATGTGGCTG"
+    (tmp_path / "x.txt").write_text(block + block)
+    assert c4.alignments(spark, str(tmp_path / "x.txt")).count() == 2
+
+
+def test_packed_samples(spark, tmp_path):
+    (tmp_path / "in.txt").write_text("hello")
+    with tarfile.open(tmp_path / "s1.tar.gz", "w:gz") as t:
+        t.add(tmp_path / "in.txt", "s1/in.txt")
+    (tmp_path / "s2").mkdir()
+    (r,) = binary.packed_samples(spark, str(tmp_path)).collect()
+    assert (r["sample"], r.member, r.size, bytes(r.content)) == ("s1", "s1/in.txt", 5, b"hello")
+    assert binary.samples(spark, str(tmp_path), ["s3", "s2", "s1"]) == (["s1", "s2"], ["s3"])
+    (tmp_path / "s1").mkdir()
+    with pytest.raises(ValueError, match="both packed"):
+        binary.samples(spark, str(tmp_path), ["s1"])
+
+
+def test_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("g1", "b", "AC", ""), ("g1", "a", "GT", "some"), ("g2", "c", "TT", None)], "gene string, seq_id string, seq string, description string")
+    sinks.fasta(rows, str(tmp_path / "f"), by=("gene",))
+    got = {r.seq_name: (r.seq, r.description) for r in text.fasta(spark, str(tmp_path / "f")).collect()}
+    assert got == {"a": ("GT", "some"), "b": ("AC", ""), "c": ("TT", "")}
+    pairs = spark.createDataFrame([("g1", 0, "r/1", "A", "r/2", "C")], "gene string, ord long, id1 string, seq1 string, id2 string, seq2 string")
+    assert [(r.ord, r.seq_id, r.seq) for r in sinks.interleaved(pairs).orderBy("ord").collect()] == [(0, "r/1", "A"), (1, "r/2", "C")]
+    values = spark.createDataFrame([("s1", "g1", 3), ("s1", "g2", 4), ("s2", "g1", 5)], "sample string, gene string, len long")
+    sinks.matrix(values, str(tmp_path / "m"), "len")
+    wide = {r.Species: (r.g1, r.g2) for r in spark.read.csv(str(tmp_path / "m"), sep="\t", header=True).collect()}
+    assert wide == {"s1": ("3", "4"), "s2": ("5", None)}
+    parts = spark.createDataFrame([("g1", "codon1", 1, 9, 3), ("g2", "all", 10, 12, 1)], "file string, part string, from_pos long, to_pos long, stride long")
+    sinks.partition_file(parts, str(tmp_path / "p"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "p")).collect()) == ["DNA, g1_codon1 = 1-9\\3", "DNA, g2 = 10-12"]
+    assert text.marked_block(F.lit("a##b##c##d##"), "##") is not None
