@@ -38,6 +38,8 @@ from baitline.llm.common import short_batches
 MIN_PAGES = 4
 MIN_CLASS = 3
 SHARE = 0.5
+#: Tasks that the pages of one host are dealt over; templates are small, and each is sent to all of them.
+SALTS = 32
 #: Elements by kind.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template", "svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -295,6 +297,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """page_id, url, text, n_chars for every row of pages."""
     short_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("number"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("source"))
-    placed = rows.mapInArrow(_hosts, "number long, url string, source string, _of string")
-    joined = placed.join(templates(rows), F.col("_of") == F.col("host"), "left").select("number", "url", "source", "template")
+    placed = rows.mapInArrow(_hosts, "number long, url string, source string, _of string").withColumn("_salt", F.pmod(F.xxhash64("number", "url"), F.lit(SALTS)))
+    every = templates(rows).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    joined = placed.join(every, (F.col("_of") == F.col("host")) & (F.col("_salt") == F.col("salt")), "left").select("number", "url", "source", "template")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
