@@ -407,7 +407,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if whole, the kept text (cut characters left out) and spans."""
     spark = docs.sparkSession
     short_batches(spark)
-    parts = max(12, -(-input_bytes(docs.select(text_col)) // block_bytes))
+    parts = max(12, -(-input_bytes(docs) // block_bytes))
     key = F.col(id_col).cast("long")
     rows = docs.select(F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("block"), key.alias("doc_id"), text_or_empty(text_col).alias("text"))
     dealt = rows.mapInArrow(OnBatches(_deal), "block int, doc_id long, z binary")
