@@ -25,6 +25,8 @@ from baitline.llm.common import OnBatches, kept, short_batches, text_or_empty
 
 TABLE_ENTRIES = 32_768
 SAMPLE_DOCS = 2_000
+#: Longer texts are not sampled, so what the driver holds is bounded.
+SAMPLE_CHARS = 32_768
 #: A pre-token longer than this is not put in the broadcast table, so its bytes are bounded too.
 TABLE_CHARS = 32
 
@@ -37,7 +39,7 @@ def frequent_table(docs: DataFrame, path: str, text_col: str = "text", entries:
     """Numbers of tokens of the pre-tokens that are frequent in the first sample_docs documents met."""
     splitter = tokens.Splitter(path, tokens.BYTE_PATTERN, lower=False)
     seen: Counter[str] = Counter()
-    for row in docs.select(text_or_empty(text_col).alias("t")).take(sample_docs):
+    for row in docs.select(text_or_empty(text_col).alias("t")).where(F.length("t") <= SAMPLE_CHARS).take(sample_docs):
         if splitter.safe(row.t):
             for special, part in splitter.pieces(row.t):
                 if not special:
