@@ -30,7 +30,7 @@ from baitline.llm.common import checkpointed, long_batches
 
 TABLES = 48
 HASHES = 16
-WIDTH = 2.8
+WIDTH = 3.0
 PROBES = 128
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 256  # queries looked up at a time

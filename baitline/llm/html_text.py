@@ -298,6 +298,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     short_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).cast("long").alias("number"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("source"))
     placed = rows.mapInArrow(_hosts, "number long, url string, source string, _of string").withColumn("_salt", F.pmod(F.xxhash64("number", "url"), F.lit(SALTS)))
-    every = templates(rows).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    every = templates(rows).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
     joined = placed.join(every, (F.col("_of") == F.col("host")) & (F.col("_salt") == F.col("salt")), "left").select("number", "url", "source", "template")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
