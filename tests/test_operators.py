@@ -211,3 +211,44 @@ def test_stream_of_hits(spark, tmp_path):
     query = streaming.best_so_far(streaming.watch(spark, str(folder), 1), lambda best, n: seen.append([tuple(r) for r in best.collect()]), str(tmp_path / "state"), once=True)
     query.awaitTermination(120)
     assert seen[-1] == [("g1", "tax-a", 20)]
+
+
+def test_assemble_from_reads_to_genes(spark):
+    from baitline.plans import pipelines
+
+    rng = random.Random(12)
+    refs = {g: "".join(rng.choice("ACGT") for _ in range(240)) for g in ("g1", "g2")}
+    reads = [(f"{g}_{i}", r[i : i + 80]) for g, r in refs.items() for i in range(0, 161, 4)]
+    rows = [(f"tax-{g}", "tax", g, r) for g, r in refs.items()] + [("other-g1", "other", "g1", "".join(rng.choice("ACGT") for _ in range(200)))]
+    target_set = spark.createDataFrame(rows, "name string, taxon string, gene string, seq string")
+    out = pipelines.assemble(spark.createDataFrame(reads, "read_id string, seq string"), target_set)
+    got = {r.gene: r.seq for r in out["genes"].collect()}
+    assert set(got) == set(refs) and all(got[g] in refs[g] and len(got[g]) > 200 for g in refs)
+    assert {r.gene: r.reads for r in out["counts"].collect()} == {"g1": 41, "g2": 41}
+
+
+def test_commands(spark):
+    from baitline.plans import pipelines
+
+    genes = spark.createDataFrame([("s1", "g1", "FNA", "ACG"), ("s2", "g1", "FNA", "AC"), ("s1", "g1", "FAA", "T")], "sample string, gene string, kind string, seq string")
+    chimeras = spark.createDataFrame([("s2", "g1")], "sample string, gene string")
+    assert [r["sample"] for r in pipelines.retrieve_sequences(genes, "FNA", chimeras=chimeras).collect()] == ["s1"]
+    assert pipelines.retrieve_sequences(genes, "FNA", wanted=chimeras.select("sample")).first().seq == "AC"
+    found = spark.createDataFrame([("s1", "g1", "a"), ("s1", "g1", "b")], "sample string, gene string, seq string")
+    own = spark.createDataFrame([("s1", "g1", "c"), ("s2", "g1", "d"), ("s2", "g2", "e")], "sample string, gene string, seq string")
+    out = pipelines.paralog_retriever(chimeras.select("sample").union(spark.createDataFrame([("s1",)], "sample string")), found, own, chimeras, 0.5)
+    assert sorted(r.seq for r in out["paralogs_all"].collect()) == ["a", "b", "d", "e"] and sorted(r.seq for r in out["paralogs_no_chimeras"].collect()) == ["a", "b", "e"]
+    assert {(r["sample"], r.gene): r.copies for r in out["matrix"].collect()} == {("s1", "g1"): 2, ("s1", "g2"): 0, ("s2", "g1"): 1, ("s2", "g2"): 1}
+    assert [tuple(r) for r in out["genes"].collect()] == [("g1", 1)] and [tuple(r) for r in out["samples"].collect()] == [("s1", 1)]
+    hsps = spark.createDataFrame([("g", "a", 0, 6, 1, "AAACCCGGGTTTAAACCC", 90.0, 1.0, [(0, 4), (8, 12)])], "gene string, contig string, s long, e long, strand int, hit_seq string, sim double, depth double, h_frags array<struct<s:long,e:long>>")
+    parts = pipelines.intronerate(hsps, spark.createDataFrame([("g", "a", "ACGTTTTTACGT")], "gene string, contig string, seq string"))
+    assert parts["introns"].first().introns == ["TTTT"] and parts["supercontigs"].first().supercontig == "ACGTTTTTACGT"
+    with pytest.raises(ValueError, match="not between"):
+        pipelines.Options(thresh=101)
+    long = spark.createDataFrame([("g", "a", 0, 9, [1] * 9, "A" * 27, 90.0, 50.0, 10), ("g", "b", 0, 8, [1] * 8, "C" * 24, 95.0, 2.0, 10), ("h", "c", 0, 9, [1] * 9, "G" * 27, 90.0, 1.0, 10)], "gene string, contig string, s long, e long, ident array<int>, hit_seq string, sim double, depth double, query_len int")
+    got = pipelines.extract_contigs(long)
+    assert {(r.gene, r.contig): r.suffix for r in got["paralogs"].collect()} == {("g", "a"): "main", ("g", "b"): "0"}
+    assert {r.gene: r.paralog_depth for r in got["depth"].collect()} == {"g": True, "h": False}
+    mates = spark.createDataFrame([("g", i, 0, 3, 0, 6, 9, 5) for i in range(6)], "gene string, read_id long, start1 long, end1 long, nm1 long, start2 long, end2 long, nm2 long")
+    pieces = spark.createDataFrame([("g", "a", 1, "AAAAA"), ("g", "b", 2, "CCCCC")], "gene string, contig string, rank int, piece string")
+    assert [tuple(r) for r in pipelines.chimera_check(pieces, mates).collect()] == [("g", 6)]
