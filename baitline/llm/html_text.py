@@ -55,6 +55,7 @@ FURNITURE_WORDS = {
     "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notification", "overlay", "pager", "pagination", "paywall", "popup", "privacy", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored",
     "subscribe", "subscription", "toolbar", "widget", "alert", "complementary", "contentinfo", "search", "topbar", "outbrain", "taboola",
 }
+FURNITURE_STARTS = ("comment", "sidebar", "advert", "cookie", "footer", "navbar", "breadcrumb", "newsletter", "sponsor", "popup", "disqus")
 #: An open element of the first kind ends where one of the second begins.
 ENDS = {
     "p": BLOCK - {"title"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option"},
@@ -76,17 +77,18 @@ class Element:
 
 
 @lru_cache(maxsize=20_000)
-def _marks(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """(name with its class, id and role; furniture by kind or name; main by kind or name) of a start tag."""
+def _marks(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """(name with its class, id and role; furniture, main, or a header, by kind or name) of a start tag."""
     if not attributes.strip():
-        return tag, tag in FURNITURE, tag in MAIN
+        return tag, tag in FURNITURE, tag in MAIN, tag == "header"
     found = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(attributes)}
     named = " ".join(found.get(k, "") for k in ("class", "id", "role"))
-    words = {w.lower() for w in _NAMES.findall(named)}
+    words = {w.lower() for w in _NAMES.findall(named)} | {re.sub("[^a-z]", "", w) for w in re.split(r"[^a-z]+", named.lower())}
+    marked = not words.isdisjoint(FURNITURE_WORDS) or any(w.startswith(FURNITURE_STARTS) for w in words)
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
     main = tag in MAIN or found.get("role") == "main" or found.get("itemprop") == "articleBody"
-    furniture = tag in FURNITURE or hidden or (tag not in ("html", "body") and not (tag == "main") and bool(words & FURNITURE_WORDS))
-    return f"{tag}[{named}]" if named.strip() else tag, furniture, main
+    furniture = tag in FURNITURE or hidden or (tag not in ("html", "body") and not (tag == "main") and marked)
+    return f"{tag}[{named}]" if named.strip() else tag, furniture, main, tag == "header" or "header" in words
 
 
 class Page:
@@ -125,10 +127,9 @@ class Page:
             if e.tag in ENDS and tag in ENDS[e.tag]:
                 while self.element is not e.parent:
                     self._leave()
-        name, furniture, main = _marks(tag, attributes)
+        name, furniture, main, header = _marks(tag, attributes)
         above = self.element
-        if tag == "header":
-            furniture = furniture or not above.main
+        furniture = furniture or header and not above.main  # an article's own header holds its title
         self.element = Element(tag, above, f"{above.key}/{name}", above.furniture or furniture, above.main or main)
         self.links += tag == "a"
         self.starts.append(self.element)

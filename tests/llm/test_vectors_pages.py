@@ -84,6 +84,8 @@ LINES = ["Head & line", "First bold text goes on.", "Second é – <x>", "one",
         f"<div><ul class=menu><li><a href=a>A</a><li><a href=b>B</a></ul><div><div class=content>{ARTICLE}</div></div><div class='sidebar'><p>Latest</p></div><div id=comments><p>I disagree with all of it, at length.</p></div></div>",
         f"<!-- <p>no</p> --><article>{ARTICLE}<aside>Related</aside><p hidden>Hidden</p><p style='display: none'>None</p></article><div class='newsletter'>Sign up</div>",
         f"<BODY><ARTICLE>{ARTICLE}",
+        f"<div class='pageHeader'><p>Site name and a long claim</p></div><div id='leftSidebar'><p>Latest news</p></div><div>{ARTICLE}</div><ol class='commentlist'><li>First!<li>Second!</ol><div class='pageFooter'>Foot</div>",
+        f"<main><article><header>{ARTICLE.split('<p>')[0]}</header>{ARTICLE[ARTICLE.index('<p>'):]}<footer>Tags</footer></article><div id='respond'><form>Say</form></div></main>",
     ],
 )
 def test_main_text(page):
