@@ -66,8 +66,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of docs that stay, with docs' own columns. Rows equal in id and normalised text leave one row."""
     row, other = fresh(docs, "_row", "_kept")
-    kept = exact_groups(docs, id_col, text_col, salts).where("kept").select(F.struct("doc_id", "text_sha256").alias(other))
+    # one digest of id and text is the key of the join and of what is left of repeated rows: one exchange serves both
+    of = lambda number, sha: F.sha2(F.concat(F.coalesce(number.cast("string"), F.lit("null")), F.lit(" "), sha), 256)
+    kept = exact_groups(docs, id_col, text_col, salts).where("kept").select(of(F.col("doc_id"), F.col("text_sha256")).alias(other))
     text = F.regexp_replace(text_or_empty(text_col), SPACE, " ")
-    keyed = docs.withColumn(row, F.struct(F.col(id_col).cast("long").alias("doc_id"), F.sha2(text, 256).alias("text_sha256")))
-    stay = keyed.join(kept, F.col(row).eqNullSafe(F.col(other)), "left_semi")
-    return stay.dropDuplicates([row]).drop(row)
+    keyed = docs.withColumn(row, of(F.col(id_col).cast("long"), F.sha2(text, 256)))
+    return keyed.join(kept, F.col(row) == F.col(other), "left_semi").dropDuplicates([row]).drop(row)
