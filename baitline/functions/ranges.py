@@ -44,12 +44,22 @@ def frameshift(spans: Column, most: int = 15) -> Column:
     return F.exists(spans, lambda x: (x < most) & (x % 3 != 0))
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once; Spark doesn't share subexpressions of higher-order functions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def five_prime_trim(ident: Column, window: int, threshold: float) -> Column:
     """Units to trim in front: up to the first window above threshold, and its leading mismatches; null if there is none."""
-    n = F.size(ident) - window + 1
-    good = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.aggregate(F.slice(ident, k, window), F.lit(0), lambda a, x: a + x) * 100.0 / window > threshold)
-    first = F.array_position(good, True).cast("long") - 1
-    return F.when(n < 1, F.lit(0)).when(good[0], F.lit(0)).when(first >= 0, first + F.array_position(F.slice(ident, (first + 1).cast("int"), window), 1) - 1).cast("long")
+    least = int(threshold * window / 100) + 1  # identical units that are more than threshold percent
+
+    def of(flags: Column) -> Column:
+        inside = lambda k: sum((F.get(flags, k + i) for i in range(1, window)), F.get(flags, k)) >= least
+        windows = F.transform(F.sequence(F.lit(0), F.greatest(F.size(flags) - window, F.lit(0))), inside)
+        trim = lambda k: F.when(k == 1, F.lit(0)).when(k > 1, k + F.array_position(F.slice(flags, k, window), 1) - 2)
+        return F.when(F.size(flags) < window, F.lit(0)).otherwise(let(F.array_position(windows, True).cast("int"), trim)).cast("long")
+
+    return let(ident, of)
 
 
 def terminal_trim(ident: Column, window: int = 5, threshold: float = 75.0) -> Column:

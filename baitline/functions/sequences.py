@@ -68,19 +68,23 @@ def internal_stops(protein: Column, terminal_is_fine: bool = True) -> Column:
     return F.when(protein.endswith("*"), n - 1).otherwise(n) if terminal_is_fine else n
 
 
-def entropy(text: Column) -> Column:
-    """Shannon entropy (bits) of the letters of text."""
+def letters_of(text: Column) -> Column:
+    return F.filter(F.array_sort(F.array_distinct(F.split(text, ""))), lambda c: c != "")
+
+
+def entropy(text: Column, letters: Column | None = None) -> Column:
+    """Shannon entropy (bits) of the letters of text; letters: all that may occur, where they are known already."""
     n = F.length(text)
-    letters = F.array_sort(F.array_distinct(F.split(text, "")))
-    count = lambda c: n - F.length(F.replace(text, c, F.lit("")))
-    part = lambda c: (count(c) / n) * F.log2(count(c) / n)
-    return F.when(n > 0, -F.aggregate(F.transform(F.filter(letters, lambda c: c != ""), part), F.lit(0.0), lambda a, x: a + x)).otherwise(0.0)
+    shares = F.transform(letters_of(text) if letters is None else letters, lambda c: (n - F.length(F.replace(text, c, F.lit("")))) / n)
+    return F.when(n > 0, -F.aggregate(shares, F.lit(0.0), lambda a, p: a + F.when(p > 0, p * F.log2(p)).otherwise(0.0))).otherwise(0.0)
 
 
 def low_complexity(seq: Column, window: int = 100, threshold: float = 1.5) -> Column:
     """Whether any window has an entropy of at most threshold; a shorter sequence is one window."""
     last = F.greatest(F.length(seq) - window, F.lit(0))
-    return F.exists(F.sequence(F.lit(0), last), lambda k: entropy(F.substr(seq, k + 1, F.lit(window))) <= threshold)
+    windows = F.transform(F.sequence(F.lit(0), last), lambda k: F.substr(seq, k + 1, F.lit(window)))
+    low = lambda letters: F.exists(windows, lambda w: entropy(w, letters) <= threshold)
+    return F.get(F.transform(F.array(letters_of(seq)), low), F.lit(0))
 
 
 def contig_depth(contig: Column) -> Column:

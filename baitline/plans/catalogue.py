@@ -238,7 +238,8 @@ _GAPPED = "substr(repeat(translate(md5(contig), '0123456789abcdef', 'ACGT-CGTACG
 
 
 def _with_ident(h):
-    return h.withColumn("ident", F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.when(F.instr(F.lit("0123"), F.substr(F.md5(F.col("contig").cast("binary")), i, F.lit(1))) > 0, 0).otherwise(1)))
+    flags = lambda digest: F.transform(F.sequence(F.lit(1), F.lit(32)), lambda i: F.when(F.instr(F.lit("0123"), F.substr(digest, i, F.lit(1))) > 0, 0).otherwise(1))
+    return h.withColumn("ident", ranges.let(F.md5(F.col("contig").cast("binary")), flags))
 
 
 def _with_gapped(h):
