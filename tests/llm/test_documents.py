@@ -236,6 +236,28 @@ def test_drop_near(spark, odd, none):
     assert simhash.drop_near(none).count() == 0
 
 
+def test_drop_near_finds_all_pairs_from_four_fifths_on(spark):
+    rng = random.Random(12)
+    rows, want = [], set()
+    for pair in range(200):
+        words = random_words(rng, rng.randrange(60, 500), 100_000).split()
+        other = [*words]
+        grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+        near = lambda w: len(grams(words) & grams(w)) / len(grams(words) | grams(w))
+        while near(other) > (0.92, 0.84)[pair % 2]:
+            before = [*other]
+            other[rng.randrange(len(other))] = f"edit{rng.randrange(10**6)}"
+        if pair % 4 == 3:  # just above the limit, or just below
+            while near(other) >= 0.8:
+                before, other = other, [*other]
+                other[rng.randrange(len(other))] = f"edit{rng.randrange(10**6)}"
+            other = before if pair % 8 == 3 else other
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(other))]
+        want |= {2 * pair} | ({2 * pair + 1} if near(other) < 0.8 else set())
+    left = simhash.drop_near(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in left} == want
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000 + i, 1001 + i) for i in range(120)] + [(7, 7)]
