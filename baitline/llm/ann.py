@@ -11,7 +11,8 @@ block of rows in its buckets. The candidates of all tables are merged and ranked
 its k best for a query, and these are merged in a window over each query. Neither candidates nor pairs are shuffled.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do rows
-with null id; vectors of different lengths are not compared; a query with fewer than k found has that many rows; equal
+with null id; vectors of different lengths are not compared; a query for which the buckets hold fewer than k is compared with all
+rows of its length, so it has fewer only where there are fewer; equal
 cosines go to the smaller id; where an id is repeated, each of its rows is asked, none of its rows is a candidate for
 it, and a candidate counts once with its best score; an empty table gives an empty result; extra columns are ignored.
 """
@@ -103,8 +104,8 @@ def rerank(vectors: np.ndarray, ids: np.ndarray, norms: np.ndarray, found: np.nd
     return ids[found][best], score[best]
 
 
-def _pair(table: pa.Table, k: int, options: dict) -> pa.Table:
-    """One block of rows against one block of queries."""
+def _pair(table: pa.Table, k: int, options: dict, whole: bool = False) -> pa.Table:
+    """One block of rows against one block of queries; whole: every row is a candidate."""
     role = table.column("asks").to_numpy()
     ids = table.column("vec_id").to_numpy()
     flat = table.column("vector").combine_chunks()
@@ -118,7 +119,7 @@ def _pair(table: pa.Table, k: int, options: dict) -> pa.Table:
         for at in range(0, len(asks), QUERY_ROWS):
             part = asks[at : at + QUERY_ROWS]
             unit_asks = vectors[part] / np.sqrt((vectors[part] ** 2).sum(axis=1))[:, None]
-            for i, found in zip(part, search_block(unit, unit_asks, **options)):
+            for i, found in zip(part, [np.arange(len(rows))] * len(part) if whole else search_block(unit, unit_asks, **options)):
                 best, score = rerank(base, base_ids, norms, found, vectors[i], ids[i], k)
                 out.extend((ids[i], b, s) for b, s in zip(best.tolist(), score.tolist()))
     columns = [*zip(*out)] or [[], [], []]
@@ -137,14 +138,25 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_
     long_batches(spark, 4096)
     own = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = checkpointed(own.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))))
-    n, n_asks = rows.agg(F.count("*"), F.count(F.when(F.col("asks"), 1))).first()
-    blocks, ask_blocks = max(1, -(-n // block_rows)), max(1, -(-n_asks // block_rows))
-    deal = F.xxhash64("vec_id")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    base = rows.select("vec_id", "vector", F.lit(False).alias("asks"), F.pmod(deal, F.lit(blocks)).cast("int").alias("block"), every(ask_blocks).alias("ask_block"))
-    asked = rows.where("asks").select("vec_id", "vector", "asks", every(blocks).alias("block"), F.pmod(deal, F.lit(ask_blocks)).cast("int").alias("ask_block"))
-    both = base.unionByName(asked).withColumn("dim", F.size("vector"))
-    found = both.groupBy("block", "ask_block", "dim").applyInArrow(lambda group: _pair(group, k, options), "query_id long, vec_id long, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    n = rows.count()
+
+    def merged(asked: DataFrame, whole: bool) -> DataFrame:
+        """(query_id, vec_id, score): the best of the blocks for the asked rows."""
+        n_asks = asked.count()
+        blocks, ask_blocks = max(1, -(-n // block_rows)), max(1, -(-n_asks // block_rows))
+        deal = F.xxhash64("vec_id")
+        every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+        base = rows.select("vec_id", "vector", F.lit(False).alias("asks"), F.pmod(deal, F.lit(blocks)).cast("int").alias("block"), every(ask_blocks).alias("ask_block"))
+        asking = asked.select("vec_id", "vector", "asks", every(blocks).alias("block"), F.pmod(deal, F.lit(ask_blocks)).cast("int").alias("ask_block"))
+        both = base.unionByName(asking).withColumn("dim", F.size("vector"))
+        found = both.groupBy("block", "ask_block", "dim").applyInArrow(lambda group: _pair(group, k, options, whole), "query_id long, vec_id long, score double")
+        return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+
+    asked = rows.where("asks")
+    best = checkpointed(merged(asked, False))
+    full = best.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"))
+    short = checkpointed(asked.join(full, "vec_id", "left_anti").select("vec_id", "vector", "asks"))
+    if not short.isEmpty():
+        best = best.unionByName(merged(short, True)).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

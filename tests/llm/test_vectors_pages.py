@@ -60,6 +60,18 @@ def test_odd_vectors(spark):
     assert ann.nearest(frame.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_few_rows_are_all_found(spark):
+    rng = random.Random(9)
+    point = lambda dim: [rng.gauss(0, 1) for _ in range(dim)]
+    rows = [(i, point(24)) for i in range(0, 200, 50)] + [(1000, point(30)), (1001, [-x for x in point(30)])]
+    rows += [(2000, [1.0] + [0.0] * 19), (2001, [-1.0] + [0.0] * 19), (2002, [0.0, 1.0] + [0.0] * 18)]
+    frame = spark.createDataFrame([(i, v, 0, "x", "y", "z") for i, v in rows], VECTORS)
+    got = defaultdict(list)
+    for r in ann.nearest(frame, F.col("vec_id") % 50 == 0, tables=2).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.vec_id, pytest.approx(r.score, abs=1e-6)))
+    assert got == {q: [(i, -s) for s, i in f] for q, f in brute(rows).items() if f}
+
+
 def test_probes_come_in_order_of_expected_distance():
     template = ann.probe_template(4, 40)
     m = 4
