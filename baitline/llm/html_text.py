@@ -9,7 +9,8 @@
 3. A page's texts that are template tokens are furniture; what stands between template tokens are slots. A slot is
    dropped if an element around it is furniture by its kind or name (menus, headers, footers, sidebars, notices,
    adverts, forms, scripts, styles, comments). Of the rest, slots inside an article or main element are the main text,
-   all of them, repeated or not; on pages without one, the element that holds most of the unlinked text is.
+   all of them, repeated or not; on pages without one, all slots within the deepest element
+   that holds every slot but lists of links are.
 
 Hosts with fewer than MIN_PAGES pages have no template; there the kinds and names of elements decide alone.
 
@@ -200,11 +201,11 @@ class Page:
         slots = [(text, e) for text, e, key in self.blocks if not e.furniture and (e.main or text_token(key, text) not in template)]
         if any(e.main for _, e in slots):
             return "\n".join(text for text, e in slots if e.main)
-        best = self._densest(slots)
+        best = self._around(slots)
         return "\n".join(text for text, e in slots if best is None or _within(e, best))
 
-    def _densest(self, slots: list[tuple[str, Element]]) -> Element | None:
-        """The deepest element with at least four fifths of the unlinked text that the slots hold."""
+    def _around(self, slots: list[tuple[str, Element]]) -> Element | None:
+        """The deepest element that holds all slots but lists of links."""
         weight: Counter[Element] = Counter()
         total = 0
         for text, e in slots:
@@ -214,7 +215,7 @@ class Page:
             while e is not None:
                 weight[e] += len(text)
                 e = e.parent
-        enough = [e for e in weight if weight[e] * 5 >= total * 4 and e.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "span", "b", "i", "a", "em", "strong")]
+        enough = [e for e in weight if weight[e] == total and e.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "span", "b", "i", "a", "em", "strong")]
         return max(enough, key=_depth, default=None)
 
 

@@ -104,6 +104,18 @@ def test_main_text(page):
     assert html_text.Page(page).main_text(frozenset()).split("\n") == LINES
 
 
+@pytest.mark.parametrize(
+    ("page", "lines"),
+    [
+        ("<body><h1>Title</h1><div class=content><p>" + "words " * 40 + "</p><p>More</p></div>", ["Title", ("words " * 40).strip(), "More"]),
+        ("<body><div><p>" + "first " * 85 + "</p></div><section><p>" + "last " * 15 + "</p></section>", [("first " * 85).strip(), ("last " * 15).strip()]),
+        ("<body><div><p>Before</p><blockquote>" + "said " * 90 + "</blockquote><p>After</p></div><div><a href=a>A</a> <a href=b>B</a></div>", ["Before", ("said " * 90).strip(), "After"]),
+    ],
+)
+def test_text_beside_the_largest_block_stays(page, lines):
+    assert html_text.Page(page).main_text(frozenset()).split("\n") == lines
+
+
 def test_template_takes_out_what_hosts_repeat(spark):
     rng = random.Random(7)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
