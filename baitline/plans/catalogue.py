@@ -100,6 +100,11 @@ def unmatched_genes(t, h):
     return distribute.genes_without_hits(t, h.where("score > 49 and ln = 6 and read_id % 50 = 0"))
 
 
+@query("select distinct gene from targets where gene not in (select gene from hits)", "targets", "hits")
+def genes_without_any_hit(t, h):
+    return distribute.genes_without_hits(t, h)
+
+
 @query(
     f"select b.gene, coalesce(w.taxon, b.taxon) as taxon from ({_BEST.format(where='')}) b left join (select gene, min(taxon) as taxon from targets where length(seq) > 88 group by gene) w on b.gene = w.gene",
     "hits",

@@ -252,3 +252,13 @@ def test_commands(spark):
     mates = spark.createDataFrame([("g", i, 0, 3, 0, 6, 9, 5) for i in range(6)], "gene string, read_id long, start1 long, end1 long, nm1 long, start2 long, end2 long, nm2 long")
     pieces = spark.createDataFrame([("g", "a", 1, "AAAAA"), ("g", "b", 2, "CCCCC")], "gene string, contig string, rank int, piece string")
     assert [tuple(r) for r in pipelines.chimera_check(pieces, mates).collect()] == [("g", 6)]
+
+
+def test_genes_without_any_hit(spark):
+    """Over all hits, whatever their ids, scores and lengths."""
+    t = spark.createDataFrame([("a",), ("b",), ("b",), ("c",)], "gene string")
+    h = spark.createDataFrame([("a", 7, 1, 3), ("c", 50, 60, 6), ("z", 51, 0, 1)], "gene string, read_id long, score long, ln long")
+    from baitline.plans import catalogue
+
+    assert "genes_without_any_hit" in catalogue.queries()
+    assert [r.gene for r in distribute.genes_without_hits(t, h).collect()] == ["b"]
