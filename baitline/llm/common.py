@@ -51,8 +51,11 @@ ROW_BYTES = 2048
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimizer's estimate of df's size, from file sizes, without a job; by a count where it has none."""
-    known = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The size of what df reads: the optimizer's figures for the leaves of its plan, from file sizes, without a job; by
+    a count where they are unknown. A join reads its sides once each, whatever the optimizer makes of their product.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    known = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return known if known < 1 << 52 else df.count() * ROW_BYTES
 
 

@@ -7,21 +7,23 @@ Cutting. Every GRAM-byte gram has a 64-bit digest, and each string of LENGTH byt
 its anchor. Equal strings have equal anchors at equal offsets, so they meet when anchors are grouped; and consecutive
 starts with one anchor are a cell, about 35 bytes of starts whose strings span up to MOST bytes of text, the context.
 
-1. Documents are dealt to blocks. A block sums up its cells: one entry per anchor and context digest (two 64-bit
-   digests together), with its first occurrence. Copies, however many, leave one entry a block.
-2. Entries meet by anchor. An anchor with one entry is done. Equal contexts in several blocks: all but the first are
-   repeats as a whole. An anchor with different contexts is sent on: the first of each context, as text.
-3. Contexts of an anchor are put into an enhanced suffix array, with those of other anchors of the same part. The scan
-   over it finds the common-prefix intervals of LENGTH bytes or more that can't be extended to the left: the maximal
-   repeat groups with all their occurrences. All but the first occurrence of a group are repeats.
+1. Documents are dealt to blocks. A block sums up its cells: one entry per anchor and context, with its first
+   occurrence. Copies, however many, leave one entry a block: cells whose digests agree are compared byte by byte.
+2. Entries meet by anchor. An anchor with one entry is done; the others' contexts are asked for, as text.
+3. Contexts of an anchor are put into an enhanced suffix array, with those of other anchors of the same part. Equal
+   contexts, found by their bytes, are one leaf of it with several occurrences. The scan over it finds the
+   common-prefix intervals of LENGTH bytes or more that can't be extended to the left: the maximal repeat groups with
+   all their occurrences. All but the first occurrence of a group are repeats.
 4. Spans go back to the documents' blocks, where they are united.
 
-An anchor with more than HOT different contexts (a passage that very many documents share, at its edges) isn't gathered
-in one task: each context is cut to its strings, and these are grouped by two 64-bit digests, first come first kept,
-pre-aggregated by block. This path gives the same spans.
+An anchor with more than ``hot`` different contexts (a passage that very many documents share, at its edges) isn't
+gathered in one task: its contexts are cut into pieces of STEP starts, aligned at the anchor, and dealt by the bytes
+that all strings of a piece have, LENGTH - STEP + 1 of them. A piece is a shorter context, so steps 3 and 4 are the same.
+
+Digests only say which bytes are compared; nothing is removed on a digest's word.
 
 What is shuffled: the texts (compressed) three times, an entry of about 20 bytes per 35 bytes of text, and the contexts
-near the edges of repeats. No row, group or text is collected anywhere.
+whose anchors occur in several blocks or with different texts. No row, group or text is collected anywhere.
 
 Defined cases: null text is empty; texts shorter than LENGTH lose nothing; a null id comes before all others; rows
 with one id are told apart and ordered by their texts, equal rows in any order; an empty table gives an empty result;
@@ -38,6 +40,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from baitline.llm.common import OnBatches, checkpointed, input_bytes, short_batches, text_or_empty
 from baitline.llm.suffix_array import MOST, maximal_repeats
@@ -45,6 +48,9 @@ from baitline.llm.suffix_array import MOST, maximal_repeats
 LENGTH = 100
 GRAM = 32
 HOT = 2048
+STEP = 8
+#: Contexts that one suffix array holds, unless a single anchor has more.
+TOGETHER = 8192
 #: Compressed input of a block, and starts handled at a time.
 BLOCK_BYTES = 4 << 20
 SLICE = 1 << 18
@@ -86,11 +92,11 @@ def string_digests(g: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
     return mix(mix(mix(a * M1 + b) * M2 + c) * M3 + d), mix(mix(mix(a * M5 + c) * M4 + d) * M2 + b)
 
 
-CELL = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("count", "<u4")])
+CELL = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("count", "<u2"), ("at", "<u2")])
 
 
 def cells(data: bytes, doc: int) -> np.ndarray:
-    """The cells of one text: anchor, context digest, first start and number of starts, in order."""
+    """The cells of one text: anchor, context digest, first start, number of starts and the anchor's place after it, in order."""
     every = np.frombuffer(data, np.uint8)
     out = []
     for low in range(0, len(every) - LENGTH + 1, SLICE):
@@ -105,7 +111,7 @@ def cells(data: bytes, doc: int) -> np.ndarray:
         for at in (first + GRAM, first + 2 * GRAM, np.minimum(first + 3 * GRAM, end), np.maximum(end - GRAM, first), end):
             c = mix(c * M2 + g[at])
         part = np.empty(len(first), CELL)
-        part["anchor"], part["context"], part["doc"], part["start"], part["count"] = g[place], mix(c), doc, first + low, count
+        part["anchor"], part["context"], part["doc"], part["start"], part["count"], part["at"] = g[place], mix(c), doc, first + low, count, place - first
         out.append(part)
     return np.concatenate(out) if out else np.empty(0, CELL)
 
@@ -144,12 +150,29 @@ class Block:
         self.given = [d[2] for d in docs]
 
     def cells(self) -> tuple[np.ndarray, np.ndarray]:
-        """(cells sorted by anchor, context, document and start; marks of the first of each anchor and context)."""
+        """(cells sorted by anchor, context, document and start; marks of the first of each anchor and context).
+
+        Cells with one anchor and context have equal bytes: where they differ, the later ones get another digest.
+        """
         found = np.concatenate([np.empty(0, CELL), *(cells(t, n) for n, t in enumerate(self.texts))])
-        found = found[np.lexsort((found["start"], found["doc"], found["context"], found["anchor"]))]
-        new = np.ones(len(found), bool)
-        new[1:] = (found["anchor"][1:] != found["anchor"][:-1]) | (found["context"][1:] != found["context"][:-1])
-        return found, new
+        salt = 0
+        while True:
+            found = found[np.lexsort((found["start"], found["doc"], found["context"], found["anchor"]))]
+            new = np.ones(len(found), bool)
+            new[1:] = (found["anchor"][1:] != found["anchor"][:-1]) | (found["context"][1:] != found["context"][:-1])
+            later = np.flatnonzero(~new)
+            first = np.maximum.accumulate(np.where(new, np.arange(len(found)), 0))[later]
+            wrong = [i for i, a, b in zip(later.tolist(), self.contexts(found[first]), self.contexts(found[later])) if a != b]
+            if not wrong:
+                return found, new
+            salt += 1
+            for i, text in zip(wrong, self.contexts(found[wrong])):
+                found["context"][i] = int.from_bytes(hashlib.blake2b(text, digest_size=8, salt=salt.to_bytes(8, "big")).digest(), "big")
+
+    def contexts(self, rows: np.ndarray) -> Iterator[bytes]:
+        """The texts of cells."""
+        for doc, start, count in zip(rows["doc"].tolist(), rows["start"].tolist(), rows["count"].tolist()):
+            yield self.texts[doc][start : start + count + LENGTH - 1]
 
 
 def _rows(names: str, *columns) -> pa.Table:
@@ -162,57 +185,75 @@ ENTRIES = "part int, block int, data binary"
 ENTRY_KINDS = ("<u8", "<u8", "<i8", "<u4", "<u4")
 
 
+def runs(sorted_values: np.ndarray) -> list[tuple[int, int, int]]:
+    """(value, from, to) of each run of equal values."""
+    if not len(sorted_values):
+        return []
+    cuts = np.flatnonzero(np.concatenate(([True], sorted_values[1:] != sorted_values[:-1], [True]))).tolist()
+    return [(int(sorted_values[a]), a, b) for a, b in zip(cuts, cuts[1:])]
+
+
+def part_of(digests: np.ndarray, parts: int) -> np.ndarray:
+    return ((digests >> U(40)) % U(parts)).astype(np.int64) if parts <= 1 << 20 else (digests % U(parts)).astype(np.int64)
+
+
 def _entries(table: pa.Table, parts: int) -> pa.Table:
     """Step 1: a block's entries by part: anchor, context, id, number in the block, start."""
     block = Block(table)
     found, new = block.cells()
     found = found[new]
-    part = ((found["anchor"] >> U(40)) % U(parts)).astype(np.int64)
+    part = part_of(found["anchor"], parts)
     order = np.argsort(part, kind="stable")
-    found, part = found[order], part[order]
-    cuts = np.searchsorted(part, np.arange(parts + 1))
-    out = []
-    for p in range(parts):
-        f = found[cuts[p] : cuts[p + 1]]
-        if len(f):
-            out.append((p, pack(f["anchor"], f["context"], block.ids[f["doc"]], f["doc"], f["start"])))
+    found = found[order]
+    out = [(p, pack(f["anchor"], f["context"], block.ids[f["doc"]], f["doc"], f["start"])) for p, a, b in runs(part[order]) for f in (found[a:b],)]
     return _rows(ENTRIES, [p for p, _ in out], [table.column("block")[0].as_py()] * len(out), [d for _, d in out])
 
 
-#: What a block is told of an entry: it isn't the first; its context must be sent; so must its strings.
-REPEAT, SEND, SPLIT = 1, 2, 4
+#: What a block is asked for: an entry's context, or its pieces.
+SEND, SPLIT = 1, 2
 
 
 def _answers(table: pa.Table, hot: int = HOT) -> pa.Table:
-    """Step 2: what the blocks are told of a part's entries."""
+    """Step 2: what the blocks are asked of a part's entries."""
     blocks = table.column("block").to_pylist()
-    read = [unpack(d, *ENTRY_KINDS) for d in table.column("data").to_pylist()]
-    anchor, context, ids, doc, start = (np.concatenate([r[i] for r in read]) for i in range(5))
+    read = [unpack(d, *ENTRY_KINDS)[:2] for d in table.column("data").to_pylist()]
+    anchor, context = (np.concatenate([r[i] for r in read]) for i in range(2))
     block = np.repeat(np.array(blocks, np.int64), [len(r[0]) for r in read])
-    order = np.lexsort((start, doc, ids, context, anchor))  # equal ids are in one block, so doc orders them
+    order = np.lexsort((context, anchor))
     anchor, context, block = anchor[order], context[order], block[order]
     new_anchor = np.concatenate(([True], anchor[1:] != anchor[:-1]))
     new = new_anchor | np.concatenate(([True], context[1:] != context[:-1]))
-    contexts = np.add.reduceat(new, np.flatnonzero(new_anchor))[np.cumsum(new_anchor) - 1]
-    told = np.where(new, 0, REPEAT) | np.where(new & (contexts > 1), np.where(contexts > hot, SPLIT, SEND), 0)
-    keep = told > 0
-    anchor, context, block, told = anchor[keep], context[keep], block[keep], told[keep].astype(np.uint8)
-    order = np.argsort(block, kind="stable")
-    anchor, context, block, told = anchor[order], context[order], block[order], told[order]
-    cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1], [True]))) if len(block) else np.array([0])
-    spans = [*zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-    return _rows("part int, block int, data binary", [0] * len(spans), [int(block[a]) for a, _ in spans], [pack(anchor[a:b], context[a:b], told[a:b]) for a, b in spans])
+    firsts, own = np.flatnonzero(new_anchor), np.cumsum(new_anchor) - 1
+    entries, contexts = np.diff(np.append(firsts, len(anchor)))[own], np.add.reduceat(new, firsts)[own]
+    told = np.where(entries > 1, np.where(contexts > hot, SPLIT, SEND), 0).astype(np.uint8)
+    keep = np.flatnonzero(told)
+    keep = keep[np.argsort(block[keep], kind="stable")]
+    asked = [(b, pack(anchor[k], context[k], told[k])) for b, x, y in runs(block[keep]) for k in (keep[x:y],)]
+    return _rows(ENTRIES, [0] * len(asked), [b for b, _ in asked], [d for _, d in asked])
 
 
 SENT = "kind int, part int, block int, data binary, texts binary"
-CONTEXTS, STRINGS, SPANS = 0, 1, 2
-CONTEXT_KINDS = ("<u8", "<i8", "<u4", "<u4", "<u4", "<u2")
-STRING_KINDS = ("<u8", "<u8", "<i8", "<u4", "<u4")
+CONTEXTS, SPANS = 0, 1
+CONTEXT_KINDS = ("<u8", "<i8", "<u4", "<u4", "<u2")
 SPAN_KINDS = ("<u4", "<u4", "<u4")
 
 
+def pieces(cell: np.void, text: bytes) -> Iterator[tuple[int, int, int]]:
+    """(key, first start, number of starts) of a context's pieces; starts are counted from the context's own.
+
+    A piece holds the starts whose strings have the anchor between low and high bytes after their beginning; the bytes
+    from low before the anchor on that all such strings have make its key.
+    """
+    at, count = int(cell["at"]), int(cell["count"])
+    for low in range(0, LENGTH - GRAM + 1, STEP):
+        high = min(low + STEP - 1, LENGTH - GRAM)
+        first, last = max(at - high, 0), min(at - low, count - 1)
+        if first <= last:
+            yield xxh3_64_intdigest(text[at - low : at + LENGTH - high], low), first, last - first + 1
+
+
 def _sent(left: pa.Table, right: pa.Table, parts: int) -> pa.Table:
-    """Step 3, in a block: spans it knows of already, and contexts and strings for the parts."""
+    """Step 3, in a block: spans of its own repeats, and contexts and pieces for the parts."""
     if not left.num_rows:
         return _rows(SENT, [], [], [], [], [])
     number = left.column("block")[0].as_py()
@@ -223,100 +264,90 @@ def _sent(left: pa.Table, right: pa.Table, parts: int) -> pa.Table:
     answers = [unpack(d, "<u8", "<u8", "u1") for d in right.column("data").to_pylist()]
     if answers and len(at):
         anchor, context, code = (np.concatenate([a[i] for a in answers]) for i in range(3))
-        # both sides sorted by (anchor, context), without repeats: merge
-        keys = np.empty(len(at), [("a", "<u8"), ("c", "<u8")])
-        keys["a"], keys["c"] = found["anchor"][at], found["context"][at]
-        order = np.lexsort((np.concatenate((np.ones(len(at), np.int8), np.zeros(len(anchor), np.int8))), np.concatenate((keys["c"], context)), np.concatenate((keys["a"], anchor))))
-        own = order < len(at)
-        place = np.flatnonzero(own)
-        prior = order[np.maximum(place - 1, 0)]
-        hit = (place > 0) & (prior >= len(at))
-        target, source = order[place[hit]], prior[hit] - len(at)
-        same = (keys["a"][target] == anchor[source]) & (keys["c"][target] == context[source])
-        told[at[target[same]]] = code[source[same]]
-    gone = ~new | ((told & REPEAT) > 0)
+        # both sides without repeats: sorted together, an answer comes before its own cell
+        anchors, contexts = np.concatenate((found["anchor"][at], anchor)), np.concatenate((found["context"][at], context))
+        order = np.lexsort((np.arange(len(anchors)) < len(at), contexts, anchors))
+        place = np.flatnonzero(order < len(at))
+        place = place[place > 0]
+        own, prior = order[place], order[place - 1]
+        same = (prior >= len(at)) & (anchors[own] == anchors[prior]) & (contexts[own] == contexts[prior])
+        told[at[own[same]]] = code[prior[same] - len(at)]
     rows = []
-    g = found[gone]
-    if len(g):
-        rows.append((SPANS, 0, number, pack(g["doc"], g["start"], g["start"] + g["count"] + np.uint32(LENGTH - 1)), b""))
-    ids = block.ids
-    send = found[(told & SEND) > 0]
-    part = ((send["anchor"] >> U(40)) % U(parts)).astype(np.int64)
+
+    def repeat(doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> None:
+        if len(doc):
+            rows.append((SPANS, 0, number, pack(doc.astype("<u4"), start.astype("<u4"), (start + count + np.uint32(LENGTH - 1)).astype("<u4")), b""))
+
+    repeat(found["doc"][~new], found["start"][~new], found["count"][~new])
+    send = found[told == SEND]
+    split = found[told == SPLIT]
+    if len(split):
+        split = split[np.lexsort((split["start"], split["doc"]))]
+        cut = np.empty(len(split) * (-(-(LENGTH - GRAM + 1) // STEP)), CELL)
+        n = 0
+        for cell, text in zip(split, block.contexts(split)):
+            for key, first, count in pieces(cell, text):
+                cut[n] = key, 0, cell["doc"], int(cell["start"]) + first, count, 0
+                n += 1
+        cut = cut[:n]
+        seen: set = set()
+        again = np.array([(x := (k, t)) in seen or seen.add(x) is not None for k, t in zip(cut["anchor"].tolist(), block.contexts(cut))], bool)
+        repeat(cut["doc"][again], cut["start"][again], cut["count"][again])
+        send = np.concatenate((send, cut[~again]))
+    part = part_of(send["anchor"], parts)
     order = np.lexsort((send["start"], send["doc"], send["anchor"], part))
-    send, part = send[order], part[order]
-    cuts = np.searchsorted(part, np.arange(parts + 1))
-    for p in range(parts):
-        s = send[cuts[p] : cuts[p + 1]]
-        if len(s):
-            texts = b"".join(block.texts[d][a : a + n + LENGTH - 1] for d, a, n in zip(s["doc"].tolist(), s["start"].tolist(), s["count"].tolist()))
-            rows.append((CONTEXTS, p, number, pack(s["anchor"], ids[s["doc"]], s["doc"], s["start"], s["count"], np.zeros(len(s), "<u2")), zstandard.compress(texts, 3)))
-    split = found[(told & SPLIT) > 0]
-    strings = []
-    for s in split:
-        text = np.frombuffer(block.texts[s["doc"]], np.uint8)[int(s["start"]) : int(s["start"]) + int(s["count"]) + LENGTH - 1]
-        one, two = string_digests(grams(text), np.arange(int(s["count"])))
-        strings.append((one, two, np.full(len(one), s["doc"], "<u4"), (s["start"] + np.arange(len(one))).astype("<u4")))
-    if strings:
-        one, two, doc, start = (np.concatenate([x[i] for x in strings]) for i in range(4))
-        order = np.lexsort((start, doc, two, one))
-        one, two, doc, start = one[order], two[order], doc[order], start[order]
-        first = np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])))
-        if not first.all():
-            rows.append((SPANS, 0, number, pack(doc[~first], start[~first], start[~first] + np.uint32(LENGTH)), b""))
-        one, two, doc, start = one[first], two[first], doc[first], start[first]
-        part = ((one >> U(40)) % U(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        one, two, doc, start, part = one[order], two[order], doc[order], start[order], part[order]
-        cuts = np.searchsorted(part, np.arange(parts + 1))
-        for p in range(parts):
-            a, b = cuts[p], cuts[p + 1]
-            if b > a:
-                rows.append((STRINGS, p, number, pack(one[a:b], two[a:b], ids[doc[a:b]], doc[a:b], start[a:b]), b""))
+    send = send[order]
+    for p, a, b in runs(part[order]):
+        s = send[a:b]
+        rows.append((CONTEXTS, p, number, pack(s["anchor"], block.ids[s["doc"]], s["doc"], s["start"], s["count"]), zstandard.compress(b"".join(block.contexts(s)), 3)))
     return _rows(SENT, *([r[i] for r in rows] for i in range(5)))
 
 
 def _grouped(table: pa.Table) -> pa.Table:
     """Step 3, in a part: spans of all occurrences of maximal repeats but the first, by block."""
-    kinds, blocks = table.column("kind").to_pylist(), table.column("block").to_pylist()
-    data, texts = table.column("data").to_pylist(), table.column("texts").to_pylist()
+    read = [unpack(d, *CONTEXT_KINDS) for d in table.column("data").to_pylist()]
+    anchor, ids, doc, start, count = (np.concatenate([r[i] for r in read]) for i in range(5))
+    block = np.repeat(np.array(table.column("block").to_pylist(), np.int64), [len(r[0]) for r in read])
+    count = count.astype(np.int64)
+    joined = b"".join(zstandard.decompress(t) for t in table.column("texts").to_pylist())
+    whole = np.frombuffer(joined, np.uint8)
+    offset = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
+    # leaves: equal contexts of an anchor, the first occurrence before the others (equal ids are in one block, so doc orders them)
+    order = np.lexsort((start, doc, ids, anchor))
     spans: list[tuple[np.ndarray, ...]] = []  # block, doc, start, end
-    at = [i for i, k in enumerate(kinds) if k == CONTEXTS]
-    if at:
-        read = [unpack(data[i], *CONTEXT_KINDS) for i in at]
-        anchor, ids, doc, start, count, _ = (np.concatenate([r[i] for r in read]) for i in range(6))
-        block = np.repeat(np.array([blocks[i] for i in at], np.int64), [len(r[0]) for r in read])
-        whole = np.frombuffer(b"".join(zstandard.decompress(texts[i]) for i in at), np.uint8)
-        size = count.astype(np.int64) + LENGTH - 1
-        offset = np.concatenate(([0], np.cumsum(size)))[:-1]
-        order = np.argsort(anchor, kind="stable")
-        # as many anchors at a time as make a suffix array of bounded size
-        cut_at = np.flatnonzero(np.concatenate(([True], anchor[order][1:] != anchor[order][:-1], [True])))
-        low = 0
-        while low < len(cut_at) - 1:
-            high = low + 1
-            while high < len(cut_at) - 1 and cut_at[high + 1] - cut_at[low] <= 4 * HOT:
-                high += 1
-            chosen = order[cut_at[low] : cut_at[high]]
-            spans.extend(_repeats_of(whole, offset[chosen], count[chosen].astype(np.int64), block[chosen], ids[chosen], doc[chosen], start[chosen]))
-            low = high
-    at = [i for i, k in enumerate(kinds) if k == STRINGS]
-    if at:
-        read = [unpack(data[i], *STRING_KINDS) for i in at]
-        one, two, ids, doc, start = (np.concatenate([r[i] for r in read]) for i in range(5))
-        block = np.repeat(np.array([blocks[i] for i in at], np.int64), [len(r[0]) for r in read])
-        order = np.lexsort((start, doc, ids, two, one))
-        one, two = one[order], two[order]
-        later = order[np.concatenate(([False], (one[1:] == one[:-1]) & (two[1:] == two[:-1])))]
-        spans.append((block[later], doc[later], start[later], start[later] + np.uint32(LENGTH)))
+    leaves, later = [], []
+    for _, a, b in runs(anchor[order]):
+        members = order[a:b]
+        seen: set[bytes] = set()
+        own = []
+        for i, low, size in zip(members.tolist(), offset[members].tolist(), count[members].tolist()):
+            text = joined[low : low + size + LENGTH - 1]
+            if text in seen:
+                later.append(i)
+            else:
+                seen.add(text)
+                own.append(i)
+        if len(own) > 1:
+            leaves.append(own)
+    if later:
+        i = np.array(later)
+        spans.append((block[i], doc[i], start[i], (start[i] + count[i] + LENGTH - 1).astype("<u4")))
+    low = 0
+    while low < len(leaves):
+        high, chosen = low + 1, [*leaves[low]]
+        while high < len(leaves) and len(chosen) + len(leaves[high]) <= TOGETHER:
+            chosen += leaves[high]
+            high += 1
+        i = np.array(chosen)
+        spans.extend(_repeats_of(whole, offset[i], count[i], block[i], ids[i], doc[i], start[i]))
+        low = high
     if not spans:
         return _rows(SENT, [], [], [], [], [])
     block, doc, start, end = (np.concatenate([s[i] for s in spans]) for i in range(4))
     order = np.argsort(block, kind="stable")
-    block, doc, start, end = block[order], doc[order], start[order], end[order]
-    cuts = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1], [True]))) if len(block) else np.array([0])
-    pairs = [*zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-    packed = [pack(doc[a:b].astype("<u4"), start[a:b].astype("<u4"), end[a:b].astype("<u4")) for a, b in pairs]
-    return _rows(SENT, [SPANS] * len(pairs), [0] * len(pairs), [int(block[a]) for a, _ in pairs], packed, [b""] * len(pairs))
+    doc, start, end = doc[order].astype("<u4"), start[order].astype("<u4"), end[order].astype("<u4")
+    out = [(b, pack(doc[x:y], start[x:y], end[x:y])) for b, x, y in runs(block[order])]
+    return _rows(SENT, [SPANS] * len(out), [0] * len(out), [b for b, _ in out], [d for _, d in out], [b""] * len(out))
 
 
 def _repeats_of(whole: np.ndarray, offset: np.ndarray, count: np.ndarray, block: np.ndarray, ids: np.ndarray, doc: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -359,6 +390,15 @@ def _repeats_of(whole: np.ndarray, offset: np.ndarray, count: np.ndarray, block:
         yield block[o], doc[o], (start[o] + inside[rest]).astype("<u4"), (start[o] + inside[rest] + length).astype("<u4")
 
 
+def dealing(docs: DataFrame, block_bytes: int) -> tuple[int, int]:
+    """(blocks, parts): numbers that grow with the input, so blocks and parts stay of one size; a part is of two blocks.
+
+    A block writes a row to each part that it has something for, so rows are never more than entries.
+    """
+    blocks = max(12, -(-input_bytes(docs) // block_bytes))
+    return blocks, max(12, blocks // 2)
+
+
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -407,9 +447,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if whole, the kept text (cut characters left out) and spans."""
     spark = docs.sparkSession
     short_batches(spark)
-    parts = max(12, -(-input_bytes(docs) // block_bytes))
+    blocks, parts = dealing(docs, block_bytes)
     key = F.col(id_col).cast("long")
-    rows = docs.select(F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("block"), key.alias("doc_id"), text_or_empty(text_col).alias("text"))
+    rows = docs.select(F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), key.alias("doc_id"), text_or_empty(text_col).alias("text"))
     dealt = rows.mapInArrow(OnBatches(_deal), "block int, doc_id long, z binary")
     entries = dealt.groupBy("block").applyInArrow(lambda t: _entries(t, parts), ENTRIES)
     answers = entries.groupBy("part").applyInArrow(lambda t: _answers(t, hot), ENTRIES)

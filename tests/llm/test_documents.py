@@ -311,6 +311,70 @@ def test_repeats_in_hard_texts(spark):
         assert all(0 <= s.start < s.end <= len(data) for s in r.spans)
 
 
+def colliding_halves(rng, n):
+    """Pairs of 16-byte printable texts whose sixteen bytes have one digest in repeats.grams: written down by solving for the second half."""
+    whole, odd = 1 << 64, repeats.M4.item()
+
+    def mixed(x):
+        x = (x ^ (x >> 32)) * odd % whole
+        return x ^ (x >> 29)
+
+    def unmixed(x):
+        x = x ^ (x >> 29) ^ (x >> 58)
+        x = x * pow(odd, -1, whole) % whole
+        return x ^ (x >> 32)
+
+    m1, m2, m3 = (repeats.M1.item(), repeats.M2.item(), repeats.M3.item())
+    word = lambda text: mixed(int.from_bytes(text, "little") * m1 % whole)
+    out = []
+    while len(out) < n:
+        one, two = (bytes(rng.randrange(97, 123) for _ in range(8)) for _ in range(2))
+        total = (word(one) * m2 + word(two) * m3) % whole
+        for _ in range(20_000):
+            first = bytes(rng.randrange(33, 127) for _ in range(8))
+            second = unmixed((total - word(first) * m2) * pow(m3, -1, whole) % whole) * pow(m1, -1, whole) % whole
+            second = second.to_bytes(8, "little")
+            if all(32 < c < 127 for c in second):
+                out.append((one + two, first + second))
+                break
+    return out
+
+
+@pytest.mark.parametrize("hot", [2048, 1])
+def test_texts_whose_digests_collide_are_kept(spark, hot):
+    rng = random.Random(3)
+    pairs = [(b"abcdefghijklmnop", b"?_k386<OE\\a-'kiA"), *colliding_halves(rng, 6)]
+    for a, b in pairs:  # the pairs do collide
+        assert a != b and len({repeats.grams(np.frombuffer(bytes(8) + x + bytes(24), np.uint8))[8].item() for x in (a, b)}) == 1
+    rows = []
+    for a, b in pairs:
+        head, tail = ("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(140)) for _ in range(2))
+        for middle in (a, b, a, b):
+            rows.append((len(rows), head + middle.decode() + tail))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = bag(plain_repeats(rows))
+    assert any(0 < r[2] < r[1] for r in want)
+    assert bag(repeats.remove_repeats(frame, hot=hot).collect()) == want  # over twelve blocks
+    one_block = frame.withColumn("doc_id", F.lit(None).cast("long"))
+    assert bag(r[1:] for r in repeats.remove_repeats(one_block, hot=hot).collect()) == bag(r[1:] for r in plain_repeats([(None, t) for _, t in rows]))
+
+
+@pytest.mark.parametrize("hot", [2048, 4])
+def test_repeats_of_a_passage_with_very_many_neighbours(spark, hot):
+    rng = random.Random(4)
+    line = "".join(rng.choice("abcdef ") for _ in range(150))
+    rows = [(i, "".join(rng.choice("uvw ") for _ in range(rng.randrange(80))) + line + "".join(rng.choice("xyz") for _ in range(rng.randrange(80)))) for i in range(150)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert bag(repeats.remove_repeats(frame, hot=hot, block_bytes=4096).collect()) == bag(plain_repeats(rows))
+
+
+def test_input_bytes_does_not_multiply(docs, spark):
+    from baitline.llm.common import input_bytes
+
+    labels = table(spark, SMALL, "labels")
+    assert input_bytes(docs.join(labels, "doc_id", "left")) <= input_bytes(docs) + input_bytes(labels)
+
+
 def test_suffix_array_and_intervals():
     from baitline.llm.suffix_array import maximal_repeats, sorted_suffixes
 
