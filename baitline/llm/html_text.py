@@ -1,46 +1,57 @@
 """Main text of web pages by template deduction over same-host pages.
 
-1. Each page is read into tokens: a start tag with the path of its ancestors, or a text with its path. A token's
-   occurrence vector over the pages of a host is summed up as the exclusive or of digests of (page, count), the number
-   of pages and the largest count, so it is pre-aggregated before any shuffle and a hot host is no hot spot.
-2. Tokens of a host with equal occurrence vectors form an equivalence class. Classes that occur once a page on at least
-   half of the host's pages (and on MIN_PAGES) and hold MIN_CLASS tokens are valid; as paths are part of tokens,
-   classes nest as the elements do. Their union is the host's template.
-3. A page's texts that are template tokens are furniture; what stands between template tokens are slots. A slot is
+1. Each page is read into tokens in page order: a start tag with the path of its ancestors, or a text with its path.
+   Pages of a host that say the same outside furniture count once, so copies and mirrors make no template.
+2. A token's occurrence vector over the pages of a host is summed up as the exclusive or of digests of (page, count), the
+   number of pages and the largest count, so it is pre-aggregated before any shuffle and a hot host is no hot spot.
+3. Tokens of a host with equal occurrence vectors form an equivalence class. Classes that occur once a page on at least
+   SHARE of the host's pages (and on MIN_PAGES) and hold MIN_CLASS tokens are candidates. A host's tokens in classes are
+   at most 1 / SHARE times the tokens of its mean page, which bounds a template.
+4. On a page, a class is valid if all its tokens are there in the host's order; valid classes are nested: a class opens
+   in a slot of the class around it and must close there. Of two classes that cross, the one on fewer pages is invalid.
+   The nested classes are the page's template; what stands between their tokens are slots.
+5. Main text comes from the slots: a text that is itself a template token is furniture, inside article and main
+   elements too, and so is a slot in a template element that holds mostly links over the host's pages. Then a slot is
    dropped if an element around it is furniture by its kind or name (menus, headers, footers, sidebars, notices,
-   adverts, forms, scripts, styles, comments). Of the rest, slots inside an article or main element are the main text,
-   all of them, repeated or not; on pages without one, all slots within the deepest element
+   adverts, forms, scripts, styles, comments), which no repetition shows where it differs from page to page. Of the rest,
+   slots inside an article or main element are the main text; on pages without one, all slots within the deepest element
    that holds every slot but lists of links are.
 
-Hosts with fewer than MIN_PAGES pages have no template; there the kinds and names of elements decide alone.
+Hosts with fewer than MIN_PAGES different pages have no template; there the kinds and names of elements decide alone.
+
+Templates are broadcast where their measured size allows it, so pages aren't shuffled; beyond that, pages are dealt by
+host and by a salt whose range grows with the host's pages.
 
 Defined cases: null html counts as empty and gives an empty text; null or odd urls have no host, hence no template;
-unclosed and misnested tags are closed as browsers do, cut-off pages end where they end; br is white space; repeated
-pages count as two pages of their host (equal ids and all); an empty table gives an empty result; extra columns are
-ignored.
+unclosed and misnested tags are closed as browsers do, cut-off pages end where they end; after a tag whose quotes never
+close, tags end at the next '>'; br is white space; repeated pages each get a row; an empty table gives an empty result;
+extra columns are ignored. Time and memory are linear in a page's length, however deep it nests.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from baitline.llm.common import short_batches
+from baitline.llm.common import checkpointed, short_batches
 
 MIN_PAGES = 4
 MIN_CLASS = 3
 SHARE = 0.5
-#: Tasks that the pages of one host are dealt over; templates are small, and each is sent to all of them.
-SALTS = 32
+#: An element is a list of links if it holds this many times more characters in links than outside, over a host.
+LINKS = 4
+#: Templates of this many bytes in all are broadcast; beyond, a task's share of a host is this many pages.
+BROADCAST_BYTES = 32 << 20
+SALT_PAGES = 10_000
 #: Elements by kind.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template", "svg", "math"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -63,25 +74,33 @@ ENDS = {
 }
 #: An end tag or an implied end doesn't look for its element beyond these.
 FENCES = {"table", "td", "th", "article", "main", "section", "nav", "aside", "footer", "header", "body", "html", "form"}
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_MARKUP = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+_REST = re.compile(r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>")
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _SPACE = re.compile(r"\s+")
 _NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Elements that are never taken for the one that holds the main text, or for a list of links.
+_INLINE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "span", "b", "i", "a", "em", "strong"}
 
 
 class Element:
-    __slots__ = ("furniture", "key", "linked", "main", "parent", "tag", "unlinked")
+    """An open or closed element: key is a digest of its path, holder its nearest block element (or itself), scope the
+    open tags since the nearest fence, linked and unlinked its characters inside and outside links, order and end its
+    place among the page's elements."""
 
-    def __init__(self, tag: str, parent: Element | None, key: str, furniture: bool, main: bool):
-        self.tag, self.parent, self.key, self.furniture, self.main = tag, parent, key, furniture, main
-        self.linked = self.unlinked = 0
+    __slots__ = ("end", "furniture", "holder", "key", "linked", "main", "order", "parent", "scope", "tag", "unlinked")
 
+    def __init__(self, tag: str, parent: Element | None, key: int, furniture: bool, main: bool, order: int):
+        self.tag, self.parent, self.key, self.furniture, self.main, self.order = tag, parent, key, furniture, main, order
+        self.linked = self.unlinked = self.end = 0
+        self.holder = self if parent is None or tag in BLOCK else parent.holder
+        self.scope: Counter[str] = Counter() if parent is None or tag in FENCES else parent.scope
 
-@lru_cache(maxsize=20_000)
-def _marks(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
-    """(name with its class, id and role; furniture, main, or a header, by kind or name) of a start tag."""
-    if not attributes.strip():
-        return tag, tag in FURNITURE, tag in MAIN, tag == "header"
+    def within(self, other: Element) -> bool:
+        return other.order <= self.order < other.end
+
+
+def _find_marks(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
     found = {k.lower(): html.unescape(v.strip("\"'")) for k, v in _ATTR.findall(attributes)}
     named = " ".join(found.get(k, "") for k in ("class", "id", "role"))
     words = {w.lower() for w in _NAMES.findall(named)} | {re.sub("[^a-z]", "", w) for w in re.split(r"[^a-z]+", named.lower())}
@@ -92,13 +111,66 @@ def _marks(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
     return f"{tag}[{named}]" if named.strip() else tag, furniture, main, tag == "header" or "header" in words
 
 
+_cached_marks = lru_cache(maxsize=20_000)(_find_marks)
+
+
+def _marks(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """(name with its class, id and role; furniture, main, or a header, by kind or name) of a start tag."""
+    if not attributes.strip():
+        return tag, tag in FURNITURE, tag in MAIN, tag == "header"
+    return (_cached_marks if len(attributes) + len(tag) < 512 else _find_marks)(tag, attributes)
+
+
+def _digest(text: str | bytes) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text) - (1 << 63)
+
+
+@lru_cache(maxsize=20_000)
+def _below(key: int, name: str) -> int:
+    """The key of an element by its parent's key and its name."""
+    return _digest(f"{key}/{name}")
+
+
+def text_token(key: int, text: str) -> int:
+    return _digest(f"{key}#{text}")
+
+
+#: A host's template: token -> (class, tokens of the class, pages of the class, place in the class's order, mostly links).
+Template = dict[int, tuple[int, int, int, int, bool]]
+
+
+def nested(classes: dict[int, tuple[int, list[int]]]) -> dict[int, tuple[int | None, int]]:
+    """The tree of classes (pages, places of its tokens on a page, ascending): class -> (class around it, slot in that).
+
+    Slot n of a class lies behind its n-th token. Of two classes that cross, the one on fewer pages (then with fewer
+    tokens, then with the larger number) is left out.
+    """
+    left = dict(classes)
+    while True:
+        tree: dict[int, tuple[int | None, int]] = {}
+        stack: list[int] = []
+        seen: Counter[int] = Counter()
+        for _, c in sorted((at, c) for c, (_, places) in left.items() for at in places):
+            if not seen[c]:
+                tree[c] = (stack[-1], seen[stack[-1]]) if stack else (None, 0)
+                stack.append(c)
+            elif stack[-1] != c:
+                del left[min(c, stack[-1], key=lambda x: (left[x][0], len(left[x][1]), -x))]
+                break
+            seen[c] += 1
+            if seen[c] == len(left[c][1]):
+                stack.pop()
+        else:
+            return tree
+
+
 class Page:
-    """A page as tokens and blocks. blocks: (text, element, path key of the text) in page order."""
+    """A page as elements and texts. items: (token, element, text or None for a start tag) in page order."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, Element, str]] = []
-        self.starts: list[Element] = []
-        self.element = self.root = Element("", None, "", False, False)
+        self.items: list[tuple[int, Element, str | None]] = []
+        self.count = 0
+        self.element = self.root = Element("", None, 0, False, False, 0)
         self.parts: list[str] = []
         self.links = 0
         self._read(source)
@@ -115,61 +187,71 @@ class Page:
     def _flush(self) -> None:
         if self.parts:
             if text := _SPACE.sub(" ", "".join(self.parts)).strip():
-                self.blocks.append((text, self.element, self.element.key))
+                self.items.append((text_token(self.element.key, text), self.element, text))
             self.parts = []
 
     def _open(self, tag: str, attributes: str) -> None:
         while self.element.tag in ENDS and tag in ENDS[self.element.tag]:
             self._leave()
         if tag in BLOCK:  # an open p may lie below inline elements
-            e = self.element
-            while e.parent is not None and e.tag not in BLOCK:
-                e = e.parent
+            e = self.element.holder
             if e.tag in ENDS and tag in ENDS[e.tag]:
                 while self.element is not e.parent:
                     self._leave()
         name, furniture, main, header = _marks(tag, attributes)
         above = self.element
         furniture = furniture or header and not above.main  # an article's own header holds its title
-        self.element = Element(tag, above, f"{above.key}/{name}", above.furniture or furniture, above.main or main)
+        self.count += 1
+        self.element = Element(tag, above, _below(above.key, name) if len(name) < 512 else _digest(f"{above.key}/{name}"), above.furniture or furniture, above.main or main, self.count)
+        self.element.scope[tag] += 1
+        if tag in FENCES:
+            self.root.scope[tag] += 1
         self.links += tag == "a"
-        self.starts.append(self.element)
+        self.items.append((self.element.key, self.element, None))
 
     def _leave(self) -> None:
         e = self.element
+        e.scope[e.tag] -= 1
+        if e.tag in FENCES:
+            self.root.scope[e.tag] -= 1
+        e.end = self.count + 1
         self.links -= e.tag == "a"
         self.element = e.parent
         self.element.linked += e.linked
         self.element.unlinked += e.unlinked
 
     def _close(self, tag: str) -> None:
-        e = self.element
-        while e.parent is not None and e.tag != tag:
-            if e.tag in FENCES and tag not in FENCES:
-                return
-            e = e.parent
-        if e.parent is None:
-            return
-        while self.element is not e:
+        """Ends the nearest open element of this kind; inside a fence, only one that lies inside it too."""
+        if (self.root if tag in FENCES else self.element).scope[tag] > 0:
+            while self.element.tag != tag:
+                self._leave()
             self._leave()
-        self._leave()
 
     def _read(self, source: str) -> None:
-        at = 0
-        while match := _TAG.search(source, at):
+        at, quotes = 0, True
+        while match := _MARKUP.search(source, at):
             if match.start() > at:
                 self._text(source[at : match.start()])
-            at = match.end()
-            if not match[2]:
+            comment, declaration, ending, tag = match.groups()
+            if comment or declaration:
+                end = source.find("-->" if comment else ">", match.end())
+                at = end + (3 if comment else 1) if end >= 0 else len(source)
                 continue
-            tag = match[2].lower()
-            if match[1]:
+            rest = _REST.match(source, match.end()) if quotes else None
+            at = rest.end() if rest else source.find(">", match.end()) + 1
+            quotes = rest is not None
+            if not at:  # cut off within a tag
+                at = len(source)
+                break
+            attributes = source[match.end() : at - 1]
+            tag = tag.lower()
+            if ending:
                 if tag in BLOCK:
                     self._flush()
                 self._close(tag)
                 continue
             if tag in RAW:
-                if not match[3].rstrip().endswith("/"):
+                if not attributes.rstrip().endswith("/"):
                     end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                     at = end.end() if end else len(source)
                 continue
@@ -179,127 +261,171 @@ class Page:
                 if tag == "br":
                     self.parts.append(" ")
                 continue
-            self._open(tag, match[3])
-        if at < len(source) and not re.match(r"<[a-zA-Z/!]", source[at:]):
-            self._text(source[at:])
+            self._open(tag, attributes)
+        if at < len(source):
+            self._text(source[at:].removesuffix("</"))
         self._flush()
         while self.element.parent is not None:
             self._leave()
-
-    def tokens(self) -> Counter[int]:
-        """Template candidates: start tags with their paths, and texts outside the main element."""
-        found: Counter[int] = Counter()
-        for e in self.starts:
-            found[_digest(e.key)] += 1
-        for text, e, key in self.blocks:
-            if not e.main:
-                found[text_token(key, text)] += 1
+        self.root.end = self.count + 1
+
+    def tokens(self) -> dict[int, list[int]]:
+        """Tokens in order: how often each occurs, and the characters inside and outside links of its elements."""
+        found: dict[int, list[int]] = {}
+        for token, e, text in self.items:
+            seen = found.setdefault(token, [0, 0, 0])
+            seen[0] += 1
+            if text is None:
+                seen[1] += e.linked
+                seen[2] += e.unlinked
         return found
 
-    def main_text(self, template: frozenset[int] | set[int]) -> str:
+    def content(self) -> int:
+        """A digest of what the page says outside elements that are furniture by kind or name."""
+        return _digest("\n".join(text for _, e, text in self.items if text is not None and not e.furniture))
+
+    def placed(self, template: Template) -> tuple[set[int], dict[int, tuple[int | None, int]]]:
+        """(tokens of the valid, nested classes on this page; their tree)."""
+        places: dict[int, list[int]] = defaultdict(list)
+        for at, (token, _, _) in enumerate(self.items):
+            if token in template:
+                places[token].append(at)
+        classes: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        for token, at in places.items():
+            classes[template[token][0]].append((template[token][3], at[0] if len(at) == 1 else -1))
+        whole = {}
+        for token in places:
+            c, size, pages, _, _ = template[token]
+            if c not in whole and len(classes[c]) == size:
+                order = [at for _, at in sorted(classes[c])]
+                if order[0] >= 0 and all(a < b for a, b in zip(order, order[1:])):
+                    whole[c] = (pages, order)
+        tree = nested(whole)
+        return {token for token in places if template[token][0] in tree}, tree
+
+    def main_text(self, template: Template) -> str:
         """The slots that stay, one line each."""
-        slots = [(text, e) for text, e, key in self.blocks if not e.furniture and (e.main or text_token(key, text) not in template)]
+        valid, _ = self.placed(template) if template else (set(), {})
+        lists = self._lists({token for token in valid if template[token][4]})
+        slots = [(text, e) for token, e, text in self.items if text is not None and not e.furniture and token not in valid and e not in lists]
         if any(e.main for _, e in slots):
             return "\n".join(text for text, e in slots if e.main)
         best = self._around(slots)
-        return "\n".join(text for text, e in slots if best is None or _within(e, best))
+        return "\n".join(text for text, e in slots if best is None or e.within(best))
+
+    def _lists(self, tokens: set[int]) -> set[Element]:
+        """The elements of these tokens that hold no article or main element, and all within them."""
+        if not tokens:
+            return set()
+        holding: set[Element] = set()
+        for _, e, text in reversed(self.items):
+            if text is None and (e.main and not e.parent.main or e in holding):
+                holding |= {e, e.parent}
+        found: set[Element] = set()
+        for token, e, text in self.items:
+            if text is None and (e.parent in found or token in tokens and e not in holding and e.tag not in _INLINE):
+                found.add(e)
+        return found
 
     def _around(self, slots: list[tuple[str, Element]]) -> Element | None:
         """The deepest element that holds all slots but lists of links."""
-        weight: Counter[Element] = Counter()
-        total = 0
-        for text, e in slots:
-            if e.linked > e.unlinked:  # a list of links
-                continue
-            total += len(text)
-            while e is not None:
-                weight[e] += len(text)
-                e = e.parent
-        enough = [e for e in weight if weight[e] == total and e.tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "span", "b", "i", "a", "em", "strong")]
-        return max(enough, key=_depth, default=None)
+        held = [e for _, e in slots if e.linked <= e.unlinked]
+        if not held:
+            return None
+        first, last = min(e.order for e in held), max(e.order for e in held)
+        e = held[0]
+        while e is not None and (e.tag in _INLINE or not (e.order <= first and last < e.end)):
+            e = e.parent
+        return e
 
 
-def _depth(e: Element | None) -> int:
-    n = 0
-    while e is not None:
-        n, e = n + 1, e.parent
-    return n
+def host_of(url: Column) -> Column:
+    """The host of a url in lower case; empty where there is none."""
+    return F.coalesce(F.lower(F.regexp_extract(F.trim(url), r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)", 1)), F.lit(""))
 
 
-def _within(e: Element | None, above: Element) -> bool:
-    while e is not None and e is not above:
-        e = e.parent
-    return e is above
+TOKENS = "host string, content long, page long, tokens array<long>, n array<int>, linked array<int>, unlinked array<int>"
 
 
-def _digest(text: str) -> int:
-    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row a page: host, digests of what it says and of all of it, and its tokens in order."""
+    for batch in batches:
+        sources = batch.column(1).to_pylist()
+        pages = [Page(s) for s in sources]
+        found = [p.tokens() for p in pages]
+        counts = [[[v[i] for v in f.values()] for f in found] for i in range(3)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([p.content() for p in pages], pa.int64()), pa.array([_digest(s) for s in sources], pa.int64()), pa.array([[*f] for f in found], pa.list_(pa.int64())), *(pa.array(c, pa.list_(pa.int32())) for c in counts)],
+            names=["host", "content", "page", "tokens", "n", "linked", "unlinked"],
+        )
 
 
-def text_token(key: str, text: str) -> int:
-    return _digest(f"{key}#{text}")
+MEMBER = np.dtype([("token", "<i8"), ("class", "<i8"), ("pages", "<i8"), ("size", "<u4"), ("place", "<u4"), ("links", "?")])
 
 
-def host_of(url: str | None) -> str:
-    """The host of a url in lower case; empty where there is none."""
-    try:
-        return (urlsplit((url or "").strip()).hostname or "").lower()
-    except ValueError:
-        return ""
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Templates as the bytes of MEMBER rows."""
+    for batch in batches:
+        out = []
+        for classes in batch.column(2).to_pylist():
+            rows = [(m["token"], c["vector"], c["pages"], len(c["m"]), place, m["links"]) for c in classes for place, m in enumerate(c["m"])]
+            out.append(np.array(rows, MEMBER).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["host", "pages", "template"])
 
 
-def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch: occurrence vectors summed up by host and token, and the hosts' pages under token 0."""
-    for batch in batches:
-        found: dict[tuple[str, int], list[int]] = {}
-        for number, url, source in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            host = host_of(url)
-            if not host:
-                continue
-            page = f"{number}\t{url}\t{_digest(source)}"
-            for token, n in [*Page(source).tokens().items(), (0, 1)]:
-                seen = found.setdefault((host, token), [0, 0, 0])
-                seen[0] ^= _digest(f"{page}\t{n}")
-                seen[1] += 1
-                seen[2] = max(seen[2], n)
-        columns = [[h for h, _ in found], [t for _, t in found], *([v[i] for v in found.values()] for i in range(3))]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *(pa.array(c, pa.int64()) for c in columns[1:])], names=["host", "token", "vector", "pages", "most"])
+def unpacked(template: bytes | None) -> Template:
+    rows = np.frombuffer(template or b"", MEMBER)
+    return {token: (c, size, pages, place, links) for token, c, pages, size, place, links in rows.tolist()}
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): the tokens of the valid equivalence classes of each host, from pages(number, url, source)."""
-    counted = pages.select("number", "url", "source").mapInArrow(_tokens, "host string, token long, vector long, pages long, most long")
-    vectors = counted.groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.max("most").alias("most"))
-    hosts = vectors.where("token = 0").select(F.col("host").alias("_host"), F.col("pages").alias("of"))
-    frequent = vectors.where((F.col("token") != 0) & (F.col("most") == 1) & (F.col("pages") >= MIN_PAGES))
-    classes = frequent.groupBy("host", "vector", "pages").agg(F.collect_list("token").alias("tokens")).where(F.size("tokens") >= MIN_CLASS)
-    valid = classes.join(hosts, F.col("host") == F.col("_host")).where(F.col("pages") >= F.col("of") * SHARE)
-    return valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
+    """(host, pages, template): the candidate classes of each host, from pages(host, source).
+
+    pages counts different contents; template is the bytes of a row of MEMBER a token.
+    """
+    read = pages.where("host <> ''").select("host", "source").mapInArrow(_tokens, TOKENS)
+    fields = ["page", "tokens", "n", "linked", "unlinked"]
+    once = checkpointed(read.groupBy("host", "content").agg(F.min(F.struct(*fields)).alias("x")).select("host", "content", *(f"x.{f}" for f in fields[1:])))
+    each = once.select("host", "content", F.posexplode(F.arrays_zip(*fields[1:])).alias("at", "t")).select("host", "content", "at", "t.*")
+    vectors = each.groupBy("host", F.col("tokens").alias("token")).agg(
+        F.bit_xor(F.xxhash64("content", "n")).alias("vector"), F.count("*").alias("pages"), F.max("n").alias("most"), F.sum("at").alias("at"), (F.sum("linked") > F.sum("unlinked") * LINKS).alias("links")
+    )
+    hosts = once.groupBy("host").agg(F.count("*").alias("of")).where(F.col("of") >= MIN_PAGES).select(F.col("host").alias("_host"), "of")
+    frequent = vectors.where((F.col("most") == 1) & (F.col("pages") >= MIN_PAGES)).join(hosts, F.col("host") == F.col("_host")).where(F.col("pages") >= F.col("of") * SHARE)
+    members = F.array_sort(F.collect_list(F.struct("at", "token", "links")))
+    classes = frequent.groupBy("host", "of", "vector", "pages").agg(members.alias("m")).where(F.size("m") >= MIN_CLASS)
+    whole = classes.groupBy("host").agg(F.max("of").alias("pages"), F.collect_list(F.struct("vector", "pages", "m")).alias("classes"))
+    return whole.mapInArrow(_packed, "host string, pages long, template binary")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last: tuple = (None, frozenset())
+    known: dict[str, Template] = {}
     for batch in batches:
-        numbers, urls, sources, given = (batch.column(i) for i in range(4))
+        numbers, urls, sources, hosts, given = (batch.column(i) for i in range(5))
         texts = []
-        for source, template in zip(sources.to_pylist(), given.to_pylist()):
-            if template != last[0]:
-                last = (template, frozenset(template or ()))
-            texts.append(Page(source).main_text(last[1]))
+        for i, (source, host) in enumerate(zip(sources.to_pylist(), hosts.to_pylist())):
+            if host not in known:
+                if len(known) >= 64:
+                    known.clear()
+                known[host] = unpacked(given[i].as_py())
+            texts.append(Page(source).main_text(known[host]))
         yield pa.RecordBatch.from_arrays([numbers, urls, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
-def _hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        hosts = pa.array([host_of(u) for u in batch.column(1).to_pylist()], pa.string())
-        yield pa.RecordBatch.from_arrays([*batch.columns, hosts], names=["number", "url", "source", "_of"])
-
-
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages."""
     short_batches(pages.sparkSession)
-    rows = pages.select(F.col(id_col).cast("long").alias("number"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("source"))
-    placed = rows.mapInArrow(_hosts, "number long, url string, source string, _of string").withColumn("_salt", F.pmod(F.xxhash64("number", "url"), F.lit(SALTS)))
-    every = templates(rows).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    joined = placed.join(every, (F.col("_of") == F.col("host")) & (F.col("_salt") == F.col("salt")), "left").select("number", "url", "source", "template")
-    return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    url = F.col(url_col).cast("string")
+    rows = pages.select(F.col(id_col).cast("long").alias("number"), url.alias("url"), F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("source"), host_of(url).alias("host"))
+    every = checkpointed(templates(rows))
+    size = every.agg(F.sum(F.length("template") + F.length("host") + 64).alias("n")).first().n or 0
+    found = every.select(F.col("host").alias("_host"), "template", "pages")
+    if size <= broadcast_bytes:
+        joined = rows.join(F.broadcast(found.drop("pages")), F.col("host") == F.col("_host"), "left")
+    else:
+        salts = F.ceil(F.col("pages") / SALT_PAGES).cast("int")
+        hot = found.select(F.col("_host").alias("_hot"), salts.alias("salts")).where("salts > 1")  # a row for SALT_PAGES pages or more
+        salted = rows.join(F.broadcast(hot), F.col("host") == F.col("_hot"), "left").withColumn("salt", F.pmod(F.xxhash64("number", "source"), F.coalesce("salts", F.lit(1))).cast("int"))
+        dealt = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        joined = salted.join(dealt, (F.col("host") == F.col("_host")) & (F.col("salt") == F.col("_salt")), "left")
+    return joined.select("number", "url", "source", "host", "template").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -101,7 +101,7 @@ LINES = ["Head & line", "First bold text goes on.", "Second é – <x>", "one",
     ],
 )
 def test_main_text(page):
-    assert html_text.Page(page).main_text(frozenset()).split("\n") == LINES
+    assert html_text.Page(page).main_text({}).split("\n") == LINES
 
 
 @pytest.mark.parametrize(
@@ -113,7 +113,7 @@ def test_main_text(page):
     ],
 )
 def test_text_beside_the_largest_block_stays(page, lines):
-    assert html_text.Page(page).main_text(frozenset()).split("\n") == lines
+    assert html_text.Page(page).main_text({}).split("\n") == lines
 
 
 def test_template_takes_out_what_hosts_repeat(spark):
@@ -149,3 +149,67 @@ def test_pages_of_the_small_table(spark):
         inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]*>", "", b))).strip() for b in re.split(r"</?(?:p|h1)>", inside)]
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+def furnished(rng, n):
+    """Pages of one host: an article that holds unnamed furniture, and what of it is the text."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows, want = [], []
+    for i in range(n):
+        body = [" ".join(word() for _ in range(rng.randrange(15, 40))) for _ in range(3)]
+        links = "".join(f"<li><a href={word()}>{word()} {word()}</a></li>" for _ in range(5))
+        parts = [f"<p>{b}</p>" for b in body]
+        rows.append(f"<body><article><div><p>You are reading the plain herald</p></div><h1>{body[0][:20]}</h1>{parts[0]}<div><p>Get our letter every week</p></div>{parts[1]}{parts[2]}<div><div><p>More from here</p></div><ul>{links}</ul></div></article></body>")
+        want.append("\n".join([body[0][:20].strip(), *body]))
+    return rows, want
+
+
+def test_template_decides_inside_an_article(spark):
+    rows, want = furnished(random.Random(8), 20)
+    frame = spark.createDataFrame([(i, f"http://herald.example/{i}", r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    for least in (html_text.BROADCAST_BYTES, 0):  # templates broadcast, and joined
+        got = {r.page_id: r.text for r in html_text.extract(frame, broadcast_bytes=least).collect()}
+        assert got == dict(enumerate(want))
+    assert all(html_text.Page(r).main_text({}) != w for r, w in zip(rows, want))
+
+
+def test_copies_and_mirrors_make_no_template(spark):
+    page = lambda i, text: f"<body><nav><a href={i}>n{i}</a></nav><article><h1>Head {text}</h1><p>Said {text}</p><p>And {text}</p></article></body>"
+    rows = [(i, "http://mirror.example/", page(i, "here")) for i in range(9)] + [(9, "http://mirror.example/", page(9, "there"))]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "Head here\nSaid here\nAnd here" for i in range(9)} | {9: "Head there\nSaid there\nAnd there"}
+
+
+def test_classes_nest():
+    # 1 encloses 2, whose slot holds 3; 4 follows 2 within the same slot of 1
+    assert html_text.nested({1: (9, [0, 1, 10]), 2: (5, [2, 6]), 3: (4, [3, 4, 5]), 4: (5, [7, 8])}) == {1: (None, 0), 2: (1, 2), 3: (2, 1), 4: (1, 2)}
+    # 2 begins in one slot of 1 and ends in another: the one on fewer pages goes, and what lay in it is in 1
+    assert html_text.nested({1: (9, [0, 3, 6]), 2: (5, [1, 4]), 3: (4, [2, 2])}) == {1: (None, 0), 3: (1, 1)}
+    assert html_text.nested({1: (4, [0, 3, 6]), 2: (5, [1, 4, 8])}) == {2: (None, 0)}
+    assert html_text.nested({}) == {}
+
+
+def test_a_class_out_of_order_is_no_template():
+    page = html_text.Page("<article><p>one</p><h2>two</h2><div>three</div></article>")
+    tokens = [t for t, _, text in page.items if text in ("one", "two", "three")]
+    member = lambda places: {t: (1, 3, 5, n, False) for t, n in zip(tokens, places)}
+    assert page.main_text(member([0, 1, 2])) == "" and page.main_text(member([1, 0, 2])) == "one\ntwo\nthree"
+
+
+def test_long_and_deep_pages_are_read_in_linear_time():
+    import time
+    import tracemalloc
+
+    many = 100_000
+    pages = {
+        "deep": "<div>" * many + "x", "sections": "<section>" * many + "x", "quotes": "<a href=\"x " * (many * 10 // 11), "odd quotes": "<p>a</p>" + "<a href='x>y</a> " * 60_001, "inline": "<b>" * many + "<p>x" * many,
+        "ends": "<td>" + "<b>" * many + "</i>" * many, "fenced": "<i><td>" + "<b>" * many + "</i>" * many, "comments": "<!-- " * many, "starts": "<" * many * 10, "cut": "<a " * many,
+    }
+    for name, source in pages.items():
+        tracemalloc.start()
+        began = time.process_time()
+        page = html_text.Page(source)
+        page.main_text({t: (1, 1, 1, 0, True) for t in page.tokens()})
+        took, peak = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert took < 20 and peak < 160 << 20, (name, took, peak >> 20)
