@@ -2,7 +2,8 @@
 
 Each source has a weight schedule over training progress t in [0, 1]: a multiplier, linear between knots, whose mean
 is 1. The integral of target * multiplier is the source's cumulative token demand; inverting it (a quadratic a
-segment) gives the progress at which a document's first word is due. Documents are then range-sorted by that position.
+segment) gives the progress at which a document's first word is due. A document taken in several passes has a position
+for each, one source size of demand after the other. Documents are range-sorted by position.
 
 Targets are found by water-filling: sources share all words by weight, but none beyond ``most`` times its size; what
 is cut off is shared again by weight. With caps c_i and weights w_i in the order of c_i / w_i, the level is the
@@ -14,8 +15,8 @@ Prefix sums are two-level (buckets of about BUCKET_ROWS rows, then rows in a buc
 of all rows is never in one task.
 
 Defined cases: null and empty texts have size 0 and take 0; a source without words has target 0; sources are ordered
-by code point with null last; rows equal in id, source and size are interchangeable; rows with null id come first in
-their source's order; an empty table gives an empty result.
+by code point with null last; rows equal in id, source and size are interchangeable; rows with null id are drawn by
+their texts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -77,12 +78,19 @@ def targets(sizes: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = 3)
     )
 
 
+def _draw(id_col: str, text_col: str) -> Column:
+    """A digest of a row's id (of its text, where it has none), of 60 bits."""
+    of = F.coalesce(F.col(id_col).cast("long").cast("string"), F.col(text_col).cast("string"), F.lit(""))
+    return F.conv(F.substring(F.md5(of.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = 3, schedules: dict[int, list[tuple[float, float]]] = SCHEDULES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, position for every row of docs, in training order.
+    """doc_id, draw, source, size, source_size, target, taken, position, positions for every row of docs, in training order.
 
-    position is in 1 / STEPS of the run; rows of which nothing is taken have none and come last.
+    positions holds the place of each pass in 1 / STEPS of the run, and position the first of them; rows of which
+    nothing is taken have none and come last. draw is the digest that orders a source.
     """
-    digest = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
+    digest = _draw(id_col, text_col)
     size = F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)).cast("long")
     rows = checkpointed(
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.coalesce(size, F.lit(0)).alias("size"), digest.alias("draw"))
@@ -101,33 +109,41 @@ def mix(docs: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), most: int = 3, sche
     goal = F.round("target").cast("long")
     passes = F.when(F.col("source_size") > 0, F.floor(goal / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     extra = F.least(F.greatest(goal - passes * F.col("source_size") - F.col("before"), F.lit(0)), F.col("size"))
-    share = F.col("before") / F.col("target")
-    position = F.lit(None).cast("double")
-    for weight, knots in schedules.items():
-        position = F.when(F.col("weight") == weight, due(share, knots)).otherwise(position)
-    position = F.coalesce(position, due(share, [(0.0, 1.0), (1.0, 1.0)]))
-    mixed = joined.withColumn("taken", passes * F.col("size") + extra).withColumn("position", F.when(F.col("taken") > 0, F.floor(position * STEPS).cast("long")))
+    mixed = joined.withColumn("taken", passes * F.col("size") + extra)
+
+    def place(nth: Column) -> Column:
+        share = (F.col("before") + nth * F.col("source_size")) / F.col("target")
+        at = due(share, [(0.0, 1.0), (1.0, 1.0)])
+        for weight, knots in schedules.items():
+            at = F.when(F.col("weight") == weight, due(share, knots)).otherwise(at)
+        return F.floor(at * STEPS).cast("long")
+
+    times = F.when(F.col("taken") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(F.lit(0)).cast("long")
+    places = F.when(times > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(times - 1, F.lit(0))), place)).otherwise(F.array().cast("array<long>"))
+    mixed = mixed.withColumn("positions", places).withColumn("position", F.get("positions", F.lit(0)))
     last = F.coalesce(F.col("position"), F.lit(STEPS) + F.floor(F.col("draw") / span * STEPS))
     n = partitions_for(rows, mb=8)
     return (
         mixed.withColumn("turn", last)
         .repartitionByRange(n, "turn", "doc_id")
         .sortWithinPartitions("turn", "doc_id")
-        .select("doc_id", "source", "size", "source_size", "target", "taken", "position")
+        .select("doc_id", "draw", "source", "size", "source_size", "target", "taken", "position", "positions")
     )
 
 
 def repeat_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus with docs' own columns, whole documents only, in training order.
 
-    A document comes as often as its taken words need: ceil(taken / size) times, so at most one document a source is
-    taken further than its target; one of which nothing is taken is left out. Where an id is repeated, each of its
-    rows has the same count: the mean of what its rows take, rounded up.
+    A document comes once for each of its positions: as often as its taken words need, ceil(taken / size) times, so at
+    most one document a source is taken further than its target; one of which nothing is taken is left out. Its copies
+    stand where their passes are due. Where an id is repeated (or a text, without an id), each of its rows comes where
+    the one comes that is first.
     """
-    own, taken, size, turn, copies, copy = fresh(docs, "_mix_id", "_taken", "_size", "_turn", "_copies", "_copy")
-    by_id = mix(docs, **options).groupBy(F.col("doc_id").alias(own)).agg(F.sum("taken").alias(taken), F.sum("size").alias(size), F.min("position").alias(turn))
-    due_ids = by_id.withColumn(copies, F.when(F.col(taken) > 0, F.ceil(F.col(taken) / F.col(size))).otherwise(F.lit(0)).cast("int")).where(F.col(copies) > 0).select(own, copies, turn)
-    joined = docs.join(due_ids, docs[options.get("id_col", "doc_id")].cast("long").eqNullSafe(F.col(own)))
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    own, drawn, places, turn, key = fresh(docs, "_mix_id", "_mix_draw", "_places", "_turn", "_draw")
+    one = mix(docs, **options).where("taken > 0").groupBy(F.col("doc_id").alias(own), F.col("draw").alias(drawn)).agg(F.min_by("positions", F.struct("position", "size")).alias(places))
+    keyed = docs.withColumn(key, _draw(id_col, text_col))
+    joined = keyed.join(one, (F.col(key) == F.col(drawn)) & F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(own)))
     n = partitions_for(docs, mb=8)
-    out = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).repartitionByRange(n, turn, own).sortWithinPartitions(turn, own, copy)
+    out = joined.withColumn(turn, F.explode(places)).repartitionByRange(n, turn, own).sortWithinPartitions(turn, own)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

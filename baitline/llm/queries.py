@@ -42,7 +42,8 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents")).drop("draw")
+    return mixed.withColumn("positions", F.array_join(F.transform("positions", lambda x: x.cast("string")), ","))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +73,7 @@ _EXACT = r"""
 
 _MIXING = r"""
     with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-        cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 15) as bigint) as draw from documents),
+        cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), text, '')), 1, 15) as bigint) as draw from documents),
     s as (select source, sum(size)::bigint as source_size, row_number() over (order by source nulls last) as rank from d group by source),
     w as (select *, ((rank - 1) % 3 + 1)::bigint as weight, source_size * 3 as most from s),
     l as (select *, ((sum(source_size) over ())::bigint - coalesce(sum(most) over before, 0)::bigint)::double / ((sum(weight) over ())::bigint - coalesce(sum(weight) over before, 0)::bigint)::double as level
@@ -80,10 +81,14 @@ _MIXING = r"""
     t as (select source, source_size, weight, least(most::double, max(level) over () * weight) as target from l),
     p as (select d.*, source_size, weight, target, coalesce(sum(size) over (partition by d.source order by draw, doc_id, size rows between unbounded preceding and 1 preceding), 0)::bigint as before
         from d join t on d.source is not distinct from t.source),
-    g as (select *, round(target)::bigint as goal, case when source_size > 0 then round(target)::bigint // source_size else 0 end as passes, before::double / target as share from p),
-    k as (select *, passes * size + least(greatest(goal - passes * source_size - before, 0), size) as taken,
-        case weight when 1 then (sqrt(greatest(2.25::double + -2.0::double * share, 0.0::double)) - 1.5::double) / -1.0::double when 2 then share
-             else (sqrt(greatest(0.25::double + 2.0::double * share, 0.0::double)) - 0.5::double) end as due from g)
-    select doc_id, source, size, source_size, target, taken::bigint as taken,
-        case when taken > 0 then floor(least(greatest(due, 0.0::double), 1.0::double) * 1000000000)::bigint end as position from k
+    g as (select *, round(target)::bigint as goal, case when source_size > 0 then round(target)::bigint // source_size else 0 end as passes from p),
+    k as (select *, passes * size + least(greatest(goal - passes * source_size - before, 0), size) as taken from g),
+    n as (select *, unnest(range(0, (passes + 1)::bigint)) as nth from k where taken > 0),
+    f as (select *, (before + nth * source_size)::double / target as share from n where nth < ceil(taken / size)),
+    e as (select *, case weight when 1 then (sqrt(greatest(2.25::double + -2.0::double * share, 0.0::double)) - 1.5::double) / -1.0::double when 2 then share
+             else (sqrt(greatest(0.25::double + 2.0::double * share, 0.0::double)) - 0.5::double) end as due from f),
+    o as (select doc_id, draw, size, source, before, nth, floor(least(greatest(due, 0.0::double), 1.0::double) * 1000000000)::bigint as place from e),
+    l2 as (select doc_id, draw, size, source, before, min(place) as position, string_agg(cast(place as varchar), ',' order by nth) as positions from o group by all)
+    select k.doc_id, k.source, k.size, k.source_size, k.target, k.taken::bigint as taken, l2.position, coalesce(l2.positions, '') as positions
+    from k left join l2 on k.doc_id is not distinct from l2.doc_id and k.draw = l2.draw and k.size = l2.size and k.source is not distinct from l2.source and k.before = l2.before and k.taken > 0
 """
