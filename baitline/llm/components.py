@@ -1,7 +1,8 @@
 """Connected components of a link table by alternating large-star and small-star steps, in joins and aggregates only.
 
 Every step hooks nodes to the smallest node they can see; the rounds needed grow with the logarithm of the longest
-path. Minima are pre-aggregated before they are shuffled, so a node with very many links is no hot spot; each round's
+path. Minima are pre-aggregated before they are shuffled, and the joins read their exchanges directly, so Spark can split
+a node with very many links; each round's
 links are written to the shared folder, so neither lineage nor a lost executor matters.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from baitline.llm.common import checkpointed
+from baitline.llm.common import checkpointed, joined_anew
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -28,10 +29,10 @@ def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
             break
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-        large = both.join(least, F.col("a") == F.col("n")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = joined_anew(both, least, "a", "n").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
-        small = large.join(least, F.col("a") == F.col("n")).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
+        small = joined_anew(large, least, "a", "n").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         edges = checkpointed(small.select("e.a", "e.b").where("a <> b").distinct())
         before, state = state, _state(edges)
         if state == before:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from baitline.llm.common import OnBatches, checkpointed, fresh, long_batches, partitions_for, short_batches, text_or_empty
+from baitline.llm.common import OnBatches, checkpointed, fresh, joined_anew, long_batches, partitions_for, short_batches, text_or_empty
 from baitline.llm.components import connected_components
 
 DISTANCE = 4
@@ -306,8 +306,8 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE, id_
     roots = connected_components(linked(prints.select("fp"), distance))
     by_print = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     placed = by_print.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_print = placed.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    least = placed.groupBy("root").agg(F.min("first").alias("component_id")).withColumnRenamed("root", "_root")
+    of_print = joined_anew(placed, least, "root", "_root").select(F.col("fp").alias("_fp"), "component_id")
     return prints.join(of_print, F.col("fp") == F.col("_fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -344,7 +344,7 @@ def drop_near(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str
     placed = prints.join(roots, F.col("node") == F.col("_node"), "left").select("doc_id", "text_key", F.coalesce("component", "node").alias("root"))
     ranked = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     first = placed.groupBy("root").agg(F.min(ranked).alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("root", "_root")
-    gone = placed.join(first, F.col("root") == F.col("_root")).where(~F.struct("doc_id", "text_key").eqNullSafe(F.struct("first.doc_id", "first.text_key")))
+    gone = joined_anew(placed, first, "root", "_root").where(~F.struct("doc_id", "text_key").eqNullSafe(F.struct("first.doc_id", "first.text_key")))
     row, other = fresh(docs, "_row", "_gone")
     gone = gone.select(F.struct("doc_id", "text_key").alias(other)).distinct()
     keyed = docs.withColumn(row, F.struct(F.col(id_col).cast("long").alias("doc_id"), key.alias("text_key")))
