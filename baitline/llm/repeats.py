@@ -22,7 +22,7 @@ that all strings of a piece have, LENGTH - STEP + 1 of them. A piece is a shorte
 
 Digests only say which bytes are compared; nothing is removed on a digest's word.
 
-What is shuffled: the texts (compressed) three times, an entry of about 20 bytes per 35 bytes of text, and the contexts
+One plan: the exchange of the texts serves steps 1, 3 and 4. What is shuffled: the texts (compressed), an entry of about 20 bytes per 35 bytes of text, and the contexts
 whose anchors occur in several blocks or with different texts. No row, group or text is collected anywhere.
 
 Defined cases: null text is empty; texts shorter than LENGTH lose nothing; a null id comes before all others; rows
@@ -37,12 +37,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from baitline.llm.common import OnBatches, checkpointed, input_bytes, short_batches, text_or_empty
+from baitline.llm.common import OnBatches, input_bytes, short_batches, text_or_empty
 from baitline.llm.suffix_array import MOST, maximal_repeats
 
 LENGTH = 100
@@ -233,6 +234,7 @@ def _answers(table: pa.Table, hot: int = HOT) -> pa.Table:
 
 
 SENT = "kind int, part int, block int, data binary, texts binary"
+SENT_NAMES = [f.split()[0] for f in SENT.split(", ")]
 CONTEXTS, SPANS = 0, 1
 CONTEXT_KINDS = ("<u8", "<i8", "<u4", "<u4", "<u2")
 SPAN_KINDS = ("<u4", "<u4", "<u4")
@@ -276,7 +278,7 @@ def _sent(left: pa.Table, right: pa.Table, parts: int) -> pa.Table:
 
     def repeat(doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> None:
         if len(doc):
-            rows.append((SPANS, 0, number, pack(doc.astype("<u4"), start.astype("<u4"), (start + count + np.uint32(LENGTH - 1)).astype("<u4")), b""))
+            rows.append((SPANS, number % parts, number, pack(doc.astype("<u4"), start.astype("<u4"), (start + count + np.uint32(LENGTH - 1)).astype("<u4")), b""))
 
     repeat(found["doc"][~new], found["start"][~new], found["count"][~new])
     send = found[told == SEND]
@@ -304,7 +306,10 @@ def _sent(left: pa.Table, right: pa.Table, parts: int) -> pa.Table:
 
 
 def _grouped(table: pa.Table) -> pa.Table:
-    """Step 3, in a part: spans of all occurrences of maximal repeats but the first, by block."""
+    """Step 3, in a part: spans of all occurrences of maximal repeats but the first, by block; known spans go through."""
+    ready, table = table.filter(pc.field("kind") == SPANS), table.filter(pc.field("kind") == CONTEXTS)
+    if not table.num_rows:
+        return ready.select(SENT_NAMES)
     read = [unpack(d, *CONTEXT_KINDS) for d in table.column("data").to_pylist()]
     anchor, ids, doc, start, count = (np.concatenate([r[i] for r in read]) for i in range(5))
     block = np.repeat(np.array(table.column("block").to_pylist(), np.int64), [len(r[0]) for r in read])
@@ -342,12 +347,12 @@ def _grouped(table: pa.Table) -> pa.Table:
         spans.extend(_repeats_of(whole, offset[i], count[i], block[i], ids[i], doc[i], start[i]))
         low = high
     if not spans:
-        return _rows(SENT, [], [], [], [], [])
+        return ready.select(SENT_NAMES)
     block, doc, start, end = (np.concatenate([s[i] for s in spans]) for i in range(4))
     order = np.argsort(block, kind="stable")
     doc, start, end = doc[order].astype("<u4"), start[order].astype("<u4"), end[order].astype("<u4")
     out = [(b, pack(doc[x:y], start[x:y], end[x:y])) for b, x, y in runs(block[order])]
-    return _rows(SENT, [SPANS] * len(out), [0] * len(out), [b for b, _ in out], [d for _, d in out], [b""] * len(out))
+    return pa.concat_tables([ready.select(SENT_NAMES), _rows(SENT, [SPANS] * len(out), [0] * len(out), [b for b, _ in out], [d for _, d in out], [b""] * len(out))])
 
 
 def _repeats_of(whole: np.ndarray, offset: np.ndarray, count: np.ndarray, block: np.ndarray, ids: np.ndarray, doc: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
@@ -453,7 +458,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dealt = rows.mapInArrow(OnBatches(_deal), "block int, doc_id long, z binary")
     entries = dealt.groupBy("block").applyInArrow(lambda t: _entries(t, parts), ENTRIES)
     answers = entries.groupBy("part").applyInArrow(lambda t: _answers(t, hot), ENTRIES)
-    sent = checkpointed(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _sent(a, b, parts), SENT))
-    grouped = sent.where(F.col("kind") != SPANS).groupBy("part").applyInArrow(lambda t: _grouped(t), SENT)
-    spans = sent.where(F.col("kind") == SPANS).unionByName(grouped).select("block", "data")
+    sent = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda a, b: _sent(a, b, parts), SENT)
+    spans = sent.groupBy("part").applyInArrow(lambda t: _grouped(t), SENT).select("block", "data")
     return dealt.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(lambda a, b: _finished(a, b, whole), RESULT + ", kept string, spans array<struct<start:long,end:long>>" * whole)
