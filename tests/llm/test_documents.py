@@ -426,6 +426,58 @@ def test_passages(spark, odd, none):
     assert passages.passage_classes(none).count() == 0
 
 
+def plain_pairs(rows, least=45):
+    """Pairs of ids whose texts share ``least`` equal words in a row, without any index of seeds."""
+    places = defaultdict(set)
+    for i, t in rows:
+        words = (t or "").encode().lower().split()
+        for k in range(len(words) - least + 1):
+            places[tuple(words[k : k + least])].add(i)
+    return {(x, y) for own in places.values() if len(own) > 1 for x in own for y in own if x < y}
+
+
+def test_passages_against_all_pairs(spark, docs, texts):
+    got = {r.doc_id: r for r in passages.passage_classes(docs).collect()}
+    want = plain_pairs(texts.items())
+    assert len(want) >= 5
+    assert all(got[x].class_id == got[y].class_id and got[x].n_links and got[y].n_links for x, y in want)
+    found, _ = passages.shared_passages(docs)
+    pairs = {(r.id_a, r.id_b) for r in found.collect()}
+    assert len(want & {(min(p), max(p)) for p in pairs}) >= 0.9 * len(want)
+
+
+def test_a_passage_whose_pieces_very_many_share_is_found(spark):
+    """Two documents share sixty words; four hundred others, before and after them, hold pieces of eighteen of these words."""
+    rng = random.Random(11)
+    passage = random_words(rng, 60, 100_000).split()
+    rows = []
+    for i in range(402):
+        if i in (150, 350):
+            middle = passage
+        else:
+            at = rng.randrange(43)
+            middle = passage[at : at + 18]
+        rows.append((i, " ".join([random_words(rng, 40, 100_000), *middle, random_words(rng, 40, 100_000)])))
+    got = {r.doc_id: r for r in passages.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[150].class_id == got[350].class_id == 150 and got[150].n_links == got[350].n_links == 1
+    assert got[350].passages[0].source_id == 150 and got[350].passages[0].similarity == 1
+    assert all(r.n_links == 0 for i, r in got.items() if i not in (150, 350))
+
+
+@pytest.mark.parametrize(("share", "least"), [(0.9, 0.98), (0.85, 0.9)])
+def test_edited_passages_are_found(spark, share, least):
+    """Pairs that share a hundred words of which some, drawn at random, were replaced."""
+    rng = random.Random(12)
+    rows = []
+    for n in range(60):
+        passage = random_words(rng, 100, 100_000).split()
+        edited = [w if rng.random() < share else random_words(rng, 1, 1_000_000) for w in passage]
+        for k, middle in enumerate((passage, edited)):
+            rows.append((2 * n + k, " ".join([random_words(rng, 60, 100_000), *middle, random_words(rng, 60, 100_000)])))
+    got = {r.doc_id: r.class_id for r in passages.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2 * n] == got[2 * n + 1] for n in range(60)) >= least * 60
+
+
 def test_chains_against_all_predecessors():
     rng = random.Random(6)
     for _ in range(50):
@@ -540,7 +592,8 @@ def test_mixing(odd, odd_rows, docs, none):
         assert sum(taken.values()) == pytest.approx(sum(sizes.values()), abs=len(sizes))
         turns = [r.position for r in rows if r.position is not None]
         assert turns == sorted(turns)
-        assert bag(rows) == bag(mixing.mix(frame.repartition(5)).collect())
+        flat = lambda found: bag((*r[:-1], tuple(r.positions)) for r in found)
+        assert flat(rows) == flat(mixing.mix(frame.repartition(5)).collect())
     assert bag((r.doc_id, r.size) for r in mixing.mix(odd).collect()) == bag((r[0], len([w for w in (r[1] or "").translate({9: 32, 10: 32, 11: 32, 12: 32, 13: 32}).split(" ") if w])) for r in odd_rows)
     assert mixing.mix(none).count() == mixing.repeat_documents(none).count() == 0
 
@@ -556,11 +609,50 @@ def test_due_inverts_the_schedule(spark):
         mixing.segments([(0.1, 1.0), (1.0, 1.0)])
 
 
+def test_every_tenth_of_training_has_its_share(docs):
+    """What a source gives to each tenth of the run is its schedule's share, within one document at either end."""
+    rows = mixing.mix(docs).collect()
+    sources = sorted({r.source for r in rows if r.source is not None}) + [None] * any(r.source is None for r in rows)
+    seen = 0
+    for n, source in enumerate(sources):
+        own = [r for r in rows if r.source == source and r.taken]
+        if not own:
+            continue
+        level, slope = {0: (1.5, -1.0), 1: (1.0, 0.0), 2: (0.5, 1.0)}[n % 3]
+        met = lambda t: level * t + slope * t * t / 2  # noqa: B023, E731
+        largest, target = max(r.size for r in own), own[0].target
+        words = [0] * 10
+        for r in own:
+            assert len(r.positions) == -(-r.taken // r.size) and r.positions == sorted(r.positions) and r.positions[0] == r.position
+            for k, at in enumerate(r.positions):
+                words[min(at * 10 // mixing.STEPS, 9)] += min(r.size, r.taken - k * r.size)
+        for k, w in enumerate(words):
+            assert abs(w - target * (met((k + 1) / 10) - met(k / 10))) <= 2 * largest, (source, k)
+        seen += any(len(r.positions) > 1 for r in own)
+    assert seen  # sources that are taken more than once are among them
+
+
 def test_repeat_documents(docs):
     rows = mixing.mix(docs).collect()
     want = Counter({r.doc_id: -(-r.taken // r.size) if r.taken else 0 for r in rows})
     out = mixing.repeat_documents(docs)
-    assert out.columns == docs.columns and Counter(r.doc_id for r in out.collect()) == +want
+    order = [r.doc_id for r in out.collect()]
+    assert out.columns == docs.columns and Counter(order) == +want
+    assert order == [i for _, i in sorted((at, r.doc_id) for r in rows for at in r.positions)]
+    assert any(n > 1 for n in want.values()) and not any(a == b for a, b in zip(order, order[1:]))
+
+
+def test_mixing_against_its_sql(spark):
+    import duckdb
+
+    from baitline.llm import queries
+
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{SMALL}/documents.parquet'")
+    got = queries.op8_mixing(spark, SMALL)
+    cursor = duck.execute(queries.oracle_sql()["op8_mixing"])
+    assert sorted(got.columns) == sorted(d[0] for d in cursor.description)
+    assert bag(got.select(*(d[0] for d in cursor.description)).collect()) == bag(cursor.fetchall())
 
 
 # --- the pipeline ---
