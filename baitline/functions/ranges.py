@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -49,9 +52,28 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: Windows with at most this many sets of places for mismatches are sought by a regular expression.
+MOST_PATTERNS = 64
+
+
+def flag_text(ident: Column) -> Column:
+    """Identity flags as a text of 0 and 1."""
+    return F.array_join(ident.cast("array<string>"), "")
+
+
+def _trim_of(flags: Column, window: int, least: int) -> Column:
+    """five_prime_trim of flags as a text: the first window is where a pattern first matches, one for each set of mismatches."""
+    patterns = ("".join("." if i in gaps else "1" for i in range(window)) for gaps in combinations(range(window), window - least))
+    at = F.regexp_instr(flags, F.lit("|".join(patterns)))
+    trim = at + F.instr(F.substr(flags, at, F.lit(window)), F.lit("1")) - 2
+    return F.when((F.length(flags) < window) | (at == 1), F.lit(0)).when(at > 1, trim).cast("long")
+
+
 def five_prime_trim(ident: Column, window: int, threshold: float) -> Column:
     """Units to trim in front: up to the first window above threshold, and its leading mismatches; null if there is none."""
     least = int(threshold * window / 100) + 1  # identical units that are more than threshold percent
+    if least <= window and comb(window, window - least) <= MOST_PATTERNS:
+        return _trim_of(flag_text(ident), window, least)
 
     def of(flags: Column) -> Column:
         inside = lambda k: sum((F.get(flags, k + i) for i in range(1, window)), F.get(flags, k)) >= least
@@ -64,6 +86,10 @@ def five_prime_trim(ident: Column, window: int, threshold: float) -> Column:
 
 def terminal_trim(ident: Column, window: int = 5, threshold: float = 75.0) -> Column:
     """(five, three): units to trim at either end."""
+    least = int(threshold * window / 100) + 1
+    if least <= window and comb(window, window - least) <= MOST_PATTERNS:
+        flags = flag_text(ident)
+        return F.struct(_trim_of(flags, window, least).alias("five"), _trim_of(F.reverse(flags), window, least).alias("three"))
     return F.struct(five_prime_trim(ident, window, threshold).alias("five"), five_prime_trim(F.reverse(ident), window, threshold).alias("three"))
 
 

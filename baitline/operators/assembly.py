@@ -38,9 +38,13 @@ def unitigs(counts: dict[str, int], least: int) -> list[tuple[str, float]]:
     return sorted(out, key=lambda x: (-len(x[0]), x[0]))
 
 
-def assemble(reads: DataFrame, keys: tuple[str, ...] = ("sample", "gene"), k: int = 31, cutoff: int = 2, least_length: int = 60) -> DataFrame:
-    """(keys, contig, seq, length, depth): unitigs of each gene's reads; where the k gives none, a smaller one is tried."""
-    sizes = [k, max(15, k - 10)]
+def assemble(reads: DataFrame, keys: tuple[str, ...] = ("sample", "gene"), k: int | tuple[int, ...] = 31, cutoff: int = 2, least_length: int = 60, least_depth: float = 0) -> DataFrame:
+    """(keys, contig, seq, length, depth): unitigs of each gene's reads; where a k gives none, the next of several is tried.
+
+    A single k stands for itself and one that is smaller by ten. cutoff is the least number of times a k-mer is seen,
+    least_depth the least mean of these numbers over a contig.
+    """
+    sizes = [k, max(15, k - 10)] if isinstance(k, int) else [*k]
     strands = F.explode(F.array("seq", reverse_complement(F.col("seq"))))
     every = F.explode(F.array(*(F.struct(F.lit(n).alias("k"), kmers(F.col("s"), n).alias("list")) for n in sizes)))
     mers = reads.select(*keys, strands.alias("s")).select(*keys, every.alias("x")).select(*keys, "x.k", F.explode("x.list").alias("kmer"))
@@ -49,7 +53,7 @@ def assemble(reads: DataFrame, keys: tuple[str, ...] = ("sample", "gene"), k: in
     def contigs(frame: pd.DataFrame) -> pd.DataFrame:
         for size in sizes:
             part = frame[frame["k"] == size]
-            found = [u for u in unitigs(dict(zip(part["kmer"], part["n"])), cutoff) if len(u[0]) >= least_length]
+            found = [u for u in unitigs(dict(zip(part["kmer"], part["n"])), cutoff) if len(u[0]) >= least_length and u[1] >= least_depth]
             if found:
                 break
         rows = [(*(frame[c].iloc[0] for c in keys), f"NODE_{i}_length_{len(s)}_cov_{d:.6f}", s, len(s), d) for i, (s, d) in enumerate(found, 1)]
@@ -176,14 +180,51 @@ def ungapped(reads: DataFrame, stitched: DataFrame, most: int = 7) -> DataFrame:
     return reads.join(stitched.select("gene", "ref"), "gene").select("gene", "read_id", "seq", "ref").mapInPandas(run, f"gene {kinds['gene']}, read_id {kinds['read_id']}, start long, end long, nm long")
 
 
-def blosum_distance(a: str, b: str, scores: dict[tuple[str, str], int]) -> float:
-    """1 - score(a, b) / max(score(a, a), score(b, b)) of aligned proteins; letters without a score are skipped."""
-    total = {k: 0 for k in ("ab", "a", "b")}
-    for x, y in zip(a, b):
-        if (x, y) in scores and (x, x) in scores and (y, y) in scores:
-            total["ab"] += scores[x, y]
-            total["a"] += scores[x, x]
-            total["b"] += scores[y, y]
-    most = max(total["a"], total["b"])
-    return 1 - total["ab"] / most if most else 1.0
+def global_alignment(a: str, b: str, gap: int = -2) -> tuple[str, str]:
+    """Two sequences aligned over their whole lengths: a match gains 2, a mismatch costs 1; gaps at the ends are free."""
+    x, y = np.frombuffer(a.encode(), np.uint8), np.frombuffer(b.encode(), np.uint8)
+    score = np.zeros((len(x) + 1, len(y) + 1), np.int64)
+    drop = gap * np.arange(len(y) + 1)
+    for i in range(1, len(x) + 1):
+        best = np.maximum(score[i - 1, :-1] + np.where(y == x[i - 1], 2, -1), score[i - 1, 1:] + gap)
+        score[i] = np.maximum.accumulate(np.concatenate(([0], best)) - drop) + drop
+    i, j = max([(int(score[len(x), j]), len(x), j) for j in range(len(y) + 1)] + [(int(score[i, len(y)]), i, len(y)) for i in range(len(x) + 1)])[1:]
+    left, right = [a[i:], "-" * (len(y) - j)], ["-" * (len(x) - i), b[j:]]
+    while i and j:
+        if score[i, j] == score[i - 1, j - 1] + (2 if x[i - 1] == y[j - 1] else -1):
+            i, j = i - 1, j - 1
+            left.append(a[i])
+            right.append(b[j])
+        elif score[i, j] == score[i - 1, j] + gap:
+            i -= 1
+            left.append(a[i])
+            right.append("-")
+        else:
+            j -= 1
+            left.append("-")
+            right.append(b[j])
+    left += [a[:i], "-" * j]
+    right += ["-" * i, b[:j]]
+    # one of the two end pieces is empty; the other side is written against gaps
+    return "".join(reversed(left)), "".join(reversed(right))
+
+
+#: Fixed value: the letters that a distance counts.
+RESIDUES = frozenset("ARNDCQEGHILKMFPSTWYV")
+
+
+def blosum_distance(a: str, b: str, scores: dict[tuple[str, str], float] | None = None) -> float:
+    """1 - score(a, b) / max(score(a, a), score(b, b)) of aligned proteins; columns with another letter are skipped.
+
+    scores is a substitution matrix by pairs of letters (sources.text.score_matrix reads one); without it a match
+    counts 1 and a mismatch 0.
+    """
+    of = (lambda x, y: scores[x, y]) if scores else (lambda x, y: float(x == y))
+    columns = [(x, y) for x, y in zip(a, b) if x in RESIDUES and y in RESIDUES]
+    most = max(sum(of(x, x) for x, _ in columns), sum(of(y, y) for _, y in columns), 0)
+    return 1 - sum(of(x, y) for x, y in columns) / most if most else 1.0
+
 
+def protein_distance(a: str, b: str, scores: dict[tuple[str, str], float] | None = None) -> float:
+    """The distance of two proteins after global alignment; a stop at the end is left out."""
+    return blosum_distance(*global_alignment(a.upper().rstrip("*"), b.upper().rstrip("*")), scores)

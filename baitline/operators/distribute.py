@@ -36,12 +36,29 @@ def reads_to_genes(reads: DataFrame, hits: DataFrame) -> DataFrame:
     return reads.join(read_genes(hits), "read_id")
 
 
-def pairs_to_genes(pairs: DataFrame, hits: DataFrame) -> DataFrame:
-    """Every pair (id1, id2) once for each gene of its first mate, or of its second where the first has none."""
-    genes = read_genes(hits)
-    first = pairs.join(genes.withColumnRenamed("read_id", "id1"), "id1")
-    rest = pairs.join(genes.select(F.col("read_id").alias("id1")).distinct(), "id1", "left_anti")
-    return first.unionByName(rest.join(genes.withColumnRenamed("read_id", "id2"), "id2"))
+def pairs_to_genes(pairs: DataFrame, hits: DataFrame, unpaired: DataFrame | None = None) -> DataFrame:
+    """Every pair (id1, id2) once for each gene of its first mate, or of its second where the first has none.
+
+    Genes are collected once a read, so pairs are joined twice, by either mate, and never counted again. unpaired are
+    reads without a mate (read_id): they come with read_id as id1 and a null id2.
+    """
+    genes = hits.groupBy("read_id").agg(F.collect_set("gene").alias("genes"))
+    one, two = (genes.select(F.col("read_id").alias(f"id{n}"), F.col("genes").alias(f"_genes{n}")) for n in (1, 2))
+    routed = pairs.join(one, "id1", "left").join(two, "id2", "left")
+    out = routed.select(*pairs.columns, F.explode(F.coalesce("_genes1", "_genes2")).alias("gene"))
+    if unpaired is None:
+        return out
+    alone = unpaired.join(read_genes(hits), "read_id").withColumnRenamed("read_id", "id1")
+    return out.unionByName(alone, allowMissingColumns=True)
+
+
+def total_reads(reads: DataFrame, paired: bool = False) -> DataFrame:
+    """The number of input reads: rows, or twice as many where a row is a pair."""
+    return reads.agg((F.count("*") * (2 if paired else 1)).alias("reads"))
+
+
+def below_evalue(hits: DataFrame, most: float) -> DataFrame:
+    return hits.where(F.col("evalue") <= most)
 
 
 def gene_counts(routed: DataFrame) -> DataFrame:

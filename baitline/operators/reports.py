@@ -99,11 +99,37 @@ def status_counts(flags: DataFrame) -> DataFrame:
     )
 
 
-def stats(samples: DataFrame, reads: DataFrame, lengths: DataFrame, means: DataFrame, flags: DataFrame) -> DataFrame:
-    """The per-sample report, one row a sample, zeros where nothing was recovered."""
-    found = lengths.where("len > 0").groupBy("sample").agg(F.count("*").alias("genes_with_seqs"), F.sum("len").alias("bases"))
-    out = samples.join(enrichment(reads), "sample", "left").join(found, "sample", "left").join(thresholds(lengths, means), "sample", "left").join(status_counts(flags), "sample", "left")
-    return out.na.fill(0)
+#: The columns of the report of samples.
+STATS_COLUMNS = [
+    "Name", "NumReads", "ReadsMapped", "PctOnTarget", "GenesMapped", "GenesWithContigs", "GenesWithSeqs", "GenesAt25pct", "GenesAt50pct", "GenesAt75pct", "GenesAt150pct", "ParalogWarningsLong", "ParalogWarningsDepth",
+    "GenesWithoutStitchedContigs", "GenesWithStitchedContigs", "GenesWithStitchedContigsSkipped", "GenesWithChimeraWarning", "TotalBasesRecovered",
+]
+
+
+def stats(samples: DataFrame, reads: DataFrame, lengths: DataFrame, means: DataFrame, flags: DataFrame, mapped_genes: DataFrame | None = None, contig_genes: DataFrame | None = None) -> DataFrame:
+    """The per-sample report (STATS_COLUMNS), one row a sample, zeros where nothing was recovered.
+
+    mapped_genes and contig_genes are (sample, gene) of genes with mapped reads and with contigs; without them, genes
+    with sequences are counted.
+    """
+    count = lambda frame, name: frame.select("sample", "gene").distinct().groupBy("sample").agg(F.count("*").alias(name))
+    with_seqs = lengths.where("len > 0")
+    found = with_seqs.groupBy("sample").agg(F.count("*").alias("genes_with_seqs"), F.sum("len").alias("bases"))
+    parts = [enrichment(reads), count(mapped_genes if mapped_genes is not None else with_seqs, "genes_mapped"), count(contig_genes if contig_genes is not None else with_seqs, "genes_with_contigs"), found, thresholds(lengths, means), status_counts(flags)]
+    out = samples.select("sample")
+    for part in parts:
+        out = out.join(part, "sample", "left")
+    own = ["sample", "total", "mapped", "pct_on_target", "genes_mapped", "genes_with_contigs", "genes_with_seqs", "above_25", "above_50", "above_75", "above_150", "paralogs_long", "paralogs_depth", "without_stitched", "with_stitched", "skipped", "chimeras", "bases"]
+    return out.select(*(F.col(c).alias(name) if c == "sample" else F.coalesce(F.col(c), F.lit(0)).alias(name) for c, name in zip(own, STATS_COLUMNS)))
+
+
+def threshold_report(samples: DataFrame, genes: DataFrame, share: float) -> DataFrame:
+    """(rank, value): the lines of the report on samples and genes with paralogs in at least share of the others."""
+    listed = lambda frame, c: frame.agg(F.array_sort(F.collect_list(F.col(c).cast("string"))).alias("n"))
+    of = lambda what, other: F.concat(F.lit("There are "), F.size("n").cast("string"), F.lit(f" {what}s with paralogs in >= {share}% of {other}s. The {what} names are:"))
+    first = listed(samples, "sample").select(F.concat(F.array(of("sample", "gene")), F.col("n"), F.array(F.lit(""))).alias("a"))
+    second = listed(genes, "gene").select(F.concat(F.array(of("gene", "sample")), F.col("n")).alias("b"))
+    return first.crossJoin(second).select(F.posexplode(F.concat("a", "b")).alias("rank", "value"))
 
 
 def aligned(files: DataFrame) -> DataFrame:

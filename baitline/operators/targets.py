@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,40 @@ def low_complexity(targets: DataFrame, window: int | None = None, threshold: flo
     """Sequences with a window of low entropy; None takes the kind's default."""
     window = window if window is not None else (50 if protein else 100)
     threshold = threshold if threshold is not None else (3.0 if protein else 1.5)
-    return targets.where(sequences.low_complexity(F.col("seq"), window, threshold))
+    return targets.where(least_entropy(window)(F.col("seq")) <= threshold)
+
+
+def least_entropy(window: int):
+    """A function of sequences: the least Shannon entropy (bits) of any window; a shorter sequence is one window.
+
+    Counts of a letter in all windows come from its running count, so the work is length times letters, whatever the
+    window; column expressions would count anew in each window.
+    """
+    from pyspark.sql.functions import pandas_udf
+
+    share = np.arange(window + 1) / window
+    part = np.where(share > 0, share * np.log2(np.where(share > 0, share, 1)), 0.0)
+
+    def of(text: str | None) -> float | None:
+        if text is None:
+            return None
+        letters = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        if not len(letters):
+            return 0.0
+        if len(letters) < window:
+            n = np.unique(letters, return_counts=True)[1] / len(letters)
+            return float(-(n * np.log2(n)).sum())
+        total = np.zeros(len(letters) - window + 1)
+        for letter in np.unique(letters):
+            seen = np.concatenate(([0], np.cumsum(letters == letter)))
+            total += part[seen[window:] - seen[:-window]]
+        return float(-total.max())
+
+    @pandas_udf("double")
+    def least(seqs: pd.Series) -> pd.Series:
+        return pd.Series([of(s) for s in seqs], dtype="float64")
+
+    return least
 
 
 def relative_length(targets: DataFrame, share: float) -> DataFrame:
@@ -42,40 +77,86 @@ def lost_genes(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.select("gene").distinct().join(after.select("gene"), "gene", "left_anti")
 
 
-def check(targets: DataFrame, protein: bool = False) -> DataFrame:
+def check(targets: DataFrame, protein: bool = False, window: int | None = None, threshold: float | None = None) -> DataFrame:
     """(section, name): every violation; low-complexity, stops inside, length not whole codons, bad or repeated names."""
     of = lambda section, frame: frame.select(F.lit(section).alias("section"), "name")
-    out = of("header", bad_headers(targets)).unionByName(of("duplicate", duplicate_names(targets))).unionByName(of("low_complexity", low_complexity(targets, protein=protein)))
+    out = of("header", bad_headers(targets)).unionByName(of("duplicate", duplicate_names(targets))).unionByName(of("low_complexity", low_complexity(targets, window, threshold, protein)))
     if protein:
         return out
     residues = sequences.translate(sequences.pad_codons(F.col("seq")))
     return out.unionByName(of("not_codons", targets.where(F.length("seq") % 3 != 0))).unionByName(of("stops", targets.where(sequences.internal_stops(residues) > 0))).unionByName(of("terminal_stop", targets.where((sequences.stops(residues) == 1) & residues.endswith("*"))))
 
 
-def fix(targets: DataFrame, share: float = 0.0, drop: DataFrame | None = None) -> DataFrame:
+def control_rows(report: DataFrame, settings: dict[str, object]) -> DataFrame:
+    """(rank, key, values) of the control file for fix, from a report of check: settings by key, and the names with low complexity."""
+    spark = report.sparkSession
+    rows = spark.createDataFrame([(i, k, [str(v)]) for i, (k, v) in enumerate(settings.items())], "rank int, key string, values array<string>")
+    names = F.array_sort(F.collect_set(F.when(F.col("section") == "low_complexity", F.col("name"))))
+    low = report.agg(names.alias("n")).select(F.lit(len(settings)).alias("rank"), F.lit("LOW_COMPLEXITY_SEQUENCES").alias("key"), F.when(F.size("n") > 0, F.col("n")).otherwise(F.array(F.lit("None"))).alias("values"))
+    return rows.unionByName(low)
+
+
+def first_references(proteins: DataFrame) -> DataFrame:
+    """(gene, reference) of proteins(gene, seq, ord): the first of each gene."""
+    return proteins.groupBy("gene").agg(F.min_by("seq", "ord").alias("reference"))
+
+
+def open_frames(targets: DataFrame, no_terminal_stop: bool = False) -> DataFrame:
+    """The frames of each sequence without stops, but for one at the very end if that is allowed: frame, protein and bases.
+
+    Stops are sought in the frame padded to whole codons, so a stop before a cut-off codon counts as inside.
+    """
+    rows = None
+    for offset in range(3):
+        padded = sequences.translate(sequences.pad_codons(F.substr(F.col("seq"), F.lit(offset + 1), F.length("seq"))))
+        bases = sequences.frame(F.col("seq"), offset)
+        part = targets.withColumns({"frame": F.lit(offset).cast("long"), "_judged": padded, "bases": bases}).withColumn("protein", sequences.translate(F.col("bases")))
+        rows = part if rows is None else rows.unionByName(part)
+    n = sequences.stops(F.col("_judged"))
+    fine = n == 0 if no_terminal_stop else (n == 0) | ((n == 1) & F.col("_judged").endswith("*"))
+    return rows.where(fine).drop("_judged")
+
+
+def distances(pairs: DataFrame, scores: dict[tuple[str, str], float] | None = None) -> DataFrame:
+    """pairs(..., protein, reference) with their distance after global alignment; null where there is no reference."""
+    from pyspark.sql.functions import pandas_udf
+
+    from baitline.operators.assembly import protein_distance
+
+    @pandas_udf("double")
+    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([None if y is None else protein_distance(x, y, scores) for x, y in zip(a, b)], dtype="float64")
+
+    return pairs.withColumn("distance", distance("protein", "reference"))
+
+
+def fix(
+    targets: DataFrame, share: float = 0.0, low_complexity_names: DataFrame | None = None, references: DataFrame | None = None, maximum_distance: float = 0.5, no_terminal_stop: bool = False,
+    keep_low_complexity: bool = False, scores: dict[tuple[str, str], float] | None = None,
+) -> DataFrame:
     """Targets with the reason to leave them out (null: kept), and the frame and sequence to use.
 
-    A sequence with one open frame is set to it; with several, to the frame whose protein is nearest in length-free
-    identity to the gene's longest one-frame protein (place by place); with none it goes.
+    A sequence without an open frame goes. Open frames are compared, by the distance of their proteins, with the gene's
+    reference (references(gene, reference)); the nearest is taken, and one farther than maximum_distance goes. Without a
+    reference, a single open frame is right, and several are compared with the longest sequence of the gene that has a
+    single one; where there is none, the frame is undetermined. Then sequences go that are no longer than share of their
+    gene's longest, and those named as of low complexity, unless they are to be kept.
     """
-    opened = frames(targets).where("open")
-    gene = Window.partitionBy("gene")
     name = Window.partitionBy("name", "gene")
-    counted = opened.withColumn("_frames", F.count("*").over(name))
-    reference = F.max(F.when(F.col("_frames") == 1, F.struct(F.length("protein").alias("n"), F.col("protein")))).over(gene)["protein"]
-    alike = F.aggregate(
-        F.zip_with(F.split("protein", ""), F.split(F.coalesce(F.col("_reference"), F.col("protein")), ""), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda a, x: a + x
-    )
-    chosen = counted.withColumn("_reference", reference).withColumn("_alike", alike).withColumn("_nth", F.row_number().over(name.orderBy(F.desc("_alike"), "frame"))).where("_nth = 1")
-    seq = F.when(F.col("frame") == 0, sequences.frame(F.col("seq"), 0)).when(F.col("frame") == 1, sequences.frame(F.col("seq"), 1)).otherwise(sequences.frame(F.col("seq"), 2))
-    whole = chosen.select("name", "gene", F.col("frame"), seq.alias("seq"))
-    long_enough = relative_length(whole, share).select("name").withColumn("_long", F.lit(True))
-    out = targets.select("name", "gene").join(whole, ["name", "gene"], "left").join(long_enough, "name", "left")
-    reason = F.when(F.col("frame").isNull(), "no open frame").when(F.col("_long").isNull(), "too short")
-    if drop is not None:
-        out = out.join(drop.select("name").distinct().withColumn("_drop", F.lit(True)), "name", "left")
-        reason = F.coalesce(reason, F.when(F.col("_drop"), "low complexity"))
-        out = out.withColumn("reason", reason).drop("_drop")
-    else:
-        out = out.withColumn("reason", reason)
-    return out.drop("_long")
+    opened = open_frames(targets.select("name", "gene", "seq"), no_terminal_stop).withColumn("_frames", F.count("*").over(name))
+    given = references.select("gene", "reference") if references is not None else None
+    judged = opened.join(given, "gene", "left") if given is not None else opened.withColumn("reference", F.lit(None).cast("string"))
+    single = judged.where(F.col("reference").isNull() & (F.col("_frames") == 1))
+    model = single.groupBy("gene").agg(F.max(F.struct(F.length("bases").alias("n"), F.col("protein"))).alias("_m")).select("gene", F.col("_m.protein").alias("_model"))
+    asked = judged.join(model, "gene", "left").withColumn("reference", F.coalesce("reference", F.when(F.col("_frames") > 1, F.col("_model"))))
+    nearest = distances(asked, scores).withColumn("_nth", F.row_number().over(name.orderBy(F.col("distance").asc_nulls_last(), "frame"))).where("_nth = 1")
+    wrong = F.when(F.col("reference").isNull() & (F.col("_frames") > 1), "frame undetermined").when((F.col("distance") > maximum_distance) | (F.col("distance") >= 1), "too far from its reference")
+    chosen = nearest.select("name", "gene", "frame", F.col("bases").alias("seq"), "distance", wrong.alias("_wrong"))
+    long_enough = relative_length(chosen.where("_wrong is null"), share).select("name", "gene").withColumn("_long", F.lit(True))
+    out = targets.select("name", "gene").distinct().join(chosen, ["name", "gene"], "left").join(long_enough, ["name", "gene"], "left")
+    reason = F.coalesce(F.when(F.col("frame").isNull(), "no open frame"), F.col("_wrong"), F.when(F.col("_long").isNull(), "too short"))
+    if low_complexity_names is not None:
+        out = out.join(low_complexity_names.select("name").distinct().withColumn("low_complexity", F.lit(True)), "name", "left").withColumn("low_complexity", F.coalesce("low_complexity", F.lit(False)))
+        if not keep_low_complexity:
+            reason = F.coalesce(reason, F.when(F.col("low_complexity"), "low complexity"))
+    return out.withColumn("reason", reason).drop("_long", "_wrong")

@@ -29,8 +29,14 @@ class Options:
     chimera_pair_cutoff: int = 5
     chimera_subfilter: int = 7
     max_target_seqs: int = 10
+    evalue: float = 1e-4
+    word_size: int | None = None
+    cov_cutoff: int = 8
+    kvals: tuple[int, ...] | None = None
 
     def __post_init__(self) -> None:
+        if self.word_size is not None:
+            checks.word_size(self.word_size)
         checks.identity(self.thresh)
         checks.identity(self.window_threshold)
         checks.fraction(self.paralog_min_length_percentage)
@@ -40,16 +46,25 @@ class Options:
         return cls(**{"unit": 1, "window": 15, "window_threshold": 65.0, **changes})
 
 
-def map_reads(reads: DataFrame, target_set: DataFrame, protein: bool = False, most: int = 10) -> DataFrame:
+def map_reads(reads: DataFrame, target_set: DataFrame, protein: bool = False, most: int = 10, word_size: int | None = None) -> DataFrame:
     """(read_id, target, score, taxon, gene) by k-mer votes; precomputed hits can take its place."""
-    votes = mapping.map_reads(reads, target_set.select(F.col("name").alias("target"), "seq"), k=5 if protein else 21, most=most, both_strands=not protein, translated=protein)
+    k = word_size or (5 if protein else 21)
+    votes = mapping.map_reads(reads, target_set.select(F.col("name").alias("target"), "seq"), k=k, most=most, both_strands=not protein, translated=protein)
     return distribute.named_hits(votes.withColumnRenamed("votes", "score"))
 
 
-def distribute_reads(reads: DataFrame, read_hits: DataFrame, paired: bool = False) -> dict[str, DataFrame]:
-    """Reads by gene, reads a gene, and the number of mapped reads."""
-    routed = (distribute.pairs_to_genes if paired else distribute.reads_to_genes)(reads, read_hits)
-    return {"reads": routed, "counts": distribute.gene_counts(routed), "mapped": distribute.mapped_reads(read_hits)}
+def distribute_reads(reads: DataFrame, read_hits: DataFrame, paired: bool = False, unpaired: DataFrame | None = None, options: Options | None = None) -> dict[str, DataFrame]:
+    """Reads by gene, reads a gene, the number of mapped reads and that of all reads.
+
+    Pairs may come with reads that lost their mate (unpaired). Hits that carry an evalue must not exceed the options'.
+    """
+    if options is not None and "evalue" in read_hits.columns:
+        read_hits = distribute.below_evalue(read_hits, options.evalue)
+    routed = distribute.pairs_to_genes(reads, read_hits, unpaired) if paired else distribute.reads_to_genes(reads, read_hits)
+    total = distribute.total_reads(reads, paired)
+    if unpaired is not None:
+        total = total.unionByName(distribute.total_reads(unpaired)).agg(F.sum("reads").alias("reads"))
+    return {"reads": routed, "counts": distribute.gene_counts(routed), "mapped": distribute.mapped_reads(read_hits), "total": total}
 
 
 def select_targets(target_set: DataFrame, read_hits: DataFrame, wanted: DataFrame | None = None, exclude: str | None = None) -> dict[str, DataFrame]:
@@ -59,73 +74,105 @@ def select_targets(target_set: DataFrame, read_hits: DataFrame, wanted: DataFram
     return {"targets": distribute.chosen_sequences(target_set, chosen), "tally": distribute.tally(chosen), "without_hits": distribute.genes_without_hits(target_set, read_hits)}
 
 
-def extract_contigs(hsps: DataFrame, keys: tuple[str, ...] = ("gene",), options: Options = Options()) -> dict[str, DataFrame]:
-    """Gene sequences, paralogs with names, and the numbers of hits after each stage, from alignments.
+def extract_contigs(hsps: DataFrame, keys: tuple[str, ...] | None = None, options: Options = Options()) -> dict[str, DataFrame]:
+    """Gene sequences, paralogs with names, and the hits after each stage, from alignments.
 
-    hsps: keys, contig, s, e, ident, hit_seq (gapped), sim, depth; query_len for paralogs.
+    hsps: keys, contig, s, e, ident, hit_seq (gapped), sim, depth, strand; query_len for paralogs; h_frags (contig
+    ranges) and q_frags (target ranges) where alignments have several fragments.
     """
     o = options
-    kept = hits.trimmed(hits.above_identity(hsps, o.thresh), o.unit, o.window, o.window_threshold)
-    similar = kept
+    keys = hits.keys_of(hsps, keys)
+    if "q_frags" not in hsps.columns:
+        hsps = hsps.withColumn("q_frags", F.array(F.struct("s", "e")))
+    similar = kept = hits.trimmed(hits.above_identity(hsps, o.thresh), o.unit, o.window, o.window_threshold)
+    stages = {"identity": similar}
     if o.skip_frameshifts:
-        kept = hits.without_frameshifts(kept)
+        kept = stages["frameshifts"] = hits.without_frameshifts(kept)
     if o.skip_internal_stops:
-        kept = hits.without_internal_stops(kept)
-    tiled = hits.uncontained(kept, keys)
-    pieces = hits.overlap_trimmed(tiled, keys, o.unit, o.stitched_contig_pad_n)
+        kept = stages["stops"] = hits.without_internal_stops(kept)
+    tiled = stages["tiled"] = hits.uncontained(kept, keys)
+    pieces = stages["cut"] = hits.overlap_trimmed(tiled, keys, o.unit, o.stitched_contig_pad_n)
     genes = hits.longest(tiled, keys).withColumn("seq", sequences.without_gaps(F.col("seq"))) if o.no_stitched_contig else hits.stitched(pieces, keys)
     if o.unit == 3:
         genes = genes.withColumn("protein", sequences.translate(sequences.pad_codons(F.col("seq")))).withColumn("internal_stop", sequences.internal_stops(F.col("protein")) > 0)
-    out = {"genes": genes, "pieces": pieces, "stages": hits.stage_report({"identity": similar, "filtered": kept, "tiled": tiled}) if keys == ("gene",) else None}
+    out = {"genes": genes, "pieces": pieces, "stages": hits.stage_report(stages, keys)}
+    if {"strand", "sim"} <= set(hsps.columns):
+        out["stage_rows"] = hits.stage_rows(stages, keys)
     if "query_len" in hsps.columns:
-        # by the untrimmed ranges, before frameshift, stop and containment filters
-        spans = hits.above_identity(hsps, o.thresh)
-        frags = F.col("q_frags") if "q_frags" in hsps.columns else F.array(F.struct("s", "e"))
-        found = paralogs.long_hits(spans.withColumn("q_frags", frags), o.paralog_min_length_percentage)
-        several = found.withColumn("_n", F.count("*").over(Window.partitionBy(*keys))).where("_n > 1").drop("_n")
-        named = paralogs.named(paralogs.with_main(several, keys, o.depth_multiplier), keys)
-        out["paralogs"] = named.withColumn("seq", sequences.without_gaps(F.col("hit_seq")))
-        out["depth"] = paralogs.depth_warning(spans, hsps.groupBy(*keys).agg(F.max("query_len").alias("query_len")), o.paralog_min_length_percentage, keys)
-    return {k: v for k, v in out.items() if v is not None}
+        out |= paralog_hits(similar, keys, o)
+    return out
+
+
+def paralog_hits(similar: DataFrame, keys: tuple[str, ...] | None = None, options: Options = Options()) -> dict[str, DataFrame]:
+    """Paralogs (named, with sequences), their warnings, and the warning by depth, of hits after trimming.
+
+    Long by the ranges as aligned (q_frags); ranked, named and written as trimmed.
+    """
+    o, keys = options, hits.keys_of(similar, keys)
+    found = paralogs.long_hits(similar, o.paralog_min_length_percentage)
+    several = found.withColumn("_n", F.count("*").over(Window.partitionBy(*keys))).where("_n > 1").drop("_n")
+    named = paralogs.named(paralogs.with_main(several, keys, o.depth_multiplier), keys).withColumn("seq", sequences.without_gaps(F.col("hit_seq")))
+    spans = similar.select(*keys, F.explode("q_frags").alias("f")).select(*keys, "f.s", "f.e")
+    lengths = similar.groupBy(*keys).agg(F.max("query_len").alias("query_len"))
+    return {"paralogs": named, "paralog_warnings": named.select(*keys, "contig"), "depth": paralogs.depth_warning(spans, lengths, o.paralog_min_length_percentage, keys)}
 
 
 def assemble(reads: DataFrame, target_set: DataFrame, protein: bool = False, options: Options | None = None) -> dict[str, DataFrame]:
     """One sample from reads(read_id, seq) to gene sequences, with native mapping, assembly and alignment."""
     options = options or (Options() if protein else Options.nucleotide())
-    read_hits = map_reads(reads, target_set, protein, options.max_target_seqs)
+    read_hits = map_reads(reads, target_set, protein, options.max_target_seqs, options.word_size)
     routed = distribute.reads_to_genes(reads, read_hits)
     chosen = select_targets(target_set, read_hits)["targets"]
-    contigs = assembly.assemble(routed, ("gene",))
+    contigs = assembly.assemble(routed, ("gene",), options.kvals or 31, least_depth=options.cov_cutoff)
     pairs = contigs.join(chosen.select("gene", F.col("seq").alias("target_seq")), "gene").withColumnRenamed("seq", "contig_seq")
     lengths = pairs.select("gene", "contig", "depth", F.length("target_seq").alias("query_len"))
     hsps = assembly.align(pairs, protein).join(lengths, ["gene", "contig"])
     return {"hits": read_hits, "counts": distribute.gene_counts(routed), "contigs": contigs, **extract_contigs(hsps, ("gene",), options)}
 
 
-def chimera_check(pieces: DataFrame, mates: DataFrame, options: Options = Options()) -> DataFrame:
-    """Genes with chimeric stitching: mates(gene, read_id, start1, end1, nm1, start2, end2, nm2) on the stitched sequence."""
-    lots = chimera.offsets(pieces.withColumn("len", F.length("piece"))).select("gene", "contig", "lo", "hi")
-    for n in (1, 2):
-        lot = lots.select("gene", F.col("contig").alias(f"contig{n}"), F.col("lo").alias(f"lo{n}"), F.col("hi").alias(f"hi{n}"))
-        mates = mates.join(lot, "gene").where(f"start{n} >= lo{n} and end{n} <= hi{n}")
-    return chimera.chimeric_genes(mates, options.chimera_pair_cutoff, options.chimera_edit_distance)
+def chimera_check(pieces: DataFrame, pairs: DataFrame, options: Options = Options()) -> dict[str, DataFrame]:
+    """Genes with chimeric stitching, from reads: pieces (gene, contig, rank, piece[, h_frags]) and pairs(gene, pair, seq1, seq2).
+
+    Reads are placed on the stitched sequence without gaps; pairs with both mates placed are kept.
+    """
+    stitched = hits.stitched(pieces, ("gene",)).select("gene", F.col("seq").alias("ref"))
+    reads = pairs.select("gene", "pair", F.explode(F.array(*(F.struct(F.lit(n).alias("mate"), F.col(f"seq{n}").alias("seq")) for n in (1, 2)))).alias("r"))
+    asked = reads.select("gene", F.struct("pair", "r.mate").alias("read_id"), "r.seq")
+    placed = assembly.ungapped(asked, stitched, options.chimera_subfilter).select("gene", "read_id.pair", "read_id.mate", "start", "end", "nm")
+    return chimeras(pieces, chimera.mates(placed), options)
+
 
+def chimeras(pieces: DataFrame, mates: DataFrame, options: Options = Options()) -> dict[str, DataFrame]:
+    """The discordant pairs between contigs, and the genes with more of them than the cutoff.
+
+    mates(gene, pair, start1, end1, nm1, start2, end2, nm2) are pairs placed on the stitched sequence.
+    """
+    found = chimera.between_contigs(mates, chimera.exon_lots(pieces), options.chimera_edit_distance)
+    return {"pairs": found, "genes": found.groupBy("gene").agg(F.count("*").alias("pairs")).where(F.col("pairs") > options.chimera_pair_cutoff)}
 
-def intronerate(hsps: DataFrame, contigs: DataFrame, pad: bool = True) -> dict[str, DataFrame]:
-    """Supercontigs and intron texts of genes: hsps with h_frags, contigs(gene, contig, seq)."""
-    order = Window.partitionBy("gene").orderBy("s", "e", "contig")
-    placed = hsps.join(contigs.select("gene", "contig", F.col("seq").alias("contig_seq")), ["gene", "contig"])
-    turned = F.when(F.col("strand") == -1, sequences.reverse_complement(F.col("contig_seq"))).otherwise(F.col("contig_seq"))
-    frags = F.when(F.col("strand") == -1, ranges.reversed_ranges(F.col("h_frags"), F.length("contig_seq").cast("long"))).otherwise(F.col("h_frags"))
-    whole = placed.withColumn("seq", turned).withColumn("h_frags", frags).withColumn("rank", F.row_number().over(order))
-    once = whole.withColumn("_nth", F.row_number().over(Window.partitionBy("gene", "contig").orderBy(F.desc("e")))).where("_nth = 1").drop("_nth")
-    return {"supercontigs": introns.supercontig(once, filler=10 if pad else 0), "introns": introns.intron_texts(whole).where(F.size("introns") > 0)}
 
+def intronerate(pieces: DataFrame, contigs: DataFrame, pad: bool = True, unit: int = 3) -> dict[str, DataFrame]:
+    """Supercontigs and intron texts of genes whose hits are coherent.
 
-def stats(samples: DataFrame, reads: DataFrame, lengths: DataFrame, target_set: DataFrame, flags: DataFrame, protein: bool = False) -> dict[str, DataFrame]:
+    pieces: hits after overlaps were cut (gene, contig, rank, e, strand, h_frags, piece, cut_bases); contigs(gene,
+    contig, seq). A contig that an overlap took more than three residues from ends where its hit ends.
+    """
+    fine = pieces.join(introns.coherent(pieces), "gene", "left_semi")
+    placed = introns.furthest(fine).join(contigs.select("gene", "contig", F.col("seq").alias("contig_seq")), ["gene", "contig"])
+    back = F.col("strand") == -1
+    turned = F.when(back, sequences.reverse_complement(F.col("contig_seq"))).otherwise(F.col("contig_seq"))
+    frags = F.when(back, ranges.reversed_ranges(F.col("h_frags"), F.length("contig_seq").cast("long"))).otherwise(F.col("h_frags"))
+    whole = placed.withColumn("_turned", turned).withColumn("h_frags", F.array_sort(frags))
+    cut = whole.withColumn("seq", introns.cut_contig(F.col("_turned"), F.col("h_frags"), F.length("piece").cast("long"), F.col("cut_bases"), 3 * unit))
+    within = F.filter(ranges.introns(F.col("h_frags")), lambda x: x["e"] <= F.length("seq"))
+    texts = cut.withColumn("introns", ranges.slices(F.col("seq"), within))
+    return {"supercontigs": introns.supercontig(cut, filler=10 if pad else 0), "introns": texts.where(F.size("introns") > 0).select("gene", "contig", "rank", "introns")}
+
+
+def stats(samples: DataFrame, reads: DataFrame, lengths: DataFrame, target_set: DataFrame, flags: DataFrame, protein: bool = False, mapped_genes: DataFrame | None = None, contig_genes: DataFrame | None = None) -> dict[str, DataFrame]:
     """The per-sample report, and the long table behind the length matrix with every sample and gene."""
     means = reports.mean_lengths(target_set, protein)
-    return {"stats": reports.stats(samples, reads, lengths, means, flags), "lengths": reports.grid(samples, means, lengths, "len"), "means": means}
+    return {"stats": reports.stats(samples, reads, lengths, means, flags, mapped_genes, contig_genes), "lengths": reports.grid(samples, means, lengths, "len"), "means": means}
 
 
 def retrieve_sequences(genes: DataFrame, kind: str, wanted: DataFrame | None = None, passing: DataFrame | None = None, chimeras: DataFrame | None = None) -> DataFrame:
@@ -142,10 +189,11 @@ def paralog_retriever(samples: DataFrame, found: DataFrame, genes: DataFrame, ch
     every = reports.paralogs_or_gene(found, genes)
     copies = reports.paralog_counts(every)
     n_samples, n_genes = samples.select("sample").distinct().count(), every.select("gene").distinct().count()
-    return {
-        "paralogs_all": every, "paralogs_no_chimeras": reports.without_chimeras(every, chimeras.select("sample", "gene")) if chimeras is not None else every, "matrix": reports.grid(samples, every, copies, "copies"),
-        "genes": reports.genes_over(copies, max(n_samples, 1), share), "samples": reports.samples_over(copies, max(n_genes, 1), share),
-    }
+    over = {"genes": reports.genes_over(copies, max(n_samples, 1), share), "samples": reports.samples_over(copies, max(n_genes, 1), share)}
+    out = {"paralogs_all": every, "matrix": reports.grid(samples, every, copies, "copies"), **over, "report": reports.threshold_report(over["samples"], over["genes"], share)}
+    if chimeras is not None:
+        out["paralogs_no_chimeras"] = reports.without_chimeras(every, chimeras.select("sample", "gene"))
+    return out
 
 
 def recovery_heatmap(lengths: DataFrame, means: DataFrame) -> DataFrame:
@@ -157,11 +205,20 @@ def check_targetfile(target_set: DataFrame, protein: bool = False) -> DataFrame:
     return targets.check(target_set, protein)
 
 
-def fix_targetfile(target_set: DataFrame, share: float = 0.0, drop: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The repaired set, what was left out and why, and the genes that lost all their sequences."""
-    report = targets.fix(target_set, checks.fraction(share), drop)
-    kept = report.where("reason is null")
-    return {"kept": kept.drop("reason"), "removed": report.where("reason is not null").select("name", "gene", "reason"), "lost_genes": targets.lost_genes(target_set, kept)}
+def fix_targetfile(target_set: DataFrame, share: float = 0.0, low_complexity_names: DataFrame | None = None, allow_gene_removal: bool = False, **options) -> dict[str, DataFrame]:
+    """The repaired set, what was left out and why, and the genes that lost all their sequences.
+
+    Unless it is allowed, a gene that loses all its sequences is an error. options are those of targets.fix; references
+    may be proteins(gene, seq, ord) of which the first of each gene counts.
+    """
+    if (given := options.get("references")) is not None and "reference" not in given.columns:
+        options["references"] = targets.first_references(given)
+    report = targets.fix(target_set, checks.fraction(share), low_complexity_names, maximum_distance=checks.fraction(options.pop("maximum_distance", 0.5)), **options)
+    kept = report.where("reason is null").drop("reason")
+    lost = targets.lost_genes(target_set, kept)
+    if not allow_gene_removal and (names := [r.gene for r in lost.orderBy("gene").limit(20).collect()]):
+        raise ValueError(f"genes that would lose all their sequences: {', '.join(map(str, names))}")
+    return {"kept": kept, "removed": report.where("reason is not null").select("name", "gene", "reason"), "lost_genes": lost, "proteins": kept.withColumn("seq", sequences.translate(F.col("seq")))}
 
 
 def filter_by_length(genes: DataFrame, lengths: DataFrame, means: DataFrame, length_filter: int = 0, percent_filter: float = 0.0) -> dict[str, DataFrame]:

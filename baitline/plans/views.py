@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from baitline.functions.ranges import let
 from baitline.session import table
 
 #: One SQL text for both engines, by view; later views may use earlier ones.
@@ -26,6 +29,19 @@ SQL = {
     "pairs": """select l_partkey % 40 as gene, concat('c', cast(l_orderkey % 3 as string)) as contig1, concat('c', cast(l_suppkey % 3 as string)) as contig2,
         cast(l_linenumber - 1 as bigint) as nm1, cast(l_orderkey % 9 as bigint) as nm2, l_orderkey as read_id from lineitem""",
 }
+#: Identity flags (one a target position) and the gapped bases of a hit, from a digest of its contig.
+IDENT = "list_transform(range(1, (e - s + 1)::bigint), lambda i: case when instr('0123', substr(repeat(md5(contig), 2), i::bigint, 1)) > 0 then 0 else 1 end)"
+GAPPED = "substr(repeat(translate(md5(contig), '0123456789abcdef', 'ACGT-CGTACGTACGT'), 4), 1, cast((e - s) * 3 as int))"
+
+
+def aligned(hsps: DataFrame) -> DataFrame:
+    """hsps with ident, hit_seq and query_len as IDENT and GAPPED give them."""
+    digest = F.repeat(F.md5(F.col("contig").cast("binary")), 2)
+    flags = lambda text: F.transform(F.sequence(F.lit(1), (F.col("e") - F.col("s")).cast("int")), lambda i: F.when(F.instr(F.lit("0123"), F.substr(text, i, F.lit(1))) > 0, 0).otherwise(1))
+    bases = F.expr(GAPPED.replace("md5(contig)", "md5(cast(contig as binary))"))
+    return hsps.withColumns({"ident": let(digest, flags), "hit_seq": bases, "query_len": F.lit(40.0)})
+
+
 #: Tables that the views read.
 BASE = ("part", "lineitem", "orders", "customer", "supplier")
 

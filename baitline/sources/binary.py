@@ -15,22 +15,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
+def _store(path: str):
+    """(Arrow file system, path in it); a path without scheme, or with file: alone, is local."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+
+
 def _files(path: str) -> list[str]:
     from pyarrow import fs
 
-    store, root = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    store, root = _store(path)
     info = store.get_file_info(root)
     if info.type == fs.FileType.NotFound:
         raise FileNotFoundError(path)
     scheme = path.split("://")[0] + "://" if "://" in path else ""
     found = [f.path for f in store.get_file_info(fs.FileSelector(root)) if f.type == fs.FileType.File] if info.type == fs.FileType.Directory else [info.path]
-    return sorted(f"{scheme}{f}" for f in found)
+    shown = (f for f in found if not f.rsplit("/", 1)[-1].startswith(("_", ".")))  # as Spark's own readers do
+    return sorted(f"{scheme}{f}" for f in shown)
 
 
 def _open(path: str):
     from pyarrow import fs
 
-    store, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    store, inner = _store(path)
     return store.open_input_file(inner)
 
 
@@ -196,7 +204,7 @@ def samples(spark: SparkSession, root: str, wanted: list[str]) -> tuple[list[str
     """(found, missing) of the wanted samples under root, sorted; one that is both a folder and packed is an error."""
     from pyarrow import fs
 
-    store, inner = fs.FileSystem.from_uri(root if "://" in root else f"file://{root}")
+    store, inner = _store(root)
     entries = {f.base_name: f.type for f in store.get_file_info(fs.FileSelector(inner))}
     folders = {n for n, t in entries.items() if t == fs.FileType.Directory}
     packed = {n.removesuffix(".tar.gz") for n in entries if n.endswith(".tar.gz")}

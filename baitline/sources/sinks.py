@@ -34,6 +34,48 @@ def interleaved(pairs: DataFrame) -> DataFrame:
     return pairs.select("gene", "ord", mates.alias("m")).select("gene", (F.col("ord") * 2 + F.col("m.n")).alias("ord"), "m.seq_id", "m.seq")
 
 
+def interleaved_fastq(pairs: DataFrame) -> DataFrame:
+    """Pairs as rows (gene, ord, id, seq, qual), mates next to each other."""
+    mates = F.explode(F.array(*(F.struct(F.lit(n - 1).alias("n"), F.col(f"id{n}").alias("id"), F.col(f"seq{n}").alias("seq"), F.col(f"qual{n}").alias("qual")) for n in (1, 2))))
+    return pairs.select("gene", "ord", mates.alias("m")).select("gene", (F.col("ord") * 2 + F.col("m.n")).alias("ord"), "m.id", "m.seq", "m.qual")
+
+
+def lines(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """rows(rank, value) as one text file, in the order of rank; for reports, whose size is that of their lists of names."""
+    rows.coalesce(1).sortWithinPartitions("rank").select("value").write.mode(mode).text(path)
+
+
+def control(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """rows(rank, key, values) as a control file."""
+    lines(rows.select("rank", F.concat_ws("\t", "key", F.array_join("values", "\t")).alias("value")), path, mode)
+
+
+def paralogs(rows: DataFrame, path: str, keys: tuple[str, ...] = ("sample", "gene"), mode: str = "errorifexists") -> None:
+    """Named paralogs (keys, suffix, contig, seq) as FASTA, a folder for each key: names are sample.suffix, then the contig."""
+    named = rows.withColumn("seq_id", F.concat_ws(".", "sample", "suffix")).withColumn("description", F.col("contig"))
+    fasta(named, path, keys, order=("suffix",), mode=mode)
+
+
+def paralog_warnings(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The contigs of long paralogs: gene and contig."""
+    table(rows.select("gene", "contig"), path, header=False, order=("gene", "contig"), mode=mode)
+
+
+def depth_warnings(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A line for each sample and gene of rows(sample, gene, paralog_depth)."""
+    flag = F.initcap(F.col("paralog_depth").cast("string"))
+    line = F.concat(F.lit("Sample "), F.col("sample").cast("string"), F.lit(", gene "), F.col("gene").cast("string"), F.lit(", paralog warning via contig depth across query protein, "), flag)
+    rows.orderBy("sample", "gene").select(line.alias("value")).write.mode(mode).text(path)
+
+
+def sam(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """rows(read_id, flag, target, pos, mapq, seq, nm) as SAM lines."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("*"))
+    cigar = F.concat(F.length("seq").cast("string"), F.lit("M"))
+    tag = F.concat(F.lit("NM:i:"), F.col("nm").cast("string"))
+    rows.select(F.concat_ws("\t", text("read_id"), text("flag"), text("target"), text("pos"), text("mapq"), cigar, F.lit("*"), F.lit("0"), F.lit("0"), text("seq"), F.lit("*"), tag).alias("value")).write.mode(mode).text(path)
+
+
 def table(rows: DataFrame, path: str, header: bool = True, order: tuple[str, ...] = (), mode: str = "errorifexists") -> None:
     (rows.orderBy(*order) if order else rows).write.mode(mode).csv(path, sep="\t", header=header, emptyValue="", nullValue="")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: The twelve columns of tabular hits.
 TABULAR = "read_id string, target string, pct double, length int, mismatches int, gaps int, q_start int, q_end int, t_start int, t_end int, evalue double, score double"
+#: Fixed value: the keys of a control file.
 CONTROL_KEYS = ("TARGETFILE", "TARGETFILE_TYPE", "CHANGE_LENGTH", "TRANSLATE_TARGET_FILE", "NO_TERMINAL_STOP_CODONS", "SLIDING_WINDOW_SIZE", "COMPLEXITY_MINIMUM_THRESHOLD", "ALLOW_GENE_REMOVAL", "LOW_COMPLEXITY_SEQUENCES")
 
 
@@ -80,9 +81,10 @@ def names(spark: SparkSession, path: str) -> DataFrame:
 
 
 def denied(spark: SparkSession, path: str) -> DataFrame:
-    """(gene, sample) of a deny list; a gene without samples gives no row."""
+    """(gene, sample) of a deny list; a gene without samples gives one row with a null sample, which denies nothing."""
     rows = spark.read.csv(path, sep="\t", schema="gene string, samples string")
-    return rows.select("gene", F.explode(F.split(F.coalesce("samples", F.lit("")), ",")).alias("sample")).where("sample <> ''")
+    named = F.filter(F.split(F.coalesce("samples", F.lit("")), ","), lambda x: x != "")
+    return rows.select("gene", F.explode_outer(named).alias("sample"))
 
 
 def length_matrix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -100,9 +102,31 @@ def preferred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stats(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, sep="\t", header=True, inferSchema=False)
+    """A report of samples with the types of its columns: names, counts and one percentage."""
+    from baitline.operators.reports import STATS_COLUMNS
+
+    kinds = {"Name": "string", "PctOnTarget": "double"}
+    return spark.read.csv(path, sep="\t", header=True, enforceSchema=False, schema=", ".join(f"{c} {kinds.get(c, 'long')}" for c in STATS_COLUMNS))
 
 
 def marked_block(text, marker: str):
     """The first block between two markers."""
     return F.get(F.split(text, marker), F.lit(1))
+
+
+#: Fixed value: what stands around the feature lines in an aligner's output.
+GFF_MARKERS = r"# --- END OF GFF DUMP ---|# --- START OF GFF DUMP ---\n#\n#\n"
+
+
+def gff(spark: SparkSession, path: str) -> DataFrame:
+    """(file, seq, source, feature, start, end, score, strand, phase, attributes) of the first feature block of each file."""
+    block = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), marked_block(F.col("value"), GFF_MARKERS).alias("b"))
+    cells = block.select("file", F.explode(F.split("b", "\n")).alias("line")).where("line <> '' and not startswith(line, '#')").select("file", F.split("line", "\t").alias("c"))
+    names = ["seq", "source", "feature", "start", "end", "score", "strand", "phase", "attributes"]
+    return cells.select("file", *((F.col("c")[i].cast("long") if n in ("start", "end") else F.get("c", F.lit(i))).alias(n) for i, n in enumerate(names)))
+
+
+def score_matrix(spark: SparkSession, path: str) -> dict[tuple[str, str], float]:
+    """A substitution matrix in the usual text form (a row of letters, then a letter and its scores a line; # comments)."""
+    lines = [r.value.split() for r in spark.read.text(path, wholetext=False).collect() if r.value.strip() and not r.value.startswith("#")]
+    return {(row[0], other): float(v) for row in lines[1:] for other, v in zip(lines[0], row[1:])}

@@ -142,7 +142,7 @@ def test_target_checks_and_repairs(spark):
     assert {("header", "d_g2"), ("duplicate", "c-g1"), ("not_codons", "b-g1"), ("terminal_stop", "c-g1"), ("not_codons", "d_g2")} <= found
     fixed = {r.name: (r.frame, r.seq, r.reason) for r in targets.fix(frame.where("name in ('a-g1', 'b-g1')")).collect()}
     assert fixed["a-g1"][2] is None and fixed["a-g1"][0] == 0 and fixed["b-g1"] == (1, "CTAACTGACCCC", None)
-    dropped = targets.fix(frame.where("name in ('a-g1', 'b-g1')"), drop=frame.where("name = 'a-g1'"))
+    dropped = targets.fix(frame.where("name in ('a-g1', 'b-g1')"), low_complexity_names=frame.where("name = 'a-g1'"))
     assert {r.name: r.reason for r in dropped.collect()} == {"a-g1": "low complexity", "b-g1": None}
     # the terminal-stop section is for one stop, at the end; a threshold of 0 is a threshold
     assert targets.low_complexity(frame, window=3, threshold=0.0).count() == 2
@@ -159,8 +159,11 @@ def test_reports(spark):
     assert {tuple(r) for r in reports.without_denied(lengths, denied.where("false")).collect()} == {tuple(r) for r in lengths.collect()}  # a gene without denials
     reads = spark.createDataFrame([("s1", 1, 3), ("s2", 0, 0)], "sample string, mapped long, total long")
     flags = spark.createDataFrame([("s1", "g1", "single", False, True, False)], "sample string, gene string, stitched string, chimera boolean, paralog_long boolean, paralog_depth boolean")
-    out = {r["sample"]: r for r in reports.stats(stats.select("sample"), reads, lengths, means, flags).collect()}
-    assert out["s1"].pct_on_target == 33.3 and out["s2"].pct_on_target == 0.0 and out["s2"].above_150 == 1 and out["s1"].paralogs_long == 1 and out["s2"].without_stitched == 0
+    report = reports.stats(stats.select("sample"), reads, lengths, means, flags, lengths.where("sample = 's2'"))
+    assert report.columns == reports.STATS_COLUMNS and len(report.columns) == 18
+    out = {r.Name: r for r in report.collect()}
+    assert out["s1"].PctOnTarget == 33.3 and out["s2"].PctOnTarget == 0.0 and out["s2"].GenesAt150pct == 1 and out["s1"].ParalogWarningsLong == 1 and out["s2"].GenesWithoutStitchedContigs == 0
+    assert (out["s1"].GenesMapped, out["s2"].GenesMapped, out["s2"].GenesWithSeqs, out["s2"].TotalBasesRecovered) == (0, 2, 1, 40)
     files = spark.createDataFrame([("f1", "a", "ACG"), ("f1", "b", "TTT"), ("f2", "b", "GG")], "file string, name string, seq string")
     assert dict(reports.concatenated(files).collect()) == {"a": "ACG--", "b": "TTTGG"}
     assert [tuple(r) for r in reports.partitions(files).orderBy("file").collect()] == [("f1", "all", 1, 3, 1), ("f2", "all", 4, 5, 1)]
@@ -240,7 +243,7 @@ def test_commands(spark):
     assert sorted(r.seq for r in out["paralogs_all"].collect()) == ["a", "b", "d", "e"] and sorted(r.seq for r in out["paralogs_no_chimeras"].collect()) == ["a", "b", "e"]
     assert {(r["sample"], r.gene): r.copies for r in out["matrix"].collect()} == {("s1", "g1"): 2, ("s1", "g2"): 0, ("s2", "g1"): 1, ("s2", "g2"): 1}
     assert [tuple(r) for r in out["genes"].collect()] == [("g1", 1)] and [tuple(r) for r in out["samples"].collect()] == [("s1", 1)]
-    hsps = spark.createDataFrame([("g", "a", 0, 6, 1, "AAACCCGGGTTTAAACCC", 90.0, 1.0, [(0, 4), (8, 12)])], "gene string, contig string, s long, e long, strand int, hit_seq string, sim double, depth double, h_frags array<struct<s:long,e:long>>")
+    hsps = spark.createDataFrame([("g", "a", 1, 6, 1, "ACGTACGT", None, [(0, 4), (8, 12)])], "gene string, contig string, rank int, e long, strand int, piece string, cut_bases long, h_frags array<struct<s:long,e:long>>")
     parts = pipelines.intronerate(hsps, spark.createDataFrame([("g", "a", "ACGTTTTTACGT")], "gene string, contig string, seq string"))
     assert parts["introns"].first().introns == ["TTTT"] and parts["supercontigs"].first().supercontig == "ACGTTTTTACGT"
     with pytest.raises(ValueError, match="not between"):
@@ -251,7 +254,7 @@ def test_commands(spark):
     assert {r.gene: r.paralog_depth for r in got["depth"].collect()} == {"g": True, "h": False}
     mates = spark.createDataFrame([("g", i, 0, 3, 0, 6, 9, 5) for i in range(6)], "gene string, read_id long, start1 long, end1 long, nm1 long, start2 long, end2 long, nm2 long")
     pieces = spark.createDataFrame([("g", "a", 1, "AAAAA"), ("g", "b", 2, "CCCCC")], "gene string, contig string, rank int, piece string")
-    assert [tuple(r) for r in pipelines.chimera_check(pieces, mates).collect()] == [("g", 6)]
+    assert [tuple(r) for r in pipelines.chimeras(pieces, mates.withColumnRenamed("read_id", "pair"))["genes"].collect()] == [("g", 6)]
 
 
 def test_genes_without_any_hit(spark):
@@ -262,3 +265,128 @@ def test_genes_without_any_hit(spark):
 
     assert "genes_without_any_hit" in catalogue.queries()
     assert [r.gene for r in distribute.genes_without_hits(t, h).collect()] == ["b"]
+
+
+def test_paralogs_come_from_trimmed_hits(spark):
+    """Long by the range as aligned; a hit that trimming drops is none, and sequences are written as trimmed."""
+    from baitline.plans import pipelines
+
+    bad, good = [0, 0] + [1] * 18, [1] * 20
+    none = [1, 0, 1, 0, 1, 1, 0, 1, 0, 1] * 2  # no window of five above three quarters
+    rows = [("g", "a", 0, 20, bad, "T" * 6 + "A" * 54, 90.0, 1.0), ("g", "b", 0, 20, good, "C" * 60, 100.0, 2.0), ("g", "c", 0, 20, none, "G" * 60, 60.0, 99.0), ("h", "d", 0, 20, good, "C" * 60, 100.0, 2.0), ("h", "e", 0, 20, none, "G" * 60, 60.0, 99.0)]
+    hsps = spark.createDataFrame([(*r, 1, 20) for r in rows], "gene string, contig string, s long, e long, ident array<int>, hit_seq string, sim double, depth double, strand int, query_len int")
+    out = pipelines.extract_contigs(hsps)
+    got = {(r.gene, r.contig): (r.suffix, r.seq, r.sim) for r in out["paralogs"].collect()}
+    assert got == {("g", "a"): ("0", "A" * 54, 100.0), ("g", "b"): ("main", "C" * 60, 100.0)}
+    assert {r.gene: r.paralog_depth for r in out["depth"].collect()} == {"g": True, "h": False}
+    rows = out["stage_rows"].where("stage = 'identity' and hit_id = 'a'").collect()
+    assert [(r.query_HSP_range_limits_original, r.query_HSP_range_limits_trimmed, r["3-prime_bases_trimmed"]) for r in rows] == [("(0, 20)", "(2, 20)", "N/A")]
+    assert len(out["stage_rows"].columns) == 2 + 14
+
+
+def test_contig_ranges_are_trimmed_too(spark):
+    ident = [0, 0] + [1] * 10 + [0, 0]
+    frags = [(100, 112), (200, 230)]
+    hsps = spark.createDataFrame([("g", "a", 5, 19, ident, "A" * 42, frags)], "gene string, contig string, s long, e long, ident array<int>, hit_seq string, h_frags array<struct<s:long,e:long>>")
+    r = hits.trimmed(hsps).first()
+    assert (r.s, r.e, r.s_untrimmed, r.e_untrimmed) == (7, 17, 5, 19) and [tuple(f) for f in r.h_frags] == [(106, 112), (200, 224)] and [tuple(f) for f in r.h_frags_untrimmed] == frags
+
+
+def test_chimera_check_from_reads(spark):
+    """Pairs whose mates lie in different contigs, one without edits and one with many; those over an exon's end or a join don't count."""
+    from baitline.plans import pipelines
+
+    rng = random.Random(21)
+    one, two = ("".join(rng.choice("ACGT") for _ in range(120)) for _ in range(2))
+    frag = lambda *x: [list(p) for p in x]
+    pieces = spark.createDataFrame([("g", "a", 1, one, frag((10, 130))), ("g", "b", 2, two, frag((0, 60), (90, 150)))], "gene string, contig string, rank int, piece string, h_frags array<struct<s:long,e:long>>")
+    other = str.maketrans("ACGT", "CGTA")
+    edited = lambda seq, n: "".join(c.translate(other) if i % 5 == 2 and i // 5 < n else c for i, c in enumerate(seq))
+    turned = lambda seq: seq.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    rows = []
+    for i in range(6):
+        rows.append(("g", i, one[i : i + 40], turned(edited(two[5 + i : 45 + i], 6))))  # counts
+    rows += [("g", 10, one[:40], two[5:45]), ("g", 11, one[:40], edited(one[50:90], 6)), ("g", 12, one[:40], edited(two[45:85], 6)), ("g", 13, one[100:] + two[:20], edited(two[5:45], 6)), ("g", 14, one[:40], "A" * 40)]
+    out = pipelines.chimera_check(pieces, spark.createDataFrame(rows, "gene string, pair int, seq1 string, seq2 string"))
+    assert sorted(r.pair for r in out["pairs"].collect()) == [*range(6)]
+    assert [tuple(r) for r in out["genes"].collect()] == [("g", 6)]
+
+
+def test_supercontigs_end_where_their_hits_end(spark):
+    from baitline.plans import pipelines
+
+    contig = "".join(random.Random(2).choice("ACGT") for _ in range(100))
+    turned = contig.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    schema = "gene string, contig string, rank int, e long, strand int, piece string, cut_bases long, h_frags array<struct<s:long,e:long>>"
+    rows = [
+        ("whole", "c", 1, 9, 1, "A" * 30, 9, [(10, 49)]),  # nine bases are too few
+        ("one", "c", 1, 9, 1, "A" * 28, 12, [(10, 50)]),
+        ("back", "c", 1, 9, -1, "A" * 28, 12, [(10, 50)]),
+        ("two", "c", 1, 9, 1, "A" * 25, 15, [(10, 30), (50, 70)]),
+        ("odd", "c", 1, 9, 1, "A" * 20, None, [(10, 30)]), ("odd", "d", 2, 12, 1, "A" * 20, None, [(10, 30)]), ("odd", "c", 3, 15, 1, "A" * 20, None, [(40, 60)]),
+        ("strands", "c", 1, 9, 1, "A" * 20, None, [(10, 30)]), ("strands", "c", 2, 12, -1, "A" * 20, None, [(40, 60)]),
+        ("twice", "c", 1, 9, 1, "A" * 20, None, [(10, 30)]), ("twice", "c", 2, 12, 1, "A" * 20, None, [(40, 60)]), ("twice", "d", 3, 15, 1, "A" * 20, None, [(0, 20)]),
+    ]
+    contigs = spark.createDataFrame([(g, c, contig) for g in {r[0] for r in rows} for c in "cd"], "gene string, contig string, seq string")
+    out = pipelines.intronerate(spark.createDataFrame(rows, schema), contigs)
+    got = {r.gene: r.supercontig for r in out["supercontigs"].collect()}
+    assert got == {"whole": contig, "one": contig[:38], "back": turned[:78], "two": contig[:55], "twice": contig + "N" * 10 + contig}
+    assert {r.gene: r.introns for r in out["introns"].collect()} == {"two": [contig[30:50]]}
+
+
+def plain_distance(a, b):
+    """Share of unequal residues at the best alignment without gaps inside."""
+    best = 1.0
+    for shift in range(-len(b) + 1, len(a)):
+        pairs = [(a[i], b[i - shift]) for i in range(max(0, shift), min(len(a), len(b) + shift))]
+        same = sum(x == y for x, y in pairs)
+        if 2 * same - (len(pairs) - same) > 0:
+            best = min(best, 1 - same / len(pairs)) if len(pairs) > 10 else best
+    return best
+
+
+def test_frames_are_chosen_by_distance(spark):
+    from baitline.plans import pipelines
+
+    rng = random.Random(31)
+    codons = [a + b + c for a in "ACGT" for b in "ACGT" for c in "ACGT" if a + b + c not in ("TAA", "TAG", "TGA")]
+    gene = "".join(rng.choice(codons) for _ in range(60))
+    protein = assembly.residues(gene)
+    no_stop = "".join(rng.choice("GC") for _ in range(90))  # no stop in any frame
+    rows = [("right-g1", "g1", gene), ("shifted-g1", "g1", "C" + gene), ("inserted-g1", "g1", gene[:60] + "GCAGCA" + gene[60:]), ("far-g1", "g1", no_stop), ("alone-g2", "g2", no_stop), ("stops-g3", "g3", "TAACTAACTAAC")]
+    frame = spark.createDataFrame([(n, n.split("-")[0], g, q) for n, g, q in rows], "name string, taxon string, gene string, seq string")
+    given = spark.createDataFrame([("g1", protein, 1), ("g1", "MMMM", 2)], "gene string, seq string, ord int")
+    out = {r.name: r for r in targets.fix(frame, references=targets.first_references(given)).collect()}
+    assert {n: r.reason for n, r in out.items()} == {"right-g1": None, "shifted-g1": None, "inserted-g1": None, "far-g1": "too far from its reference", "alone-g2": "frame undetermined", "stops-g3": "no open frame"}
+    assert (out["right-g1"].frame, out["shifted-g1"].frame, out["shifted-g1"].seq) == (0, 1, gene) and out["inserted-g1"].distance < 0.1
+    assert {r.name: r.reason for r in targets.fix(frame, references=targets.first_references(given), maximum_distance=0.0).collect()}["inserted-g1"] in (None, "too far from its reference")
+    with pytest.raises(ValueError, match="g2, g3"):
+        pipelines.fix_targetfile(frame, references=given)
+    fixed = pipelines.fix_targetfile(frame, references=given, allow_gene_removal=True, low_complexity_names=frame.where("name = 'right-g1'"))
+    assert {r.name for r in fixed["kept"].collect()} == {"shifted-g1", "inserted-g1"} and {r.gene for r in fixed["lost_genes"].collect()} == {"g2", "g3"}
+    kept = pipelines.fix_targetfile(frame, references=given, allow_gene_removal=True, low_complexity_names=frame.where("name = 'right-g1'"), keep_low_complexity=True)
+    assert {r.name: r.low_complexity for r in kept["kept"].collect()} == {"right-g1": True, "shifted-g1": False, "inserted-g1": False}
+    # without a reference the gene's longest sequence with a single frame is the model
+    model = spark.createDataFrame([("a-g1", "a", "g1", "TAAC" + gene), ("b-g1", "b", "g1", no_stop)], "name string, taxon string, gene string, seq string")
+    found = {r.name: (r.frame, r.reason) for r in targets.fix(model).collect()}
+    assert found["b-g1"][1] == "too far from its reference" or found["a-g1"][1] is None
+    a, b = protein[:50], "W" + protein[3:40] + "KK" + protein[40:]
+    assert assembly.protein_distance(a, a) == 0 and 0 < assembly.protein_distance(a, b) < 0.1
+    x, y = assembly.global_alignment(a, b)
+    assert len(x) == len(y) and x.replace("-", "") == a and y.replace("-", "") == b
+    for _ in range(5):
+        cut = rng.randrange(20)
+        assert assembly.protein_distance(protein, protein[cut:]) == pytest.approx(plain_distance(protein, protein[cut:])) == 0
+
+
+def test_all_query_sections_on_every_column(spark):
+    """Frames that hold a sample are grouped by it too."""
+    hsps = spark.createDataFrame([("s1", "g", "a", 0, 9, 90.0, 1.0), ("s2", "g", "b", 2, 5, 90.0, 1.0)], "sample string, gene string, contig string, s long, e long, sim double, depth double")
+    assert hits.uncontained(hsps).count() == 2 and hits.uncontained(hsps.drop("sample")).count() == 1
+
+
+def test_pairs_and_reads_without_a_mate(spark):
+    pairs = spark.createDataFrame([("a", "b"), ("c", "d"), ("e", "f"), ("c", "a")], "id1 string, id2 string")
+    read_hits = spark.createDataFrame([("a", "g1"), ("a", "g1"), ("a", "g2"), ("b", "g3"), ("d", "g4"), ("u", "g5")], "read_id string, gene string")
+    got = sorted(map(tuple, distribute.pairs_to_genes(pairs, read_hits, spark.createDataFrame([("u",), ("v",)], "read_id string")).collect()), key=str)
+    assert got == sorted([("a", "b", "g1"), ("a", "b", "g2"), ("c", "d", "g4"), ("c", "a", "g1"), ("c", "a", "g2"), ("u", None, "g5")], key=str)

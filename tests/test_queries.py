@@ -24,7 +24,7 @@ def bag(rows):
     return Counter(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.oracle_sql()))
 def test_query(spark, duck, name):
     frame = catalogue.queries()[name](spark, SMALL)
     cursor = duck.execute(catalogue.oracle_sql()[name])
