@@ -2,38 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of one Arrow batch handed to a Python worker. Texts can be long, so batches are short.
+from baitline.session import shared_dir, table  # noqa: F401  what the operators take from here
+
+#: Rows and bytes of one Arrow batch handed to a Python worker. Texts can be long, so batches are short.
 BATCH_ROWS = 256
+BATCH_BYTES = 8 << 20
 #: White space and words, as the contracts write them.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One Parquet table of a data directory."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _batches(spark: SparkSession, rows: int) -> None:
+    """Bounds the memory of Python workers. The session's setting counts when a query runs, not when it is built, so the
+    bound on bytes is the same for all: whichever bound on rows is in force, a batch of long texts stays small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Bounds the memory of Python workers: few rows an Arrow batch."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; where that is unset (local use), a folder of our own."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not set_dir:
-        set_dir = tempfile.mkdtemp(prefix="baitline-checkpoint-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(set_dir)
-    return set_dir
+    """For tables of texts."""
+    _batches(spark, BATCH_ROWS)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -87,7 +81,7 @@ def kept(key: str, build: Callable):
 
 def long_batches(spark: SparkSession, rows: int = 65_536) -> None:
     """For tables of a few numbers a row."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    _batches(spark, rows)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -268,12 +268,16 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "passages")
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rows that are predicted toxic; same columns. The score goes by a row's text alone."""
-    model = fit(docs, labels)
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """docs without the rows that are predicted toxic; same columns. The score goes by a row's text alone.
+
+    Null and empty texts stay, as do repeated rows of a clean text; without a toxic or without a clean label to learn
+    from all rows stay; an empty table stays empty; other columns, whatever their names, are carried along.
+    """
+    model = fit(docs, labels, id_col, text_col, **options)
     given = docs.sparkSession.sparkContext.broadcast(model)
-    marked = docs.mapInArrow(OnBatches(_mark, uuid4().hex, given, docs.columns.index("text")), docs.schema)
-    return marked
+    at = [c.lower() for c in docs.columns].index(text_col.lower())
+    return docs.mapInArrow(OnBatches(_mark, uuid4().hex, given, at), docs.schema)
 
 
 def _mark(batches: Iterator[pa.RecordBatch], key: str, given: Broadcast, at: int) -> Iterator[pa.RecordBatch]:

@@ -368,6 +368,25 @@ def test_repeats_of_a_passage_with_very_many_neighbours(spark, hot):
     assert bag(repeats.remove_repeats(frame, hot=hot, block_bytes=4096).collect()) == bag(plain_repeats(rows))
 
 
+def test_batches_of_long_texts_stay_small(spark):
+    """Whatever was built in between: the limits are read when a query runs."""
+    from baitline.llm.common import BATCH_BYTES, long_batches, short_batches
+
+    frame = spark.range(400, numPartitions=1).select(F.repeat(F.lit("x"), 200_000).alias("t"))
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    short_batches(spark)
+    built = frame.mapInArrow(sizes, "n long")
+    long_batches(spark)
+    assert max(r.n for r in built.collect()) * 200_000 <= 2 * BATCH_BYTES
+    short_batches(spark)
+
+
 def test_input_bytes_does_not_multiply(docs, spark):
     from baitline.llm.common import input_bytes
 
