@@ -117,11 +117,110 @@ def residues(seq: str) -> str:
     return "".join(out)
 
 
+#: Scores of spliced alignments: match, mismatch, a residue or codon too many, bases out of frame, an intron, and what
+#: an intron's usual ends give back.
+MATCH, MISMATCH, GAP, SHIFT, INTRON, SITE = 5, -4, -8, -12, -28, 6
+LEAST_INTRON = 30
+_STOP, _PAIR, _SKIP, _EXTRA, _ONE, _TWO, _JUMP = range(7)
+
+
+def spliced_alignment(protein: str, seq: str) -> dict | None:
+    """Best local alignment of a protein with bases that may hold introns (between codons) and bases out of frame.
+
+    One row a residue; within a row, an extra codon, one or two bases out of frame, or a jump over LEAST_INTRON bases or
+    more may follow. frags are (q_s, q_e, h_s, h_e); spans the bases between them; ident and codons run along the residues.
+    Memory is nine bytes for each residue and base.
+    """
+    n, m = len(seq), len(protein)
+    if n < 3 or not m:
+        return None
+    bases = np.frombuffer(seq.encode(), np.uint8)
+    three = np.frombuffer("".join(residues(seq[i : i + 3]) for i in range(n - 2)).encode(), np.uint8)
+    pair = lambda x, y: np.concatenate(((bases[:-1] == ord(x)) & (bases[1:] == ord(y)), [False]))
+    donor = np.append(pair("G", "T"), False) * SITE  # an intron begins at a place
+    acceptor = np.concatenate(([0, 0], pair("A", "G")[: n - 1] * SITE))  # or ends before it
+    score, how, source = np.zeros((m + 1, n + 1), np.int32), np.zeros((m + 1, n + 1), np.int8), np.zeros((m + 1, n + 1), np.int32)
+    every = np.arange(n + 1)
+    for i in range(1, m + 1):
+        row, op = np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int8)
+        moves = [(3, np.where(three == ord(protein[i - 1]), MATCH, MISMATCH), _PAIR, score[i - 1]), (0, GAP, _SKIP, score[i - 1])]
+        for k, cost, name, before in moves:
+            reached = before[: n + 1 - k] + cost
+            better = reached > row[k:]
+            row[k:][better], op[k:][better] = reached[better], name
+        plain = row.copy()
+        for k, cost, name in ((3, GAP, _EXTRA), (1, SHIFT, _ONE), (2, SHIFT, _TWO)):
+            reached = plain[:-k] + cost
+            better = reached > row[k:]
+            row[k:][better], op[k:][better] = reached[better], name
+        if n > LEAST_INTRON:
+            leaving = plain + donor
+            best = np.maximum.accumulate(leaving)
+            at = np.maximum.accumulate(np.where(leaving >= best, every, 0))
+            reached = best[:-LEAST_INTRON] + acceptor[LEAST_INTRON:] + INTRON
+            better = reached > row[LEAST_INTRON:]
+            row[LEAST_INTRON:][better], op[LEAST_INTRON:][better] = reached[better], _JUMP
+            source[i, LEAST_INTRON:] = at[:-LEAST_INTRON]
+        score[i], how[i] = row, op
+    i, j = np.unravel_index(int(np.where(how == _PAIR, score, 0).argmax()), score.shape)
+    top, q1 = int(score[i, j]), int(i)
+    if top <= 0:
+        return None
+    ident, codons, frags, spans = [], [], [], []
+    end = (int(i), int(j))
+    while score[i, j] > 0:
+        op = how[i, j]
+        if op == _PAIR:
+            i, j = i - 1, j - 3
+            codons.append(seq[j : j + 3])
+            ident.append(int(three[j] == ord(protein[i])))
+        elif op == _SKIP:
+            i -= 1
+            codons.append("---")
+            ident.append(0)
+        elif op == _EXTRA:
+            j -= 3
+        else:
+            frags.append((int(i), end[0], int(j), end[1]))
+            to = j - 1 if op == _ONE else j - 2 if op == _TWO else int(source[i, j])
+            spans.append(int(j - to))
+            j = to
+            end = (int(i), int(j))
+    frags.append((int(i), end[0], int(j), end[1]))
+    return {"score": top, "s": int(i), "e": q1, "frags": frags[::-1], "spans": spans[::-1], "ident": ident[::-1], "hit_seq": "".join(codons[::-1])}
+
+
+def align_spliced(pairs: DataFrame) -> DataFrame:
+    """align() of proteins with introns and bases out of frame: more columns are q_frags, h_frags and intron_spans.
+
+    h_frags are on the contig as given, in the order of the target, so they descend on the minus strand.
+    """
+
+    def run(frames):
+        for frame in frames:
+            rows = []
+            for gene, contig, target, seq in frame[["gene", "contig", "target_seq", "contig_seq"]].itertuples(index=False):
+                found = [(a["score"], strand, a) for strand, text in ((1, seq), (-1, seq.translate(_TURN)[::-1])) if (a := spliced_alignment(target, text))]
+                if found:
+                    score, strand, a = max(found, key=lambda f: f[:2])
+                    on = [(x, y) if strand == 1 else (len(seq) - y, len(seq) - x) for *_, x, y in a["frags"]]
+                    ranges_ = [[{"s": x, "e": y} for x, y in side] for side in ([f[:2] for f in a["frags"]], on)]
+                    rows.append((gene, contig, score, a["s"], a["e"], strand, a["ident"], a["hit_seq"], *ranges_, a["spans"]))
+            yield pd.DataFrame(rows, columns=["gene", "contig", "score", "s", "e", "strand", "ident", "hit_seq", "q_frags", "h_frags", "intron_spans"])
+
+    kinds = dict(pairs.dtypes)
+    part = "array<struct<s:long,e:long>>"
+    out = pairs.select("gene", "contig", "target_seq", "contig_seq").mapInPandas(run, f"gene {kinds['gene']}, contig string, score long, s long, e long, strand int, ident array<int>, hit_seq string, q_frags {part}, h_frags {part}, intron_spans array<long>")
+    from baitline.functions.ranges import identity
+
+    return out.withColumn("sim", identity(F.col("ident")))
+
+
 def align(pairs: DataFrame, protein: bool = False) -> DataFrame:
     """pairs(gene, contig, target_seq, contig_seq) with the best alignment over strands (and frames, for proteins).
 
     s and e are on the target; ident has a flag for each aligned target position; hit_seq is the contig's aligned
-    bases, three a residue on the protein path, with gaps as hyphens.
+    bases, three a residue on the protein path, with gaps as hyphens. align_spliced knows introns.
     """
 
     def best(target: str, contig: str):

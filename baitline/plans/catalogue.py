@@ -803,3 +803,81 @@ def stats_files(s, n, m, f):
     reads = s.groupBy("sample").agg(F.count("*").alias("total"), F.count_if(F.col("kind") > 0).alias("mapped"))
     sinks.table(reports.stats(reads, reads, n, m, f), path)
     return text.stats(n.sparkSession, path).where("GenesWithSeqs > 0").select("Name", "GenesWithSeqs", "TotalBasesRecovered")
+
+
+@query("select gene, sample, concat(cast(sample as string), '-', cast(gene as string)) as name, repeat('A', len) as seq from lengths where len < 200", "lengths")
+def sample_files(n):
+    """Sequences of several genes in one file, named by sample and gene."""
+    path = _place(n, "samples")
+    sinks.samples_fasta(n.where("len < 200").select("sample", "gene", F.repeat(F.lit("A"), F.col("len").cast("int")).alias("seq")), path, (), gene_in_name=True)
+    found = text.fasta(n.sparkSession, path).select(F.col("seq_name").alias("name"), "seq")
+    return found.select(sequences.gene_of(F.col("name")).cast("int").alias("gene"), sequences.taxon_of(F.col("name")).cast("int").alias("sample"), "name", "seq")
+
+
+@query("select seq_no, concat(cast(seq_no as string), '/1') as id1, reverse(seq) as seq2 from targets", "targets")
+def mate_files(t):
+    """Mates in two files, joined by their places."""
+    paths = []
+    for n, seq in ((1, F.col("seq")), (2, F.reverse("seq"))):
+        paths.append(_place(t, f"mates{n}"))
+        rows = t.select(F.concat(F.col("seq_no").cast("string"), F.lit(f"/{n}")).alias("id"), seq.alias("seq"), F.repeat(F.lit("I"), F.length("seq")).alias("qual"), F.col("seq_no").alias("ord"))
+        sinks.fastq(rows.coalesce(1), paths[-1])
+    pairs = binary.fastq_pairs(t.sparkSession, *paths)
+    return pairs.select(F.regexp_extract("id2", "^([0-9]+)/2$", 1).cast("long").alias("seq_no"), "id1", "seq2")
+
+
+@query("select contig, s + 1 as s, e, case when strand = -1 then 1 else 7 end as h_s, list_sum(list_transform(range(0, (e - s)::bigint), lambda i: case when i % 3 = 0 then 0 else 1 end))::bigint as same from hsps where ln = 7", "hsps")
+def xml_files(h):
+    """Hits written as XML, with a mismatch at every third place of the midline."""
+    path = _place(h, "xml")
+    field = lambda name, value: F.concat(F.lit(f"<{name}>"), value.cast("string"), F.lit(f"</{name}>"))
+    n = (F.col("e") - F.col("s")).cast("int")
+    middle = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i % 3 == 0, " ").otherwise("|")), "")
+    back = F.col("strand") == -1
+    ends = F.when(back, F.struct((n + 1).alias("a"), F.lit(2).alias("b"))).otherwise(F.struct(F.lit(8).alias("a"), (n + 7).alias("b")))
+    hsp = F.concat(F.lit("<Hit_hsps><Hsp>"), field("Hsp_query-from", F.col("s") + 2), field("Hsp_query-to", F.col("e") + 1), field("Hsp_hit-from", ends["a"]), field("Hsp_hit-to", ends["b"]), field("Hsp_midline", middle), F.lit("</Hsp></Hit_hsps>"))
+    line = F.concat(F.lit("<Hit>"), field("Hit_def", F.col("contig")), field("Hit_len", n + 9), hsp, F.lit("</Hit>"))
+    ends_ = h.sparkSession.createDataFrame([(0, "<Out>"), (2, "</Out>")], "rank int, value string")
+    sinks.lines(h.where("ln = 7").select(F.lit(1).alias("rank"), line.alias("value")).unionByName(ends_), path)
+    found = text.blast_xml(h.sparkSession, path)
+    return found.select("contig", "s", (F.col("e") - 1).alias("e"), F.col("h_s").cast("int").alias("h_s"), F.aggregate("ident", F.lit(0).cast("long"), lambda a, x: a + x).alias("same"))
+
+
+@query("select distinct concat('s', cast(sample as string)) as sample, concat('g', cast(gene as string)) as stem, (sample + gene * 0.5)::double as depth from lengths", "lengths")
+def names_of_files(n):
+    """Samples and stems of file names, and depths of contig names."""
+    read = F.concat(F.lit("/data/s"), F.col("sample").cast("string"), F.lit("_R1.fastq.gz"))
+    file = F.concat(F.lit("out/g"), F.col("gene").cast("string"), F.lit("_supercontig.fasta"))
+    contig = F.concat(F.lit("NODE_1_length_9_cov_"), (F.col("sample") + F.col("gene") * 0.5).cast("string"))
+    return n.select(sequences.sample_of_file(read).alias("sample"), sequences.stem(file).alias("stem"), sequences.contig_depth(contig).alias("depth")).distinct()
+
+
+@query("select gene, contig, concat_ws(',', contig, cast(gene as string), cast(s as string), cast(e as string), concat(cast(sim as string), '.00'), concat('(', cast(strand as string), ')')) as name from hsps", "hsps")
+def hit_names(h):
+    return h.select("gene", "contig", hits.hit_name(h).alias("name"))
+
+
+@query("select gene, max(length(seq)) as longest from targets group by gene", "targets")
+def longest_reference(t):
+    return t.groupBy("gene").agg(F.max_by("seq", F.length("seq")).alias("seq")).select("gene", F.length("seq").cast("long").alias("longest"))
+
+
+@query(
+    """, g as (select distinct read_id, gene from hits), p as (select contig * 2 as id1, contig as id2 from seqs where kind > 0), u as (select contig as id1 from seqs where kind = 0)
+    select id1, id2, gene from p join g on id1 = read_id union all select id1, id2, gene from p join g on id2 = read_id where id1 not in (select read_id from g)
+    union all select id1, null, gene from u join g on id1 = read_id""",
+    "hits",
+    "seqs",
+)
+def pairs_and_single_reads(h, s):
+    pairs = s.where("kind > 0").select((F.col("contig") * 2).alias("id1"), F.col("contig").alias("id2"))
+    return distribute.pairs_to_genes(pairs, h, s.where("kind = 0").select(F.col("contig").alias("read_id")))
+
+
+@query(
+    f"""{_KEPT} select 'identity' as stage, gene, contig as hit_id, concat('(', cast(s0 as string), ', ', cast(e0 as string), ')') as original, concat('(', cast(s as string), ', ', cast(e as string), ')') as trimmed, cast(strand as string) as strand from kept""",
+    "hsps",
+)
+def stage_rows(h):
+    out = pipelines.extract_contigs(aligned(h))["stage_rows"].where("stage = 'identity'")
+    return out.select("stage", "gene", "hit_id", F.col("query_HSP_range_limits_original").alias("original"), F.col("query_HSP_range_limits_trimmed").alias("trimmed"), F.col("hit_strand").alias("strand"))

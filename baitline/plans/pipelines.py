@@ -126,7 +126,7 @@ def assemble(reads: DataFrame, target_set: DataFrame, protein: bool = False, opt
     contigs = assembly.assemble(routed, ("gene",), options.kvals or 31, least_depth=options.cov_cutoff)
     pairs = contigs.join(chosen.select("gene", F.col("seq").alias("target_seq")), "gene").withColumnRenamed("seq", "contig_seq")
     lengths = pairs.select("gene", "contig", "depth", F.length("target_seq").alias("query_len"))
-    hsps = assembly.align(pairs, protein).join(lengths, ["gene", "contig"])
+    hsps = (assembly.align_spliced(pairs) if protein else assembly.align(pairs)).join(lengths, ["gene", "contig"])
     return {"hits": read_hits, "counts": distribute.gene_counts(routed), "contigs": contigs, **extract_contigs(hsps, ("gene",), options)}
 
 
@@ -151,11 +151,12 @@ def chimeras(pieces: DataFrame, mates: DataFrame, options: Options = Options())
     return {"pairs": found, "genes": found.groupBy("gene").agg(F.count("*").alias("pairs")).where(F.col("pairs") > options.chimera_pair_cutoff)}
 
 
-def intronerate(pieces: DataFrame, contigs: DataFrame, pad: bool = True, unit: int = 3) -> dict[str, DataFrame]:
+def intronerate(pieces: DataFrame, contigs: DataFrame, pad: bool = True, unit: int = 3, proteins: DataFrame | None = None) -> dict[str, DataFrame]:
     """Supercontigs and intron texts of genes whose hits are coherent.
 
     pieces: hits after overlaps were cut (gene, contig, rank, e, strand, h_frags, piece, cut_bases); contigs(gene,
-    contig, seq). A contig that an overlap took more than three residues from ends where its hit ends.
+    contig, seq). A contig that an overlap took more than three residues from ends where its hit ends. Introns are those
+    of the hits, or, with proteins(gene, protein), those of each protein (without X) aligned anew with its supercontig.
     """
     fine = pieces.join(introns.coherent(pieces), "gene", "left_semi")
     placed = introns.furthest(fine).join(contigs.select("gene", "contig", F.col("seq").alias("contig_seq")), ["gene", "contig"])
@@ -166,7 +167,14 @@ def intronerate(pieces: DataFrame, contigs: DataFrame, pad: bool = True, unit: i
     cut = whole.withColumn("seq", introns.cut_contig(F.col("_turned"), F.col("h_frags"), F.length("piece").cast("long"), F.col("cut_bases"), 3 * unit))
     within = F.filter(ranges.introns(F.col("h_frags")), lambda x: x["e"] <= F.length("seq"))
     texts = cut.withColumn("introns", ranges.slices(F.col("seq"), within))
-    return {"supercontigs": introns.supercontig(cut, filler=10 if pad else 0), "introns": texts.where(F.size("introns") > 0).select("gene", "contig", "rank", "introns")}
+    whole = introns.supercontig(cut, filler=10 if pad else 0)
+    if proteins is None:
+        return {"supercontigs": whole, "introns": texts.where(F.size("introns") > 0).select("gene", "contig", "rank", "introns")}
+    target = F.replace(F.replace("protein", F.lit("X"), F.lit("")), F.lit("*"), F.lit(""))
+    anew = assembly.align_spliced(whole.join(proteins.select("gene", target.alias("target_seq")), "gene").select("gene", F.lit("supercontig").alias("contig"), "target_seq", F.col("supercontig").alias("contig_seq")))
+    between = F.filter(ranges.introns(F.array_sort("h_frags")), lambda x: x["e"] - x["s"] >= assembly.LEAST_INTRON)
+    found = anew.where("strand = 1").join(whole, "gene").select("gene", "contig", F.lit(1).alias("rank"), ranges.slices(F.col("supercontig"), between).alias("introns"))
+    return {"supercontigs": whole, "introns": found.where(F.size("introns") > 0)}
 
 
 def stats(samples: DataFrame, reads: DataFrame, lengths: DataFrame, target_set: DataFrame, flags: DataFrame, protein: bool = False, mapped_genes: DataFrame | None = None, contig_genes: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -218,7 +226,7 @@ def fix_targetfile(target_set: DataFrame, share: float = 0.0, low_complexity_nam
     lost = targets.lost_genes(target_set, kept)
     if not allow_gene_removal and (names := [r.gene for r in lost.orderBy("gene").limit(20).collect()]):
         raise ValueError(f"genes that would lose all their sequences: {', '.join(map(str, names))}")
-    return {"kept": kept, "removed": report.where("reason is not null").select("name", "gene", "reason"), "lost_genes": lost, "proteins": kept.withColumn("seq", sequences.translate(F.col("seq")))}
+    return {"kept": kept, "removed": report.where("reason is not null").select("name", "gene", "reason").join(target_set.select("name", "gene", F.col("seq")), ["name", "gene"]), "lost_genes": lost, "proteins": kept.withColumn("seq", sequences.translate(F.col("seq")))}
 
 
 def filter_by_length(genes: DataFrame, lengths: DataFrame, means: DataFrame, length_filter: int = 0, percent_filter: float = 0.0) -> dict[str, DataFrame]:

@@ -21,6 +21,22 @@ def fasta(rows: DataFrame, path: str, by: tuple[str, ...] = (), name: str = "seq
     (writer.partitionBy(*by) if by else writer).text(path)
 
 
+def samples_fasta(rows: DataFrame, path: str, by: tuple[str, ...] = ("gene",), gene_in_name: bool = False, mode: str = "errorifexists") -> None:
+    """rows(sample, gene, seq) as FASTA; names are samples, or sample-gene where a file holds several genes."""
+    name = F.concat_ws("-", "sample", "gene") if gene_in_name else F.col("sample").cast("string")
+    fasta(rows.withColumn("seq_id", name), path, by, mode=mode)
+
+
+def unaligned(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """rows(name, gene, seq) as a folder of unaligned FASTA for each gene, ready for an aligner."""
+    fasta(rows.withColumn("seq_id", F.col("name")), path, ("gene",), mode=mode)
+
+
+def removed(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """rows(name, reason, seq) as a folder of FASTA for each reason."""
+    fasta(rows.withColumns({"seq_id": F.col("name"), "reason": F.replace("reason", F.lit(" "), F.lit("_"))}), path, ("reason",), mode=mode)
+
+
 def fastq(rows: DataFrame, path: str, by: tuple[str, ...] = (), mode: str = "errorifexists") -> None:
     """rows(id, seq, qual, ord) as FASTQ text."""
     out = rows.sortWithinPartitions(*by, "ord").select(*by, F.concat(F.lit("@"), F.col("id"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual")).alias("value"))

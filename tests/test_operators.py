@@ -390,3 +390,35 @@ def test_pairs_and_reads_without_a_mate(spark):
     read_hits = spark.createDataFrame([("a", "g1"), ("a", "g1"), ("a", "g2"), ("b", "g3"), ("d", "g4"), ("u", "g5")], "read_id string, gene string")
     got = sorted(map(tuple, distribute.pairs_to_genes(pairs, read_hits, spark.createDataFrame([("u",), ("v",)], "read_id string")).collect()), key=str)
     assert got == sorted([("a", "b", "g1"), ("a", "b", "g2"), ("c", "d", "g4"), ("c", "a", "g1"), ("c", "a", "g2"), ("u", None, "g5")], key=str)
+
+
+def test_spliced_alignment(spark):
+    from baitline.plans import pipelines
+
+    rng = random.Random(41)
+    codons = [a + b + c for a in "ACGT" for b in "ACGT" for c in "ACGT" if a + b + c not in ("TAA", "TAG", "TGA")]
+    exons = ["".join(rng.choice(codons) for _ in range(n)) for n in (30, 25, 40)]
+    bases = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    one, two = "GT" + bases(60) + "AG", "GT" + bases(100) + "AG"
+    left, right = bases(20), bases(33)
+    contig = left + exons[0] + one + exons[1] + two + exons[2] + right
+    protein = assembly.residues("".join(exons))
+    a = assembly.spliced_alignment(protein, contig)
+    h = [20, 110, 174, 249, 353, 473]
+    assert a["frags"] == [(0, 30, h[0], h[1]), (30, 55, h[2], h[3]), (55, 95, h[4], h[5])] and a["spans"] == [64, 104] and a["hit_seq"] == "".join(exons) and a["ident"] == [1] * 95
+    shifted = exons[0][:45] + "A" + exons[0][45:]
+    b = assembly.spliced_alignment(assembly.residues(exons[0]), left + shifted + right)
+    assert b["spans"] == [1] and sum(b["ident"]) >= 28 and len(b["frags"]) == 2
+    assert assembly.spliced_alignment("", contig) is None and assembly.spliced_alignment("MK", "A") is None
+    turned = contig.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+    pairs = spark.createDataFrame([("g", "NODE_1", protein, turned)], "gene string, contig string, target_seq string, contig_seq string")
+    hsps = assembly.align_spliced(pairs)
+    r = hsps.first()
+    assert (r.s, r.e, r.strand, r.sim, r.intron_spans) == (0, 95, -1, 100.0, [64, 104])
+    n = len(contig)
+    assert [tuple(f) for f in r.h_frags] == [(n - y, n - x) for x, y in zip(h[::2], h[1::2])] and [tuple(f) for f in r.q_frags] == [(0, 30), (30, 55), (55, 95)]
+    out = pipelines.extract_contigs(hsps.withColumn("depth", F.lit(3.0)))
+    assert out["genes"].first().seq == "".join(exons) and out["genes"].first().protein == protein
+    contigs = pairs.select("gene", "contig", F.col("contig_seq").alias("seq"))
+    plain, anew = pipelines.intronerate(out["pieces"], contigs), pipelines.intronerate(out["pieces"], contigs, proteins=out["genes"])
+    assert plain["supercontigs"].first().supercontig == contig and plain["introns"].first().introns == [one, two] == anew["introns"].first().introns
