@@ -7,9 +7,9 @@ Three combining stages, each comparing the digest *and* the full normalised text
    rows reaches no single task as more than one row per input partition of that salt;
 3. globally: at most ``salts`` winners per text are combined.
 
-The winners are then looked up by digest for every row. A join on a hot digest is split by Spark's skew join. Two
-different texts with one SHA-256 (none is known) would be told apart by stages 1 to 3, and the query then stops with
-an error instead of merging them.
+The winners are then looked up for every row: by digest where it belongs to one text, and by digest and full text where
+different texts share a digest (none is known to share a SHA-256; the list of such texts is empty then, and that branch
+is not run). A join on a hot digest is split by Spark's skew join.
 
 Defined cases: null text counts as empty; equal texts keep the smallest id; null ids sort last (a group of null ids
 only has keep_id null, and one of its rows stays); of rows equal in id and text exactly one stays; an empty table
@@ -18,15 +18,21 @@ gives an empty result; other columns, whatever their names, play no part.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from baitline.llm.common import SPACE, fresh, text_or_empty
 
 
-def _normalised(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _sha(norm: Column) -> Column:
+    return F.sha2(norm, 256)
+
+
+def _normalised(docs: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
     text = F.regexp_replace(text_or_empty(text_col), SPACE, " ")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("norm")).withColumn("sha", F.sha2("norm", 256))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("norm")).withColumn("sha", digest(F.col("norm")))
 
 
 def winners(rows: DataFrame, salts: int = 16) -> DataFrame:
@@ -39,22 +45,23 @@ def winners(rows: DataFrame, salts: int = 16) -> DataFrame:
     return salted.groupBy("sha", "norm").agg(F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
-    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = _normalised(docs, id_col, text_col)
-    classes = (
-        winners(rows, salts)
-        .groupBy("sha")
-        .agg(F.count("*").alias("texts"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-        .select(
-            F.unhex("sha").alias("digest"),
-            F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts have one SHA-256")).cast("long")).otherwise(F.col("keep_id")).alias("keep_id"),
-            "group_size",
-        )
-    )
-    nth = F.row_number().over(Window.partitionBy("digest", "doc_id").orderBy(F.lit(0)))  # before the join, which then has its own exchange
-    found = rows.select("doc_id", F.unhex("sha").alias("digest")).withColumn("nth", nth).join(classes, "digest")
-    return found.select(
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16, digest: Callable[[Column], Column] = _sha) -> DataFrame:
+    """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256. digest: hexadecimal, of any strength."""
+    rows = _normalised(docs, id_col, text_col, digest)
+    best = winners(rows, salts)
+    classes = best.groupBy("sha").agg(F.count("*").alias("texts"), F.min("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    shared = classes.where("texts > 1").select(F.col("sha").alias("_sha"))
+    nth = lambda *keys: F.row_number().over(Window.partitionBy(*keys, "doc_id").orderBy(F.lit(0)))
+    # numbered before the join, which then has its own exchange
+    plain = rows.select("doc_id", F.unhex("sha").alias("digest")).withColumn("nth", nth("digest"))
+    found = plain.join(classes.where("texts = 1").select(F.unhex("sha").alias("digest"), "keep_id", "group_size"), "digest").select("doc_id", "digest", "nth", "keep_id", "group_size")
+    several = best.join(F.broadcast(shared), F.col("sha") == F.col("_sha")).select(F.col("sha").alias("_sha"), F.col("norm").alias("_norm"), "keep_id", "group_size")
+    told = rows.join(F.broadcast(shared.distinct()), F.col("sha") == F.col("_sha"), "left_semi").join(several, (F.col("sha") == F.col("_sha")) & (F.col("norm") == F.col("_norm")))
+    told = told.withColumn("nth", nth("sha", "norm")).select("doc_id", F.unhex(F.sha2("norm", 256)).alias("digest"), "nth", "keep_id", "group_size")
+    if digest is not _sha:
+        in_full = rows.select("sha", F.unhex(F.sha2("norm", 256)).alias("_full")).distinct()
+        found = found.join(in_full, F.unhex("sha") == F.col("digest")).select("doc_id", F.col("_full").alias("digest"), "nth", "keep_id", "group_size")
+    return found.unionByName(told).select(
         "doc_id",
         "keep_id",
         "group_size",

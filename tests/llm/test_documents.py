@@ -98,6 +98,12 @@ def test_exact_groups(odd, odd_rows, docs, texts):
     assert bag(exact_dedup.exact_groups(docs).collect()) == bag(plain_exact(list(texts.items())))
 
 
+def test_texts_that_share_a_digest_are_told_apart(odd, odd_rows, docs, texts):
+    weak = lambda norm: F.substring(F.sha2(norm, 256), 1, 2)
+    assert bag(exact_dedup.exact_groups(odd, digest=weak).collect()) == bag(plain_exact([(r[0], r[1]) for r in odd_rows]))
+    assert bag(exact_dedup.exact_groups(docs, digest=weak).collect()) == bag(plain_exact(list(texts.items())))
+
+
 def test_drop_copies(odd, odd_rows, none):
     left = exact_dedup.drop_copies(odd)
     assert left.columns == odd.columns
@@ -118,6 +124,13 @@ def test_token_counts(odd, odd_rows, none, kind):
     assert token_counts.count_tokens(none, path).count() == 0
 
 
+def test_token_counts_of_the_small_table(docs, texts):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    want = {i: len(tokenizer.encode(t, add_special_tokens=False).ids) for i, t in texts.items()}
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, path).collect()} == want
+
+
 def test_bpe(odd, odd_rows, docs, texts, none):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
@@ -532,6 +545,43 @@ def test_maximal_segments_against_plain():
         assert [round(s, 6) for *_, s in got] == [round(s, 6) for *_, s in want]
 
 
+def plain_segments(x):
+    """Maximal scoring segments by definition: the best one (shortest, then first), and those on either side of it."""
+    total = [0.0, *np.cumsum(x).tolist()]
+
+    def of(low, high):
+        best = max(((total[j] - total[i], i - j, -i, i, j) for i in range(low, high) for j in range(i + 1, high + 1)), default=None)
+        if best is None or best[0] <= 0:
+            return []
+        return [*of(low, best[3]), (best[3], best[4], best[0]), *of(best[4], high)]
+
+    return of(0, len(x))
+
+
+def plain_score(model, text):
+    """A text's score from the model's counts, word by word and segment by segment."""
+    import math
+
+    words = toxicity.words_of(text)
+    x = [model.feature(w) for w in words]
+    found = plain_segments(x)
+    normal = [model.lam * v - model.log_k - math.log(max(len(x), 1)) for *_, v in found]
+    evidence = max(-10.0, min(30.0, max(normal, default=-10.0))), math.log1p(sum(v for v in normal if v > 0)), math.log1p(sum(v for *_, v in found))
+    return 1 / (1 + math.exp(-max(-40.0, min(40.0, model.curve[0] + sum(a * b for a, b in zip(model.curve[1:], evidence))))))
+
+
+def test_toxicity_query_against_plain_scores(spark, texts):
+    from baitline.llm import queries
+
+    model = toxicity.fit(table(spark, SMALL, "documents"), table(spark, SMALL, "labels"))
+    got = {r.doc_id: r for r in queries.op4_toxicity(spark, SMALL).collect()}
+    assert set(got) == set(texts)
+    short = [i for i, t in texts.items() if len(toxicity.words_of(t)) <= 250]
+    assert len(short) > 50
+    for i in short:
+        assert got[i].score == pytest.approx(plain_score(model, texts[i]), abs=1e-9)
+
+
 def toxic_corpus(n=400):
     rng = random.Random(11)
     bad = ["idiot", "scumbag", "loweia", "loweib", "loweic", "loweid"]
@@ -691,6 +741,35 @@ def test_pipeline(spark, odd, tmp_path):
         assert out.count() == docs.count()
 
 
+def test_pipeline_against_plain_stages(spark, docs, texts):
+    """Each stage's decision worked out without its operator, but for the scores, which have a test of their own."""
+    import corpus_pipeline
+
+    toxic = {r.doc_id for r in toxicity.classify(docs, table(spark, SMALL, "labels")).collect() if r.predicted}
+    clean = {i: t for i, t in sorted(texts.items()) if i not in toxic}
+    first = {}
+    for i, t in clean.items():
+        first.setdefault(normal(t), i)
+    once = {i: texts[i] for i in first.values()}
+
+    def grams(text):
+        words = text.encode().lower().split()
+        return {tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1 if words else 0))}
+
+    sets = {i: grams(t) for i, t in once.items()}
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    root = classes(set(sets), alike)
+    apart = {i for i in sets if root.get(i, i) == i}
+    assert len(texts) >= len(clean) > len(once) > len(apart)
+    mixed = mixing.mix(docs.where(F.col("doc_id").isin(*apart))).collect()
+    want = [i for _, i in sorted((at, r.doc_id) for r in mixed for at in r.positions)]
+    out = corpus_pipeline.run(spark, SMALL).collect()
+    assert Counter(r.doc_id for r in out) == Counter(want)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for r in out:
+        assert r.ids == tokenizer.encode(texts[r.doc_id], add_special_tokens=False).ids
+
+
 def test_pipeline_on_the_small_tables(spark, texts):
     import corpus_pipeline
 
