@@ -40,7 +40,7 @@ TABLES = 3
 WIDTH = 2.1
 PROBES = 128
 #: Functions a table: one for every BITS doublings of the rows, LEAST at least.
-BITS, LEAST = 2.25, 4
+BITS, LEAST = 2.75, 4
 BLOCK_ROWS = 8_192
 HOT_BUCKETS = 1_000_000
 QUERY_ROWS = 256  # queries looked up at a time

@@ -519,7 +519,7 @@ def test_chains_against_all_predecessors():
         for i in range(len(points)):
             prior = [best[j] - 0.1 * (a[i] - a[j] + b[i] - b[j]) for j in range(i) if a[j] < a[i] and b[j] < b[i]]
             best.append(5 + max([0, *prior]))
-        chain = passages.chains(a, b)
+        chain = passages.chains(a, b, 0.1)
         if chain:
             c = chain[0]
             score = 5 * len(c) - sum(0.1 * (a[y] - a[x] + b[y] - b[x]) for x, y in zip(c, c[1:]))
