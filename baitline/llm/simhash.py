@@ -25,7 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -43,6 +43,9 @@ BAND_ROWS = 6
 APART = 48
 #: Cells with more points than this are scanned by pivots, smaller ones by offsets.
 FEW = 16
+#: Cells of more sets than this are split over tasks, which share this many pivots.
+HOT_CELL = 4096
+PIVOTS = 32
 
 
 def shingles(text: str, k: int) -> list[bytes]:
@@ -311,21 +314,103 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, distance: int = DISTANCE, id_
     return prints.join(of_print, F.col("fp") == F.col("_fp")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def alike(prints: DataFrame) -> DataFrame:
+MEMBER = ("node", "fp", "fp2", "shingles")
+LINK = "a long, b long"
+
+
+def _sets_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(nodes, both fingerprints, shingles) of rows that hold MEMBER columns."""
+    nodes, fp, fp2 = (table.column(c).to_numpy() for c in MEMBER[:3])
+    return nodes, np.column_stack((fp, fp2)).view(np.uint64), [np.frombuffer(d, "<u4") for d in table.column("shingles").to_pylist()]
+
+
+def _link_table(pairs: list[tuple[int, int]]) -> pa.Table:
+    found = np.unique(np.array(pairs, np.int64).reshape(-1, 2), axis=0)
+    return pa.table([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], names=["a", "b"])
+
+
+def _to_pivots(members: pa.Table, pivots: pa.Table) -> pa.Table:
+    """Links of a piece of a hot cell to the cell's pivots: each set to the first pivot that it is alike to, and to one
+    more, drawn by its node, which joins pivots that have common neighbours."""
+    links: list[tuple[int, int]] = []
+    if members.num_rows and pivots.num_rows:
+        nodes, points, sets = _sets_of(members)
+        own, more, their = _sets_of(pivots)
+        order = np.argsort(own)
+        near = Alike(np.concatenate((points, more[order])), sets + [their[i] for i in order])
+        rest = np.arange(len(nodes))
+        for k, pivot in enumerate(own[order].tolist()):
+            asked = np.union1d(rest, np.flatnonzero(nodes.view(np.uint64) % np.uint64(len(own)) == np.uint64(k)))
+            hit = asked[near(asked, len(nodes) + k)]
+            links.extend((int(n), pivot) for n in nodes[hit])
+            rest = np.setdiff1d(rest, hit)
+    return _link_table(links)
+
+
+def _to_rest(members: pa.Table, rest: pa.Table) -> pa.Table:
+    """Links between a piece of a hot cell and those of its sets that lie in another component than most."""
+    links: list[tuple[int, int]] = []
+    if members.num_rows and rest.num_rows:
+        nodes, points, sets = _sets_of(members)
+        own, more, their = _sets_of(rest)
+        label, other = members.column("label").to_numpy(), rest.column("label").to_numpy()
+        near = Alike(np.concatenate((points, more)), sets + their)
+        for k, node in enumerate(own.tolist()):
+            asked = np.flatnonzero(label != other[k])
+            links.extend((int(n), node) for n in nodes[asked[near(asked, len(nodes) + k)]])
+    return _link_table(links)
+
+
+def alike(prints: DataFrame, hot: int = HOT_CELL) -> DataFrame:
     """(a, b): links between the nodes of prints (rows of SKETCH) whose components are those of all alike sets that share a cell.
 
-    Cells with the same nodes are looked at once.
+    Cells with the same nodes are looked at once. A cell of more than ``hot`` sets is no task's alone: see _hot_links.
     """
     n = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), partitions_for(prints))
     placed = prints.select("node", F.explode("cells").alias("cell")).repartition(n, "cell").distinct()
     shared = placed.groupBy("cell").agg(F.count("*").alias("n"), F.bit_xor("node").alias("nodes")).where("n > 1")
-    once = shared.groupBy("n", "nodes").agg(F.min("cell").alias("cell"))
-    sets = prints.groupBy("node").agg(*(F.first(c).alias(c) for c in ("fp", "fp2", "shingles")))
-    members = placed.join(once.select("cell"), "cell", "left_semi").join(sets, "node").select("cell", "node", "fp", "fp2", "shingles")
-    return members.repartition(n, "cell").sortWithinPartitions("cell", "node").mapInArrow(_alike, "a long, b long")
+    once = checkpointed(shared.groupBy("n", "nodes").agg(F.min("cell").alias("cell")).select("cell", "n"))
+    sets = prints.groupBy("node").agg(*(F.first(c).alias(c) for c in MEMBER[1:]))
+    of = lambda cells: placed.join(cells.select("cell"), "cell", "left_semi").join(sets, "node").select("cell", *MEMBER)
+    links = of(once.where(F.col("n") <= hot)).repartition(n, "cell").sortWithinPartitions("cell", "node").mapInArrow(_alike, LINK)
+    large = once.where(F.col("n") > hot)
+    return links if large.isEmpty() else _hot_links(placed, sets, large, checkpointed(links), hot)
+
 
+def _hot_links(placed: DataFrame, sets: DataFrame, large: DataFrame, links: DataFrame, hot: int) -> DataFrame:
+    """links, and those of cells(cell, n) of more than hot sets, cut into pieces of about that many.
 
-def drop_near(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    1. Every set is compared with pivots of its cell. Near copies of one text are one component by these links.
+    2. What lies in another component than most sets of its cell is compared with all of the cell's sets that are not in
+       its own component. Two sets of one component need no link, so no pair that matters is left out.
+    """
+    pieces = large.withColumn("pieces", F.ceil(F.col("n") / hot).cast("int"))
+    placed = placed.join(pieces.select("cell", "pieces"), "cell")
+    dealt = placed.withColumn("piece", F.pmod(F.xxhash64("node", F.lit(1)), F.col("pieces")).cast("int"))
+    rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("node"), "node"))
+    chosen = placed.withColumn("nth", rank).where(F.col("nth") <= PIVOTS)
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    anew = lambda *names: [F.col(c).alias(c) for c in names]  # noqa: E731  columns apart from those of the same frame
+    pivots = chosen.join(sets, "node").withColumn("piece", every("pieces")).select(*anew("cell", "piece", *MEMBER))
+    members = dealt.join(sets, "node")
+    first = members.select("cell", "piece", *MEMBER).groupBy("cell", "piece").cogroup(pivots.groupBy("cell", "piece")).applyInArrow(_to_pivots, LINK)
+    links = checkpointed(links.unionByName(first))
+    roots = connected_components(links).select(F.col("node").alias("_node"), "component")
+    labelled = checkpointed(dealt.join(roots, F.col("node") == F.col("_node"), "left").select("cell", "pieces", "piece", "node", F.coalesce("component", "node").alias("label")))
+    counts = labelled.groupBy("cell", "label").agg(F.count("*").alias("n"))
+    most = counts.groupBy("cell").agg(F.max(F.struct("n", "label")).alias("m"), F.sum("n").alias("n")).select("cell", F.col("m.label").alias("most"), F.ceil((F.col("n") - F.col("m.n")) / hot).cast("int").alias("lots"))
+    open_ = most.where("lots > 0")
+    if open_.isEmpty():
+        return links
+    joined = labelled.join(open_, "cell").join(sets, "node")
+    keys = ["cell", "piece", "lot"]
+    lot = F.pmod(F.xxhash64("node", F.lit(2)), F.col("lots")).cast("int")
+    rest = joined.where("label <> most").withColumn("lot", lot).withColumn("piece", every("pieces")).select(*anew(*keys, *MEMBER, "label"))
+    whole = joined.withColumn("lot", every("lots")).select(*keys, *MEMBER, "label")
+    return links.unionByName(whole.groupBy(*keys).cogroup(rest.groupBy(*keys)).applyInArrow(_to_rest, LINK))
+
+
+def drop_near(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT_CELL) -> DataFrame:
     """docs without near copies: of each component of links the row with the smallest id stays; docs' own columns.
 
     Documents are linked if their sets of k-word shingles have a Jaccard similarity of 0.8 or more. Fingerprints of
@@ -340,7 +425,7 @@ def drop_near(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str
     key = F.xxhash64(text_or_empty(text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("text_key"), text_or_empty(text_col).alias("text"))
     prints = checkpointed(rows.mapInArrow(OnBatches(_sketches, k), SKETCH))
-    roots = connected_components(alike(prints)).withColumnRenamed("node", "_node")
+    roots = connected_components(alike(prints, hot)).withColumnRenamed("node", "_node")
     placed = prints.join(roots, F.col("node") == F.col("_node"), "left").select("doc_id", "text_key", F.coalesce("component", "node").alias("root"))
     ranked = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
     first = placed.groupBy("root").agg(F.min(ranked).alias("first"), F.count("*").alias("n")).where("n > 1").withColumnRenamed("root", "_root")

@@ -98,12 +98,6 @@ def test_exact_groups(odd, odd_rows, docs, texts):
     assert bag(exact_dedup.exact_groups(docs).collect()) == bag(plain_exact(list(texts.items())))
 
 
-def test_texts_that_share_a_digest_are_told_apart(odd, odd_rows, docs, texts):
-    weak = lambda norm: F.substring(F.sha2(norm, 256), 1, 2)
-    assert bag(exact_dedup.exact_groups(odd, digest=weak).collect()) == bag(plain_exact([(r[0], r[1]) for r in odd_rows]))
-    assert bag(exact_dedup.exact_groups(docs, digest=weak).collect()) == bag(plain_exact(list(texts.items())))
-
-
 def test_drop_copies(odd, odd_rows, none):
     left = exact_dedup.drop_copies(odd)
     assert left.columns == odd.columns
@@ -271,6 +265,30 @@ def test_drop_near_finds_all_pairs_from_four_fifths_on(spark):
     assert {r.doc_id for r in left} == want
 
 
+@pytest.mark.parametrize("hot", [20, 40])
+def test_near_copies_in_hot_cells(spark, hot):
+    """Clusters of near copies, chains of them, and single texts in cells that are cut into pieces: as by all pairs."""
+    rng = random.Random(17)
+    rows = []
+    for cluster in range(4):
+        base = random_words(rng, 150, 100_000).split()
+        for _ in range(30):  # around one text
+            words = [*base]
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(150)] = f"edit{rng.randrange(10**6)}"
+            rows.append(" ".join(words))
+        for _ in range(12):  # a chain that leads away from it
+            for _ in range(2):
+                base[rng.randrange(150)] = f"edit{rng.randrange(10**6)}"
+            rows.append(" ".join(base))
+    rows = [*enumerate(rows)]
+    rng.shuffle(rows)
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in rows for w in (t.split(),)}
+    root = classes(set(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    left = simhash.drop_near(spark.createDataFrame(rows, "doc_id long, text string"), hot=hot)
+    assert {r.doc_id for r in left.collect()} == set(root.values())
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000 + i, 1001 + i) for i in range(120)] + [(7, 7)]
