@@ -217,9 +217,10 @@ def relative_length(t):
     return targets.relative_length(t, 0.9).select("name", "seq_no")
 
 
-@query("select distinct gene from targets where gene not in (select gene from targets where seq_no % 40 < 25)", "targets")
+@query(f", p as (select gene, seq, {_protein('p')} as protein from (select gene, seq, {_PADDED} as p from targets)) select distinct gene from targets where gene not in (select gene from p where length(seq) > 87 and {_STOPS.format(p='protein')} = 0)", "targets")
 def lost_genes(t):
-    return targets.lost_genes(t, t.where("seq_no % 40 < 25"))
+    """Genes without a sequence that is long and holds no stop."""
+    return targets.lost_genes(t, t.where((F.length("seq") > 87) & (sequences.stops(sequences.translate(sequences.pad_codons(F.col("seq")))) == 0)))
 
 
 @query(
