@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
 from baitline.llm.common import OnBatches, input_bytes, short_batches, text_or_empty
-from baitline.llm.suffix_array import MOST, maximal_repeats
+from baitline.llm.suffix_array import MOST, later_occurrences
 
 LENGTH = 100
 GRAM = 32
@@ -385,14 +385,9 @@ def _repeats_of(whole: np.ndarray, offset: np.ndarray, count: np.ndarray, block:
     rank = np.lexsort((inside, start[owner], doc[owner], ids[owner]))
     place = np.empty(len(rank), np.int64)
     place[rank] = np.arange(len(rank))
-    out = []
-    for length, members in maximal_repeats(whole, begins, ends, before, LENGTH):
-        rest = members[place[members] != place[members].min()]
-        out.append((rest, np.full(len(rest), length)))
-    if out:
-        rest, length = (np.concatenate([x[i] for x in out]) for i in range(2))
-        o = owner[rest]
-        yield block[o], doc[o], (start[o] + inside[rest]).astype("<u4"), (start[o] + inside[rest] + length).astype("<u4")
+    rest, length = later_occurrences(whole, begins, ends, before, place, LENGTH)
+    o = owner[rest]
+    yield block[o], doc[o], (start[o] + inside[rest]).astype("<u4"), (start[o] + inside[rest] + length).astype("<u4")
 
 
 def dealing(docs: DataFrame, block_bytes: int) -> tuple[int, int]:

@@ -75,17 +75,46 @@ def intervals(lcp: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]:
             stack.append((now, begin))
 
 
+def _runs(order: np.ndarray, lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to) of stretches of the array whose suffixes share ``least`` bytes or more with a neighbour; to is exclusive."""
+    ends = np.flatnonzero(np.diff(np.concatenate(([False], lcp >= least, [False])).astype(np.int8)))
+    return ends[::2] - 1, ends[1::2]
+
+
+def _in_runs(order: np.ndarray, lcp: np.ndarray, before: np.ndarray, low: np.ndarray, high: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The maximal repeats of these stretches. An interval is diverse if the byte before is unknown for one of its
+    suffixes or changes between two neighbours, which running counts tell."""
+    left = before[order]
+    unknown = np.concatenate(([0], np.cumsum(left < 0))).tolist()
+    changes = np.concatenate(([0], np.cumsum(left[1:] != left[:-1]))).tolist()
+    for start, stop in zip(low.tolist(), high.tolist()):
+        for length, a, b in intervals(np.concatenate(([0], lcp[start + 1 : stop])), least):
+            a, b = a + start, b + start
+            if unknown[b] > unknown[a] or changes[b - 1] > changes[a]:
+                yield length, order[a:b]
+
+
 def maximal_repeats(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
     """(length, suffix numbers) of each maximal repeat of at least ``least`` bytes, with all its occurrences.
 
     before: the byte before each suffix, or a negative number where the suffix that begins there isn't given.
     """
     order, lcp = sorted_suffixes(data, starts, ends)
-    runs = np.flatnonzero(np.diff(np.concatenate(([False], lcp >= least, [False])).astype(np.int8)))
-    for low, high in zip(runs[::2], runs[1::2]):  # lcp[low:high] >= least: suffixes low - 1 to high - 1
-        part = order[low - 1 : high]
-        left = before[part]
-        for length, a, b in intervals(np.concatenate(([0], lcp[low:high])), least):
-            chars = left[a:b]
-            if (chars < 0).any() or (chars != chars[0]).any():
-                yield length, part[a:b]
+    yield from _in_runs(order, lcp, before, *_runs(order, lcp, least), least)
+
+
+def later_occurrences(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, before: np.ndarray, place: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(suffix numbers, lengths): of each maximal repeat all occurrences but the one first in ``place``.
+
+    Most repeats have two occurrences and are a stretch of their own; those are found all at once.
+    """
+    order, lcp = sorted_suffixes(data, starts, ends)
+    low, high = _runs(order, lcp, least)
+    two = high - low == 2
+    a, b, length = order[low[two]], order[low[two] + 1], lcp[low[two] + 1]
+    fine = (before[a] < 0) | (before[b] < 0) | (before[a] != before[b])
+    found = [(np.where(place[a] < place[b], b, a)[fine], length[fine])]
+    for n, members in _in_runs(order, lcp, before, low[~two], high[~two], least):
+        rest = members[place[members] != place[members].min()]
+        found.append((rest, np.full(len(rest), n)))
+    return tuple(np.concatenate([f[i] for f in found]) for i in range(2))
