@@ -22,6 +22,8 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Entries a worker's cache may hold beyond what it was given.
 CACHE_ENTRIES = 200_000
+#: Longer pre-tokens are not kept, so a cache's bytes are bounded too.
+CACHE_CHARS = 64
 
 
 @lru_cache(maxsize=4)
@@ -34,13 +36,15 @@ def load(path: str) -> Tokenizer:
 
 
 class Words(dict):
-    """Results by pre-token: those given at first, then those a function finds, at most CACHE_ENTRIES more."""
+    """Results by pre-token: those given at first, then those a function finds, at most CACHE_ENTRIES more, of CACHE_CHARS at most."""
 
     def __init__(self, given: dict, find: Callable, most: int = CACHE_ENTRIES):
         super().__init__(given)
         self.given, self.find, self.most = given, find, len(given) + most
 
     def __missing__(self, word):
+        if len(word) > CACHE_CHARS:
+            return self.find(word)
         if len(self) >= self.most:
             self.clear()
             self.update(self.given)

@@ -141,6 +141,17 @@ def test_bpe(odd, odd_rows, docs, texts, none):
     assert bpe.encode(none, path).count() == 0
 
 
+def test_caches_are_bounded():
+    from baitline.llm.tokens import CACHE_CHARS, Words
+
+    words = Words({"a": 0}, len, most=3)
+    assert [words[w] for w in ("a", "bb", "ccc", "x" * (CACHE_CHARS + 1), "dddd", "bb")] == [0, 2, 3, CACHE_CHARS + 1, 4, 2]
+    assert len(words) <= 4 and max(map(len, words)) <= CACHE_CHARS
+    for i in range(50):
+        assert words["y" * (i % 20 + 1)] == i % 20 + 1
+    assert len(words) <= 4 and words["a"] == 0
+
+
 def test_lexicon_is_exact_and_minimal():
     from baitline.llm.transducer import Lexicon, compile_lexicon
 
