@@ -44,7 +44,7 @@ APART = 48
 #: Cells with more points than this are scanned by pivots, smaller ones by offsets.
 FEW = 16
 #: Cells of more sets than this are split over tasks, which share this many pivots.
-HOT_CELL = 4096
+HOT_CELL = 1024
 PIVOTS = 32
 
 
