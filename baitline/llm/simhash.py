@@ -44,7 +44,7 @@ APART = 48
 #: Cells with more points than this are scanned by pivots, smaller ones by offsets.
 FEW = 16
 #: Cells of more sets than this are split over tasks, which share this many pivots.
-HOT_CELL = 1024
+HOT_CELL = 4096
 PIVOTS = 32
 
 
@@ -370,14 +370,19 @@ def alike(prints: DataFrame, hot: int = HOT_CELL) -> DataFrame:
     placed = prints.select("node", F.explode("cells").alias("cell")).repartition(n, "cell").distinct()
     shared = placed.groupBy("cell").agg(F.count("*").alias("n"), F.bit_xor("node").alias("nodes")).where("n > 1")
     once = checkpointed(shared.groupBy("n", "nodes").agg(F.min("cell").alias("cell")).select("cell", "n"))
-    sets = prints.groupBy("node").agg(*(F.first(c).alias(c) for c in MEMBER[1:]))
-    of = lambda cells: placed.join(cells.select("cell"), "cell", "left_semi").join(sets, "node").select("cell", *MEMBER)
-    links = of(once.where(F.col("n") <= hot)).repartition(n, "cell").sortWithinPartitions("cell", "node").mapInArrow(_alike, LINK)
+    cells = once.where(F.col("n") <= hot).select("cell")
+    members = placed.join(cells, "cell", "left_semi").join(_sets(prints), "node").select("cell", *MEMBER)
+    links = members.repartition(n, "cell").sortWithinPartitions("cell", "node").mapInArrow(_alike, LINK)
     large = once.where(F.col("n") > hot)
-    return links if large.isEmpty() else _hot_links(placed, sets, large, checkpointed(links), hot)
+    return links if large.isEmpty() else _hot_links(placed, prints, large, checkpointed(links), hot)
 
 
-def _hot_links(placed: DataFrame, sets: DataFrame, large: DataFrame, links: DataFrame, hot: int) -> DataFrame:
+def _sets(prints: DataFrame) -> DataFrame:
+    """A row (MEMBER) for each node of prints."""
+    return prints.groupBy("node").agg(*(F.first(c).alias(c) for c in MEMBER[1:]))
+
+
+def _hot_links(placed: DataFrame, prints: DataFrame, large: DataFrame, links: DataFrame, hot: int) -> DataFrame:
     """links, and those of cells(cell, n) of more than hot sets, cut into pieces of about that many.
 
     1. Every set is compared with pivots of its cell. Near copies of one text are one component by these links.
@@ -385,7 +390,8 @@ def _hot_links(placed: DataFrame, sets: DataFrame, large: DataFrame, links: Data
        its own component. Two sets of one component need no link, so no pair that matters is left out.
     """
     pieces = large.withColumn("pieces", F.ceil(F.col("n") / hot).cast("int"))
-    placed = placed.join(pieces.select("cell", "pieces"), "cell")
+    placed = checkpointed(placed.join(pieces.select("cell", "pieces"), "cell"))
+    sets = checkpointed(_sets(prints.join(placed.select("node").distinct(), "node", "left_semi")))  # of hot cells only
     dealt = placed.withColumn("piece", F.pmod(F.xxhash64("node", F.lit(1)), F.col("pieces")).cast("int"))
     rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("node"), "node"))
     chosen = placed.withColumn("nth", rank).where(F.col("nth") <= PIVOTS)
