@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,18 +40,36 @@ def reverse_complement(seq: Column) -> Column:
     return F.translate(F.reverse(seq), "ACGTN", "TGCAN")
 
 
+#: Fixed value: the codons of a stop; in-frame ones are sought by regular expressions, which scan a sequence once.
+STOP = "(?:TAA|TAG|TGA)"
+
+
 def translate(seq: Column, table: str = CODONS) -> Column:
-    """Residues of the whole codons of seq; a codon of three gaps stays a gap, other letters give X."""
-    codon = lambda k: F.substr(seq, k * 3 + 1, F.lit(3))
-    place = lambda c, i: F.instr(F.lit("TCAGN"), F.substr(c, F.lit(i), F.lit(1))) - 1
+    """Residues of the whole codons of seq; a codon of three gaps stays a gap, other letters give X.
+
+    The sequence is cut into codons once. A codon is found in one text of all codons, those without N first; its place
+    leads to its residue.
+    """
+    known = {"".join(c): table[i] for i, c in enumerate(product("TCAGN", repeat=3))} | {"---": "-"}
+    codons = sorted(known, key=lambda c: "N" in c)
+    at = F.array(*(F.lit(known[codons[(i - 1) // 4]] if i % 4 == 1 else "X") for i in range(4 * len(codons))))
+    residue = lambda c: F.get(at, F.instr(F.lit(",".join(codons)), c))
+    return F.coalesce(F.array_join(F.transform(F.regexp_extract_all(seq, F.lit("(?s)..."), F.lit(0)), residue), ""), F.lit(""))
+
+
+def stop_codons(bases: Column) -> Column:
+    """Number of stops among the whole codons of bases; as stops(translate(bases)), without the residues."""
+    return F.coalesce(F.regexp_count(bases, F.lit(rf"(?s)\G(?:...)*?{STOP}")), F.lit(0)).cast("long")
+
+
+def ends_in_stop(bases: Column) -> Column:
+    """Whether bases are whole codons, the last of them a stop."""
+    return F.coalesce(bases.rlike(rf"(?s)\A(?:...)*{STOP}\z"), F.lit(False))
 
-    def residue(k: Column) -> Column:
-        c = codon(k)
-        at = place(c, 1) * 25 + place(c, 2) * 5 + place(c, 3) + 1
-        return F.when(c == "---", "-").when(c.rlike("^[TCAGN]{3}$"), F.substr(F.lit(table), at, F.lit(1))).otherwise("X")
 
-    n = F.floor(F.length(seq) / 3).cast("int")
-    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), residue), "")).otherwise("")
+def stops_inside(bases: Column, terminal_is_fine: bool = True) -> Column:
+    """Whether bases, padded to whole codons, have internal stops."""
+    return F.coalesce(bases.rlike(rf"(?s)\A(?:...)*?{STOP}" + ("." if terminal_is_fine else "")), F.lit(False))
 
 
 def frame(seq: Column, offset: int) -> Column:

@@ -20,8 +20,7 @@ def without_frameshifts(hsps: DataFrame, spans: str = "intron_spans") -> DataFra
 
 
 def without_internal_stops(hsps: DataFrame, seq: str = "hit_seq", terminal_is_fine: bool = True) -> DataFrame:
-    plain = sequences.without_gaps(F.col(seq))
-    return hsps.where(sequences.internal_stops(sequences.translate(sequences.pad_codons(plain)), terminal_is_fine) == 0)
+    return hsps.where(~sequences.stops_inside(sequences.without_gaps(F.col(seq)), terminal_is_fine))
 
 
 def keys_of(frame: DataFrame, keys: tuple[str, ...] | None) -> tuple[str, ...]:

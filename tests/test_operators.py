@@ -1,6 +1,7 @@
 """Operators against plain loops, and the decisions on odd behaviour."""
 
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -135,6 +136,20 @@ def test_ranges(spark):
     assert [tuple(x) for x in r.v] == [(26, 30), (17, 20), (9, 10)] and r.none == []
 
 
+def test_stops_in_long_sequences(spark):
+    """One pass over a sequence, whatever its length: codon by codon from the whole gapped text, this took minutes."""
+    rows = [(1, "AC-G" * 60_000 + "TAA"), (2, "AC-G" * 60_000 + "TAAT"), (3, "TAA" + "ACG" * 60_000), (4, "ATAACG" * 60_000), (5, "T-A-A"), (6, "TAATA"), (7, ""), (8, None)]
+    frame = spark.createDataFrame(rows, "contig int, hit_seq string").repartition(1)
+    began = time.monotonic()
+    assert sorted(r.contig for r in hits.without_internal_stops(frame).select("contig").collect()) == [1, 4, 5, 7, 8]
+    assert time.monotonic() - began < 30
+    assert sorted(r.contig for r in hits.without_internal_stops(frame, terminal_is_fine=False).select("contig").collect()) == [4, 7, 8]
+    seq = F.regexp_replace("hit_seq", "-", "")
+    protein = sequences.translate(seq)
+    same = (sequences.stop_codons(seq) == sequences.stops(protein)) & (sequences.ends_in_stop(seq) == (F.coalesce(sequences.translate(sequences.pad_codons(seq)), F.lit("")).endswith("*")))
+    assert frame.where(~same).count() == 0
+
+
 def test_target_checks_and_repairs(spark):
     rows = [("a-g1", "a", "g1", "CTAACTGACCCC"), ("b-g1", "b", "g1", "CCTAACTGACCCC"), ("c-g1", "c", "g1", "TAATAATAATTAATTAATTAA"), ("c-g1", "c", "g1", "ATGTAA"), ("d_g2", "d", "g2", "ATGATGA")]
     frame = spark.createDataFrame(rows, "name string, taxon string, gene string, seq string")
