@@ -45,15 +45,7 @@ def least_entropy(window: int):
     share = np.arange(window + 1) / window
     part = np.where(share > 0, share * np.log2(np.where(share > 0, share, 1)), 0.0)
 
-    def of(text: str | None) -> float | None:
-        if text is None:
-            return None
-        letters = np.frombuffer(text.encode("utf-32-le"), "<u4")
-        if not len(letters):
-            return 0.0
-        if len(letters) < window:
-            n = np.unique(letters, return_counts=True)[1] / len(letters)
-            return float(-(n * np.log2(n)).sum())
+    def of(letters: np.ndarray) -> float:
         total = np.zeros(len(letters) - window + 1)
         for letter in np.unique(letters):
             seen = np.concatenate(([0], np.cumsum(letters == letter)))
@@ -62,11 +54,41 @@ def least_entropy(window: int):
 
     @pandas_udf("double")
     def least(seqs: pd.Series) -> pd.Series:
-        return pd.Series([of(s) for s in seqs], dtype="float64")
+        known = seqs.notna().to_numpy()
+        texts = seqs[known].tolist()
+        letters = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        ends = np.cumsum(sizes)
+        found = np.zeros(len(texts))
+        short = sizes < window
+        for i in np.flatnonzero(~short):
+            found[i] = of(letters[ends[i] - sizes[i] : ends[i]])
+        found[short] = _entropies(letters[np.repeat(short, sizes)], sizes[short])
+        out = np.full(len(seqs), np.nan)
+        out[known] = found
+        return pd.Series(out, dtype="float64").where(known, None)
 
     return least
 
 
+def _entropies(letters: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Entropy of each text, of texts that follow each other in letters; 0 for empty ones. One count over all of them."""
+    known, number = np.unique(letters, return_inverse=True) if len(letters) and letters.max() > 255 else (np.arange(256), letters)
+    seen = np.flatnonzero(np.bincount(number, minlength=len(known))) if len(letters) else np.empty(0, np.int64)
+    place = np.zeros(len(known), np.int64)
+    place[seen] = np.arange(len(seen))
+    out = np.zeros(len(sizes))
+    step = max(1, (1 << 22) // max(len(seen), 1))
+    ends = np.cumsum(sizes)
+    for low in range(0, len(sizes), step):
+        n = sizes[low : low + step]
+        own = place[number[ends[low] - n[0] : ends[low + len(n) - 1]]]
+        counts = np.bincount(np.repeat(np.arange(len(n)), n) * len(seen) + own, minlength=len(n) * len(seen)).reshape(len(n), len(seen))
+        shares = counts / np.maximum(n, 1)[:, None]
+        out[low : low + len(n)] = -(shares * np.log2(np.where(shares > 0, shares, 1))).sum(axis=1)
+    return out
+
+
 def relative_length(targets: DataFrame, share: float) -> DataFrame:
     """Sequences that are their gene's only one, or longer than share of its longest."""
     gene = Window.partitionBy("gene")
@@ -83,8 +105,8 @@ def check(targets: DataFrame, protein: bool = False, window: int | None = None,
     out = of("header", bad_headers(targets)).unionByName(of("duplicate", duplicate_names(targets))).unionByName(of("low_complexity", low_complexity(targets, window, threshold, protein)))
     if protein:
         return out
-    residues = sequences.translate(sequences.pad_codons(F.col("seq")))
-    return out.unionByName(of("not_codons", targets.where(F.length("seq") % 3 != 0))).unionByName(of("stops", targets.where(sequences.internal_stops(residues) > 0))).unionByName(of("terminal_stop", targets.where((sequences.stops(residues) == 1) & residues.endswith("*"))))
+    seq = F.col("seq")
+    return out.unionByName(of("not_codons", targets.where(F.length("seq") % 3 != 0))).unionByName(of("stops", targets.where(sequences.stops_inside(seq)))).unionByName(of("terminal_stop", targets.where(sequences.ends_in_stop(seq) & (sequences.stop_codons(seq) == 1))))
 
 
 def control_rows(report: DataFrame, settings: dict[str, object]) -> DataFrame:

@@ -1,8 +1,9 @@
 """Operators against plain loops, and the decisions on odd behaviour."""
 
+import math
 import random
 import time
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,6 +164,23 @@ def test_target_checks_and_repairs(spark):
     assert targets.low_complexity(frame, window=3, threshold=0.0).count() == 2
 
 
+def test_least_entropy_of_batches(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ACGTN") for _ in range(rng.randrange(0, 40))) for _ in range(300)] + ["", None, "A", "日本ACG", "A" * 30]
+    frame = spark.createDataFrame([*enumerate(texts)], "i int, seq string")
+    of = lambda w: -sum(n / len(w) * math.log2(n / len(w)) for n in Counter(w).values()) if w else 0.0
+    for r in frame.select("seq", targets.least_entropy(20)(F.col("seq")).alias("h")).collect():
+        assert r.h is None if r.seq is None else r.h == pytest.approx(min(of(r.seq[k : k + 20]) for k in range(max(len(r.seq) - 20, 0) + 1)), abs=1e-9)
+
+
+def test_check_of_many_targets(spark):
+    """Sequences are scanned for stops once, not translated from the whole text codon by codon."""
+    part = spark.range(0, 300_000, numPartitions=4).selectExpr("id", "concat('t-g', id) as name", "substr(translate(concat(md5(cast(id as string)), md5('a')), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 60) as seq")
+    began = time.monotonic()
+    found = {r.section: r.n for r in targets.check(part, threshold=1.9).groupBy("section").agg(F.count("*").alias("n")).collect()}
+    assert time.monotonic() - began < 25 and found["stops"] > 100_000
+
+
 def test_reports(spark):
     stats = spark.createDataFrame([("s1", 10, 5), ("s2", 3, 50)], "sample string, genes long, bases long")
     assert [r.sample for r in reports.passing(stats, [("genes", "greater", 0.45)], genes=10).collect()] == ["s1"]  # round half even: 4
