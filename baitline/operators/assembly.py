@@ -6,6 +6,8 @@ so a gene's group holds its distinct k-mers, however many reads it has.
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -327,3 +329,68 @@ def blosum_distance(a: str, b: str, scores: dict[tuple[str, str], float] | None
 def protein_distance(a: str, b: str, scores: dict[tuple[str, str], float] | None = None) -> float:
     """The distance of two proteins after global alignment; a stop at the end is left out."""
     return blosum_distance(*global_alignment(a.upper().rstrip("*"), b.upper().rstrip("*")), scores)
+
+
+#: Cells of one table of scores, over all the pairs that are aligned together.
+ALIGNED_CELLS = 1 << 22
+
+
+def protein_distances(a: list[str], b: list[str], scores: dict[tuple[str, str], float] | None = None) -> np.ndarray:
+    """protein_distance of each pair; pairs of like lengths are aligned together, cell by cell as global_alignment does."""
+    x, y = ([s.upper().rstrip("*").encode() for s in side] for side in (a, b))
+    out = np.zeros(len(x))
+    order = sorted(range(len(x)), key=lambda i: (len(x[i]), len(y[i])))
+    at = 0
+    while at < len(order):
+        lot, n, m = [], 0, 0
+        for i in order[at:]:
+            wide, high = max(n, len(x[i])), max(m, len(y[i]))
+            if lot and (len(lot) + 1) * (wide + 1) * (high + 1) > ALIGNED_CELLS:
+                break
+            lot.append(i)
+            n, m = wide, high
+        at += len(lot)
+        out[lot] = _distances([x[i] for i in lot], [y[i] for i in lot], scores)
+    return out
+
+
+def _distances(x: list[bytes], y: list[bytes], scores: dict[tuple[str, str], float] | None, gap: int = -2) -> np.ndarray:
+    every = np.arange(len(x))
+    n, m = (np.array([*map(len, side)], np.int64) for side in (x, y))
+    rows, columns = max(int(n.max()), 1), max(int(m.max()), 1)
+    a, b = (np.frombuffer(b"".join(s.ljust(w, pad) for s in side), np.uint8).reshape(len(side), w) for side, w, pad in ((x, rows, b"\0"), (y, columns, b"\1")))
+    score = np.zeros((len(x), rows + 1, columns + 1), np.int32)
+    drop = gap * np.arange(columns + 1, dtype=np.int32)
+    best = np.zeros((len(x), columns + 1), np.int32)
+    for i in range(1, rows + 1):
+        best[:, 1:] = np.maximum(score[:, i - 1, :-1] + np.where(b == a[:, i - 1 : i], 2, -1), score[:, i - 1, 1:] + gap)
+        score[:, i] = np.maximum.accumulate(best - drop, axis=1) + drop
+    # the end: the best cell of the last row or column; of equal ones the last row, and then the farthest
+    low = np.iinfo(np.int32).min
+    last = np.where(np.arange(columns + 1) <= m[:, None], score[every, n], low)
+    side = np.where(np.arange(rows + 1) <= n[:, None], score[every, :, m], low)
+    far = lambda cells: cells.shape[1] - 1 - cells[:, ::-1].argmax(axis=1)
+    in_last = last.max(axis=1) >= side.max(axis=1)
+    i, j = np.where(in_last, n, far(side)), np.where(in_last, far(last), m)
+    steps = []
+    while len(on := np.flatnonzero((i > 0) & (j > 0))):
+        p, q = i[on], j[on]
+        here = score[on, p, q]
+        match = here == score[on, p - 1, q - 1] + np.where(a[on, p - 1] == b[on, q - 1], 2, -1)
+        up = ~match & (here == score[on, p - 1, q] + gap)
+        steps.append((on[match], a[on, p - 1][match], b[on, q - 1][match]))
+        i[on], j[on] = p - (match | up), q - ~up
+    pair, left, right = (np.concatenate([np.empty(0, np.int64), *(s[k] for s in steps)][::-1]) for k in range(3))
+    residue = np.zeros(256, bool)
+    residue[[*map(ord, RESIDUES)]] = True
+    counts = residue[left.astype(np.int64)] & residue[right.astype(np.int64)]
+    pair, left, right = pair[counts].astype(np.int64), left[counts].astype(np.int64), right[counts].astype(np.int64)
+    if scores:
+        table = np.zeros((256, 256))
+        for c, d in {(c, d) for k in np.unique(left * 256 + right).tolist() for c, d in product(map(chr, divmod(k, 256)), repeat=2)}:
+            table[ord(c), ord(d)] = scores[c, d]
+    else:
+        table = np.eye(256)
+    total = lambda c, d: np.bincount(pair, table[c, d], len(x))
+    most = np.maximum(np.maximum(total(left, left), total(right, right)), 0)
+    return np.where(most != 0, 1 - total(left, right) / np.where(most != 0, most, 1), 1.0)

@@ -130,24 +130,25 @@ def open_frames(targets: DataFrame, no_terminal_stop: bool = False) -> DataFrame
     """
     rows = None
     for offset in range(3):
-        padded = sequences.translate(sequences.pad_codons(F.substr(F.col("seq"), F.lit(offset + 1), F.length("seq"))))
-        bases = sequences.frame(F.col("seq"), offset)
-        part = targets.withColumns({"frame": F.lit(offset).cast("long"), "_judged": padded, "bases": bases}).withColumn("protein", sequences.translate(F.col("bases")))
+        rest = F.substr(F.col("seq"), F.lit(offset + 1), F.length("seq"))
+        part = targets.where(~sequences.stops_inside(rest, terminal_is_fine=not no_terminal_stop))
+        part = part.withColumns({"frame": F.lit(offset).cast("long"), "bases": sequences.frame(F.col("seq"), offset)})
         rows = part if rows is None else rows.unionByName(part)
-    n = sequences.stops(F.col("_judged"))
-    fine = n == 0 if no_terminal_stop else (n == 0) | ((n == 1) & F.col("_judged").endswith("*"))
-    return rows.where(fine).drop("_judged")
+    return rows.withColumn("protein", sequences.translate(F.col("bases")))
 
 
 def distances(pairs: DataFrame, scores: dict[tuple[str, str], float] | None = None) -> DataFrame:
     """pairs(..., protein, reference) with their distance after global alignment; null where there is no reference."""
     from pyspark.sql.functions import pandas_udf
 
-    from baitline.operators.assembly import protein_distance
+    from baitline.operators.assembly import protein_distances
 
     @pandas_udf("double")
     def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([None if y is None else protein_distance(x, y, scores) for x, y in zip(a, b)], dtype="float64")
+        known = b.notna()
+        out = pd.Series(np.nan, index=a.index, dtype="float64")
+        out[known] = protein_distances(a[known].tolist(), b[known].tolist(), scores)
+        return out.where(known, None)
 
     return pairs.withColumn("distance", distance("protein", "reference"))
 
@@ -174,8 +175,13 @@ def fix(
     nearest = distances(asked, scores).withColumn("_nth", F.row_number().over(name.orderBy(F.col("distance").asc_nulls_last(), "frame"))).where("_nth = 1")
     wrong = F.when(F.col("reference").isNull() & (F.col("_frames") > 1), "frame undetermined").when((F.col("distance") > maximum_distance) | (F.col("distance") >= 1), "too far from its reference")
     chosen = nearest.select("name", "gene", "frame", F.col("bases").alias("seq"), "distance", wrong.alias("_wrong"))
-    long_enough = relative_length(chosen.where("_wrong is null"), share).select("name", "gene").withColumn("_long", F.lit(True))
-    out = targets.select("name", "gene").distinct().join(chosen, ["name", "gene"], "left").join(long_enough, ["name", "gene"], "left")
+    # as relative_length, over those that aren't wrong; a window, so the distances are worked out once
+    right = lambda c: F.when(F.col("_wrong").isNull(), c)
+    gene = Window.partitionBy("gene")
+    size = F.length("seq")
+    long_enough = (F.count(right(F.lit(1))).over(gene) == 1) | (size > F.max(right(size)).over(gene) * share)
+    chosen = chosen.withColumn("_long", right(F.when(long_enough, True)))
+    out = targets.select("name", "gene").distinct().join(chosen, ["name", "gene"], "left")
     reason = F.coalesce(F.when(F.col("frame").isNull(), "no open frame"), F.col("_wrong"), F.when(F.col("_long").isNull(), "too short"))
     if low_complexity_names is not None:
         out = out.join(low_complexity_names.select("name").distinct().withColumn("low_complexity", F.lit(True)), "name", "left").withColumn("low_complexity", F.coalesce("low_complexity", F.lit(False)))

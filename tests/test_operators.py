@@ -181,6 +181,21 @@ def test_check_of_many_targets(spark):
     assert time.monotonic() - began < 25 and found["stops"] > 100_000
 
 
+def test_distances_of_batches():
+    rng = random.Random(8)
+    word = lambda most: "".join(rng.choice("ACDEFG*XB-") for _ in range(rng.randrange(0, most)))
+    a, b = [word(40) for _ in range(400)], [word(30) for _ in range(400)]
+    b[:200] = [x[rng.randrange(0, 3) :] + word(4) for x in a[:200]]
+    scores = {(x, y): float(6 if x == y else (ord(x) * ord(y)) % 5 - 3) for x in "ACDEFG" for y in "ACDEFG"}
+    for table in (None, scores):
+        assert assembly.protein_distances(a, b, table).tolist() == pytest.approx([assembly.protein_distance(x, y, table) for x, y in zip(a, b)], abs=1e-12)
+    assert assembly.protein_distances([], []).tolist() == []
+    many = ["".join(rng.choice("ACDEFGHIKL") for _ in range(30)) for _ in range(40_000)]
+    began = time.monotonic()
+    assembly.protein_distances(many, many[::-1])
+    assert time.monotonic() - began < 10
+
+
 def test_reports(spark):
     stats = spark.createDataFrame([("s1", 10, 5), ("s2", 3, 50)], "sample string, genes long, bases long")
     assert [r.sample for r in reports.passing(stats, [("genes", "greater", 0.45)], genes=10).collect()] == ["s1"]  # round half even: 4
