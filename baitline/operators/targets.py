@@ -113,8 +113,9 @@ def control_rows(report: DataFrame, settings: dict[str, object]) -> DataFrame:
     """(rank, key, values) of the control file for fix, from a report of check: settings by key, and the names with low complexity."""
     spark = report.sparkSession
     rows = spark.createDataFrame([(i, k, [str(v)]) for i, (k, v) in enumerate(settings.items())], "rank int, key string, values array<string>")
-    names = F.array_sort(F.collect_set(F.when(F.col("section") == "low_complexity", F.col("name"))))
-    low = report.agg(names.alias("n")).select(F.lit(len(settings)).alias("rank"), F.lit("LOW_COMPLEXITY_SEQUENCES").alias("key"), F.when(F.size("n") > 0, F.col("n")).otherwise(F.array(F.lit("None"))).alias("values"))
+    names = F.array_sort(F.collect_set("name"))
+    # a filter, so the report's other sections aren't worked out
+    low = report.where(F.col("section") == "low_complexity").agg(names.alias("n")).select(F.lit(len(settings)).alias("rank"), F.lit("LOW_COMPLEXITY_SEQUENCES").alias("key"), F.when(F.size("n") > 0, F.col("n")).otherwise(F.array(F.lit("None"))).alias("values"))
     return rows.unionByName(low)
 
 

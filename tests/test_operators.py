@@ -181,6 +181,16 @@ def test_check_of_many_targets(spark):
     assert time.monotonic() - began < 25 and found["stops"] > 100_000
 
 
+def test_control_rows_work_out_one_section(spark):
+    rows = spark.createDataFrame([("a-g1", "g1", "A" * 120), ("b_g1", "g1", "ACGTTGCA" * 15)], "name string, gene string, seq string")
+    found = targets.control_rows(targets.check(rows), {"SLIDING_WINDOW_SIZE": 100})
+    assert {r.key: r["values"] for r in found.collect()} == {"SLIDING_WINDOW_SIZE": ["100"], "LOW_COMPLEXITY_SEQUENCES": ["a-g1"]}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "least" in plan and "RLIKE" not in plan and "regexp" not in plan
+    none = targets.control_rows(targets.check(rows.where("false")), {})
+    assert [r["values"] for r in none.collect()] == [["None"]]
+
+
 def test_distances_of_batches():
     rng = random.Random(8)
     word = lambda most: "".join(rng.choice("ACDEFG*XB-") for _ in range(rng.randrange(0, most)))
