@@ -20,14 +20,15 @@ def _votes_by_class(of_read: DataFrame, of_target: DataFrame) -> DataFrame:
     """(read_id, target, votes): shared k-mers of (read_id, kmer) and (target, kmer), both distinct.
 
     K-mers that occur in the same targets form a class, told apart by two digests and a count. A read's k-mers are
-    counted by class, and only these counts are multiplied with the classes' targets.
+    counted by class, and only these counts are multiplied with the classes' targets. The size of a table of k-mers is
+    guessed from that of the compressed files, which is far too little, so no side is left to be broadcast.
     """
     name = F.col("target").cast("string")
     key = F.struct(F.count("*").alias("n"), F.bit_xor(F.xxhash64(name)).alias("x"), F.bit_xor(F.xxhash64(F.reverse(name), F.lit(7))).alias("y"))
     of_kmer = of_target.groupBy("kmer").agg(key.alias("class"))
-    members = of_target.join(of_kmer, "kmer").select("class", "target").distinct()
-    counted = of_read.join(of_kmer, "kmer").groupBy("read_id", "class").agg(F.count("*").alias("n"))
-    return counted.join(members, "class").groupBy("read_id", "target").agg(F.sum("n").alias("votes"))
+    members = of_target.join(of_kmer.hint("merge"), "kmer").select("class", "target").distinct()
+    counted = of_read.join(of_kmer.hint("merge"), "kmer").groupBy("read_id", "class").agg(F.count("*").alias("n"))
+    return counted.join(members.hint("merge"), "class").groupBy("read_id", "target").agg(F.sum("n").alias("votes"))
 
 
 def map_reads(reads: DataFrame, targets: DataFrame, k: int = 21, least: int = 3, most: int = 10, both_strands: bool = False, translated: bool = False, classes: bool = True) -> DataFrame:
@@ -46,7 +47,7 @@ def map_reads(reads: DataFrame, targets: DataFrame, k: int = 21, least: int = 3,
     seeds = lambda frame, name: frame.select(name, F.explode(kmers(F.col("seq"), k)).alias("kmer")).distinct()
     of_target = seeds(targets, "target")
     of_read = seeds(reads, "read_id")
-    votes = _votes_by_class(of_read, of_target) if classes else of_read.join(of_target, "kmer").groupBy("read_id", "target").agg(F.count("*").alias("votes"))
+    votes = _votes_by_class(of_read, of_target) if classes else of_read.join(of_target.hint("merge"), "kmer").groupBy("read_id", "target").agg(F.count("*").alias("votes"))
     votes = votes.where(F.col("votes") >= least)
     rank = F.row_number().over(Window.partitionBy("read_id").orderBy(F.desc("votes"), "target"))
     return votes.withColumn("rank", rank).where(F.col("rank") <= most).drop("rank")

@@ -206,6 +206,16 @@ def test_distances_of_batches():
     assert time.monotonic() - began < 10
 
 
+def test_kmers_are_never_broadcast(spark, tmp_path):
+    """A small file holds many k-mers; the plan guesses their size from the file's, so it must not choose a broadcast."""
+    spark.range(1000).selectExpr("id as read_id", "concat('t', id % 7) as target", "repeat(substr(translate(md5(cast(id as string)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 30), 2) as seq").write.parquet(f"{tmp_path}/seqs")
+    rows = spark.read.parquet(f"{tmp_path}/seqs")
+    for classes in (True, False):
+        found = mapping.map_reads(rows.select("read_id", "seq"), rows.select("target", "seq"), classes=classes)
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() >= 1000
+
+
 def test_reports(spark):
     stats = spark.createDataFrame([("s1", 10, 5), ("s2", 3, 50)], "sample string, genes long, bases long")
     assert [r.sample for r in reports.passing(stats, [("genes", "greater", 0.45)], genes=10).collect()] == ["s1"]  # round half even: 4
