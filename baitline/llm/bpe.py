@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a transducer lexicon.
 
-Frequent words (of a bounded sample of documents; the bound is SAMPLE_DOCS, and it decides speed only) are compiled
-into a minimal acyclic transducer whose outputs are their ids. The file goes to the shared folder and from there to
+The frequent words of all texts, counted in a pass of its own, are compiled into a minimal acyclic transducer whose
+outputs are their ids. The file goes to the shared folder and from there to
 each executor, where all workers memory-map the one copy. A word that is not in it is merged exactly, by the library,
 and kept in a bounded worker cache. Decoding goes from ids back to text through the vocabulary.
 
@@ -28,9 +28,8 @@ from baitline.llm.common import OnBatches, kept, shared_dir, short_batches, text
 from baitline.llm.transducer import Lexicon, compile_lexicon
 
 LEXICON_WORDS = 50_000
-SAMPLE_DOCS = 2_000
-#: Longer texts are not sampled, so what the driver holds is bounded.
-SAMPLE_CHARS = 32_768
+#: A worker hands its counts on when it holds this many words, so its memory is bounded.
+COUNTED_WORDS = 200_000
 #: Longer words are left to the worker caches, so the lexicon's size is bounded.
 LEXICON_CHARS = 48
 
@@ -46,15 +45,37 @@ def merge_word(path: str, word: str) -> list[int]:
     return [t.id for t in tokens.merged(path, word)]
 
 
-def frequent_lexicon(docs: DataFrame, path: str, text_col: str = "text", words: int = LEXICON_WORDS, sample_docs: int = SAMPLE_DOCS) -> bytes:
+def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """(word, n): partial counts of the words of texts; a text that goes through the library whole has none."""
     splitter = tokens.Splitter(path, tokens.WORD_PATTERN, lower=True)
     seen: Counter[str] = Counter()
-    for row in docs.select(text_or_empty(text_col).alias("t")).where(F.length("t") <= SAMPLE_CHARS).take(sample_docs):
-        if splitter.safe(row.t):
-            for special, part in splitter.pieces(row.t):
-                if not special:
-                    seen.update(splitter.words(part))
-    return compile_lexicon((w.encode(), merge_word(path, w)) for w, _ in seen.most_common(words) if len(w) <= LEXICON_CHARS)
+
+    def out() -> pa.RecordBatch:
+        words = [w for w in seen if len(w) <= LEXICON_CHARS]
+        rows = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], names=["word", "n"])
+        seen.clear()
+        return rows
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            if splitter.safe(text):
+                for special, part in splitter.pieces(text):
+                    if not special:
+                        seen.update(splitter.words(part))
+            if len(seen) >= COUNTED_WORDS:
+                yield out()
+    yield out()
+
+
+def frequent_words(docs: DataFrame, path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> list[str]:
+    """The most frequent words over every text of docs, ties by the word."""
+    short_batches(docs.sparkSession)
+    counts = docs.select(text_or_empty(text_col).alias("t")).mapInArrow(OnBatches(_counted, path), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(words).collect()]
+
+
+def frequent_lexicon(docs: DataFrame, path: str, text_col: str = "text", words: int = LEXICON_WORDS) -> bytes:
+    return compile_lexicon((w.encode(), merge_word(path, w)) for w in frequent_words(docs, path, text_col, words))
 
 
 def publish(spark: SparkSession, data: bytes) -> str:

@@ -242,6 +242,13 @@ def test_links_have_the_components_of_all_pairs(spark, distance, total):
     assert {frozenset(x) for x in mine.values()} == {frozenset(x) for x in other.values()}
 
 
+def test_lexicon_words_are_counted_over_all_texts(spark):
+    """Words of late rows and of long texts count like those of the first 2,000 rows."""
+    rows = [(i, "early") for i in range(2_500)] + [(2_500 + i, "late late") for i in range(2_500)] + [(5_000, "long " * 20_000)]
+    found = bpe.frequent_words(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path("word_bpe_49k.json"), words=2)
+    assert found == ["long", "late"]
+
+
 def test_drop_near(spark, odd, none):
     rng = random.Random(3)
     text = random_words(rng, 400, 5000)
