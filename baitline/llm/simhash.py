@@ -10,8 +10,9 @@ Within a cell links are found by growing components from pivots: what a pivot re
 group of copies costs few passes, and only the links of a spanning forest come out, never all pairs of a group. Equal
 fingerprints are one point. Components of the forest are those of all links.
 
-The pipeline's stage (drop_near) asks for a Jaccard similarity of 0.8 instead, which is too far for the grid: there
-candidates come from bands of min-hashes, fingerprints rule most out, and the shingles themselves decide.
+The pipeline's stage (drop_near) asks for a Jaccard similarity of 0.8 instead. Its candidates are the components of the
+same grid join, over fingerprints of sets and at a larger distance; pairs that even this doesn't reach share a band of
+min-hashes. In both, the shingles themselves decide.
 
 Defined cases: null and empty texts have fingerprint 0 and link like any other; a text with fewer words than a shingle
 is one shingle; component_id is the smallest id reachable (null if all ids of the component are null); repeated rows
@@ -36,6 +37,8 @@ DISTANCE = 4
 SHINGLE = 4
 SEED = 42
 SEGMENTS = 32
+#: Bits within which the grid joins the fingerprints of near copies; three groups.
+NEAR_DISTANCE = 8
 #: Near copies: the similarity as a fraction, bands of min-hashes, and bits of 128 beyond which none are.
 SIMILARITY = (4, 5)
 BANDS = 32
@@ -361,13 +364,23 @@ def _to_rest(members: pa.Table, rest: pa.Table) -> pa.Table:
     return _link_table(links)
 
 
-def alike(prints: DataFrame, hot: int = HOT_CELL) -> DataFrame:
+def grid_cells(prints: DataFrame, distance: int = NEAR_DISTANCE) -> DataFrame:
+    """(node, cell) for the nodes of prints whose fingerprints the grid joins: the cell is their component's."""
+    roots = connected_components(linked(prints.select("fp"), distance)).select(F.col("node").alias("_fp"), "component")
+    known = prints.select("node", "fp").distinct()
+    several = known.groupBy("fp").agg(F.count("*").alias("n")).where("n > 1").select(F.col("fp").alias("_fp"), F.col("fp").alias("component"))
+    cells = roots.unionByName(several).distinct()
+    return known.join(cells, F.col("fp") == F.col("_fp")).select("node", F.xxhash64("component", F.lit(3)).alias("cell"))
+
+
+def alike(prints: DataFrame, hot: int = HOT_CELL, distance: int = NEAR_DISTANCE) -> DataFrame:
     """(a, b): links between the nodes of prints (rows of SKETCH) whose components are those of all alike sets that share a cell.
 
-    Cells with the same nodes are looked at once. A cell of more than ``hot`` sets is no task's alone: see _hot_links.
+    A cell is a component of the grid join or a band of min-hashes. Cells with the same nodes are looked at once. A cell of more than ``hot`` sets is no task's alone: see _hot_links.
     """
     n = max(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), partitions_for(prints))
-    placed = prints.select("node", F.explode("cells").alias("cell")).repartition(n, "cell").distinct()
+    banded = prints.select("node", F.explode("cells").alias("cell"))
+    placed = banded.unionByName(checkpointed(grid_cells(prints, distance))).repartition(n, "cell").distinct()
     shared = placed.groupBy("cell").agg(F.count("*").alias("n"), F.bit_xor("node").alias("nodes")).where("n > 1")
     once = checkpointed(shared.groupBy("n", "nodes").agg(F.min("cell").alias("cell")).select("cell", "n"))
     cells = once.where(F.col("n") <= hot).select("cell")
@@ -420,8 +433,9 @@ def drop_near(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str
     """docs without near copies: of each component of links the row with the smallest id stays; docs' own columns.
 
     Documents are linked if their sets of k-word shingles have a Jaccard similarity of 0.8 or more. Fingerprints of
-    such documents differ by about 10 of 64 bits, where grid cells tell little apart; candidates therefore share one
-    of BANDS groups of BAND_ROWS min-hashes (6 in 100,000 pairs at 0.8 share none, fewer above). Two SimHash
+    such documents differ by about 10 of 64 bits; the grid joins those within NEAR_DISTANCE, and what it joins, step by
+    step, is compared. Farther pairs are compared where they share one of BANDS groups of BAND_ROWS min-hashes (6 in
+    100,000 pairs at 0.8 share none, fewer above). Two SimHash
     fingerprints of the sets rule out most others (APART is far beyond the 19 of 128 bits expected at 0.8), and the
     rest are compared shingle by shingle. Rows equal in id and text stay or go together, in the row that has the
     smallest id; null ids come last.

@@ -242,6 +242,18 @@ def test_links_have_the_components_of_all_pairs(spark, distance, total):
     assert {frozenset(x) for x in mine.values()} == {frozenset(x) for x in other.values()}
 
 
+def test_grid_joins_near_copies_without_bands(spark):
+    """The grid over the sets' fingerprints proposes pairs by itself; the shingles decide on them."""
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+    other = [f"x{rng.randrange(10**6)}" for _ in range(600)]
+    texts = [" ".join(words), " ".join([*words[:300], "new", *words[301:]]), " ".join(other), " ".join([*other, "more"]), ""]
+    rows = [(i, i, *(v - (1 << 64) if v >= 1 << 63 else v for v in found[:3]), found[3], []) for i, found in enumerate(simhash.sketch(t, 5) for t in texts)]
+    assert all((rows[a][3] ^ rows[b][3]).bit_count() <= simhash.NEAR_DISTANCE for a, b in ((0, 1), (2, 3)))
+    links = simhash.alike(spark.createDataFrame(rows, simhash.SKETCH)).collect()
+    assert {frozenset((r.a, r.b)) for r in links} == {frozenset((rows[a][2], rows[b][2])) for a, b in ((0, 1), (2, 3))}
+
+
 def test_lexicon_words_are_counted_over_all_texts(spark):
     """Words of late rows and of long texts count like those of the first 2,000 rows."""
     rows = [(i, "early") for i in range(2_500)] + [(2_500 + i, "late late") for i in range(2_500)] + [(5_000, "long " * 20_000)]
