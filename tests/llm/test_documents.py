@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -544,6 +545,58 @@ def test_a_passage_whose_pieces_very_many_share_is_found(spark):
     assert all(r.n_links == 0 for i, r in got.items() if i not in (150, 350))
 
 
+def test_passages_of_very_many_documents_lose_no_link(spark):
+    """Hundred and twenty different texts share sixty words, ninety others a line of them; copies; near copies with a word more."""
+    rng = random.Random(13)
+    fill = lambda n: random_words(rng, n, 1_000_000)
+    passage = random_words(rng, 60, 100_000).split()
+    line, other = passage[10:30], random_words(rng, 80, 100_000).split()
+    texts = {i: " ".join([fill(40), *passage, fill(40)]) for i in range(120)}
+    texts |= {i: " ".join([fill(50), *line, fill(50)]) for i in range(120, 210)}
+    texts |= {i: texts[7].upper() for i in range(210, 260)}
+    # each has four words of its own and one more word than the others at its own place
+    for i in range(260, 330):
+        edited = [fill(1) if k in (8, 28, 48, 68) else w for k, w in enumerate(other)]
+        edited.insert(10 + (i - 260) % 3 * 20, fill(1))
+        texts[i] = " ".join([fill(30), *edited, fill(30)])
+    got = {r.doc_id: r for r in passages.passage_classes(spark.createDataFrame([*texts.items()], "doc_id long, text string")).collect()}
+    assert [got[i].n_links for i in range(120)] == [169] * 120 and {got[i].class_id for i in range(120)} == {0}
+    assert [got[i].n_links for i in range(120, 210)] == [0] * 90 and all(got[i].class_id == i for i in range(120, 210))
+    assert [got[i].n_links for i in range(210, 260)] == [169] * 50 and {got[i].class_id for i in range(210, 260)} == {0}
+    assert [got[i].n_links for i in range(260, 330)] == [69] * 70 and {got[i].class_id for i in range(260, 330)} == {260}
+
+
+def test_tiles_against_each_pair():
+    """A tile, cut in two sides or not, against chaining of each pair; forests join what links join."""
+    rng = random.Random(14)
+    base = random_words(rng, 90, 100_000).split()
+    texts = []
+    for n in range(60):
+        edited = [w if rng.random() < 1 - n % 4 / 15 else random_words(rng, 1, 1_000_000) for w in base[rng.randrange(40) : rng.randrange(50, 90)]]
+        for _ in range(n % 3):
+            edited.insert(rng.randrange(len(edited) + 1), "more")
+        texts.append(" ".join([random_words(rng, 30, 100_000), *edited, random_words(rng, 30, 100_000)]).encode())
+    side = passages.Side([zstandard.compress(t) for t in texts], 254)
+    want = np.array([[a != b and passages.chained(side.words[a], side.seeds[a], side.words[b], side.seeds[b]) for b in range(60)] for a in range(60)])
+    want |= want.T
+    got = passages.tile_links(side, side.padded(255), True)
+    assert want.sum() > 200 and not (want & ~got).any()
+    for a, b in np.argwhere(got & ~want).tolist():  # one seed, but a passage in line
+        shifts = [[x == y for x, y in zip(texts[a].split()[max(0, d) :], texts[b].split()[max(0, -d) :])] for d in range(-60, 61)]
+        assert any(sum(s[i:j]) >= 0.8 * (j - i) for s in shifts for i in range(len(s)) for j in range(i + 45, len(s) + 1))
+    halves = [passages.Side([zstandard.compress(t) for t in part], 254 + s) for s, part in enumerate((texts[:25], texts[25:]))]
+    assert (passages.tile_links(*halves, False) >= want[:25, 25:]).all()
+    for linked, same, nodes in ((got, True, lambda a, b: (a, b)), (got[:25, 25:], False, lambda a, b: (a, 25 + b))):
+        roots = []
+        for pairs in (np.argwhere(linked).tolist(), passages.forest(linked, same)):
+            root = [*range(60)]
+            for a, b in pairs:
+                x, y = nodes(a, b)
+                root = [min(root[x], root[y]) if r in (root[x], root[y]) else r for r in root]
+            roots.append(root)
+        assert roots[0] == roots[1] and len(passages.forest(linked, same)) == 60 - len(set(roots[1]))
+
+
 @pytest.mark.parametrize(("share", "least"), [(0.9, 0.98), (0.85, 0.9)])
 def test_edited_passages_are_found(spark, share, least):
     """Pairs that share a hundred words of which some, drawn at random, were replaced."""
