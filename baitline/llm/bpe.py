@@ -3,7 +3,8 @@
 The frequent words of all texts, counted in a pass of its own, are compiled into a minimal acyclic transducer whose
 outputs are their ids. The file goes to the shared folder and from there to
 each executor, where all workers memory-map the one copy. A word that is not in it is merged exactly, by the library,
-and kept in a bounded worker cache. Decoding goes from ids back to text through the vocabulary.
+and kept in a bounded worker cache, as are stretches without white space, so one met again isn't cut into words.
+Decoding goes from ids back to text through the vocabulary.
 
 Defined cases: null text counts as empty (no ids, empty decoded text); special strings inside a text become their one
 id; repeated rows are encoded each; extra columns are ignored or, in encode_documents, kept.
@@ -28,7 +29,7 @@ from baitline.llm.common import OnBatches, kept, shared_dir, short_batches, text
 from baitline.llm.transducer import Lexicon, compile_lexicon
 
 LEXICON_WORDS = 50_000
-#: A worker hands its counts on when it holds this many words, so its memory is bounded.
+#: A worker hands its counts on when it holds this many stretches without white space, so its memory is bounded.
 COUNTED_WORDS = 200_000
 #: Longer words are left to the worker caches, so the lexicon's size is bounded.
 LEXICON_CHARS = 48
@@ -48,20 +49,23 @@ def merge_word(path: str, word: str) -> list[int]:
 def _counted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """(word, n): partial counts of the words of texts; a text that goes through the library whole has none."""
     splitter = tokens.Splitter(path, tokens.WORD_PATTERN, lower=True)
-    seen: Counter[str] = Counter()
+    seen: Counter[str] = Counter()  # of chunks, which are cut into words once
 
     def out() -> pa.RecordBatch:
-        words = [w for w in seen if len(w) <= LEXICON_CHARS]
-        rows = pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([seen[w] for w in words], pa.int64())], names=["word", "n"])
+        words: dict[str, int] = {}
+        for chunk, n in seen.items():
+            for w in splitter.findall(chunk):
+                words[w] = words.get(w, 0) + n
         seen.clear()
-        return rows
+        words = {w: n for w, n in words.items() if len(w) <= LEXICON_CHARS}
+        return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if splitter.safe(text):
                 for special, part in splitter.pieces(text):
                     if not special:
-                        seen.update(splitter.words(part))
+                        seen.update(splitter.chunks(part))
             if len(seen) >= COUNTED_WORDS:
                 yield out()
     yield out()
@@ -98,17 +102,30 @@ class Codec:
     """Encodes and decodes texts in one worker."""
 
     def __init__(self, path: str, lexicon: Lexicon):
-        self.path, self.lexicon = path, lexicon
+        self.path, self.lexicon, self.names = path, lexicon, _names(path)
         self.splitter = tokens.Splitter(path, tokens.WORD_PATTERN, lower=True)
         self.words = tokens.Words({}, self._find)
+        self.chunks = tokens.Words({}, self._chunk)
 
     def _coded(self, ids) -> tuple[bytes, str]:
-        names = _names(self.path)
+        names = self.names
         return struct.pack(f"<{len(ids)}I", *ids), " ".join([names[i] for i in ids])
 
     def _find(self, word: str) -> tuple[bytes, str]:
         ids = self.lexicon.find(word.encode())
-        return self._coded(merge_word(self.path, word) if ids is None else list(ids))
+        if ids is None:
+            return self._coded(merge_word(self.path, word))
+        out = self.words.given[word] = self._coded(ids)  # words of the lexicon stay when the cache is emptied
+        return out
+
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        found = [self.words[w] for w in self.splitter.findall(chunk)]
+        return found[0] if len(found) == 1 else self._joined(found)
+
+    @staticmethod
+    def _joined(found: list[tuple[bytes, str]]) -> tuple[bytes, str]:
+        """Parts in order; those without ids leave no space in the text."""
+        return b"".join([ids for ids, _ in found]), " ".join([text for ids, text in found if ids])
 
     def __call__(self, text: str) -> tuple[bytes, str]:
         """(ids as little-endian uint32, decoded text)."""
@@ -119,9 +136,8 @@ class Codec:
             if special:
                 found.append(self._coded([tokens.load(self.path).token_to_id(part)]))
             else:
-                found.extend(map(self.words.__getitem__, self.splitter.words(part)))
-        found = [x for x in found if x[0]]
-        return b"".join([x[0] for x in found]), " ".join([x[1] for x in found])
+                found.extend(map(self.chunks.__getitem__, self.splitter.chunks(part)))
+        return self._joined(found)
 
 
 def _run(batches: Iterator[pa.RecordBatch], key: str, path: str, name: str, more: tuple[str, ...]) -> Iterator[pa.RecordBatch]:

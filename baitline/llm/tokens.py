@@ -20,6 +20,9 @@ from tokenizers import Tokenizer
 BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Fixed value: the splitting pattern of the word BPE.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: str.split() cuts at these, the libraries' expressions don't.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+SPACELESS = r"\S+"
 #: Entries a worker's cache may hold beyond what it was given.
 CACHE_ENTRIES = 200_000
 #: Longer pre-tokens are not kept, so a cache's bytes are bounded too.
@@ -40,12 +43,12 @@ class Words(dict):
 
     def __init__(self, given: dict, find: Callable, most: int = CACHE_ENTRIES):
         super().__init__(given)
-        self.given, self.find, self.most = given, find, len(given) + most
+        self.given, self.find, self.most = given, find, most
 
     def __missing__(self, word):
         if len(word) > CACHE_CHARS:
             return self.find(word)
-        if len(self) >= self.most:
+        if len(self) >= len(self.given) + self.most:
             self.clear()
             self.update(self.given)
         out = self[word] = self.find(word)
@@ -58,6 +61,7 @@ class Splitter:
     def __init__(self, path: str, pattern: str, lower: bool):
         self.tokenizer = load(path)
         self.findall = regex.compile(pattern).findall
+        self.spaceless = regex.compile(SPACELESS).findall
         self.lower = lower
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
@@ -100,6 +104,12 @@ class Splitter:
     def words(self, part: str) -> list[str]:
         return self.findall(part.lower() if self.lower else part)
 
+    def chunks(self, part: str) -> list[str]:
+        """Stretches without white space. No word of WORD_PATTERN reaches beyond one, so its words are those of its chunks."""
+        if self.lower:
+            part = part.lower()
+        return self.spaceless(part) if any(c in part for c in SEPARATORS) else part.split()
+
 
 @lru_cache(maxsize=1)
 def _byte_alphabet() -> dict[int, str]:
@@ -116,6 +126,8 @@ def _latin_table() -> dict[int, str]:
 
 def byte_chars(word: str) -> str:
     """A pre-token as the byte-level alphabet writes it."""
+    if word.isascii() and word.isalpha():  # these stand for themselves
+        return word
     return word.encode("utf-8").decode("latin-1").translate(_latin_table())
 
 

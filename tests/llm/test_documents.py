@@ -262,6 +262,30 @@ def test_lexicon_words_are_counted_over_all_texts(spark):
     assert found == ["long", "late"]
 
 
+def test_stretches_without_white_space_are_cut_once(monkeypatch):
+    """A stretch met again is not cut into words again; what is found is what the library gives, separators and all."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    codec = bpe.Codec(path, bpe.Lexicon(bpe.compile_lexicon((w.encode(), bpe.merge_word(path, w)) for w in ("the", "word", "!!"))))
+    cut = Counter()
+    real = codec.splitter.findall
+    monkeypatch.setattr(codec.splitter, "findall", lambda part: (cut.update([part]), real(part))[1])
+    odd = ["The word's, the WORD's!!  the\nword's, don't_'s 12\xa03", "a\x1cb \x1d\x1e c\x1f", "ÉCOLE\u2003l'été\x85'll it'LL", "<|endoftext|>the<|startoftext|> word" + "x" * 90, ""]
+    for text in odd * 2:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert codec(text) == (struct.pack(f"<{len(ids)}I", *ids), library.decode(ids, skip_special_tokens=False))
+    assert cut["word's,"] == cut["the"] == 1 and max(len(c) for c in cut) < 100
+
+
+def test_words_of_the_lexicon_stay_in_a_full_cache():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    codec = bpe.Codec(path, bpe.Lexicon(bpe.compile_lexicon([(b"the", bpe.merge_word(path, "the"))])))
+    codec.words.most = 2
+    for word in ("the", "one", "two", "three", "four"):
+        assert codec.words[word][0] == struct.pack(f"<{len(bpe.merge_word(path, word))}I", *bpe.merge_word(path, word))
+    assert "the" in dict.keys(codec.words) and len(codec.words) <= 3
+
+
 def test_drop_near(spark, odd, none):
     rng = random.Random(3)
     text = random_words(rng, 400, 5000)
