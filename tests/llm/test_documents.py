@@ -1,8 +1,10 @@
 """Operators on documents against plain versions, on a small table and on one of odd cases."""
 
+import gc
 import hashlib
 import random
 import struct
+import time
 from collections import Counter, defaultdict
 from pathlib import Path
 from zlib import crc32
@@ -551,6 +553,19 @@ def test_passages_against_all_pairs(spark, docs, texts):
     assert len(want & {(min(p), max(p)) for p in pairs}) >= 0.9 * len(want)
 
 
+def test_shuffles_of_finished_steps_are_given_back(spark, docs, monkeypatch):
+    """When passages are worked out, the shuffles that seeds and chains went through are gone."""
+    live = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    for _ in range(4):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+    seen, real = [live()], passages.checkpointed
+    monkeypatch.setattr(passages, "checkpointed", lambda df: (seen.append(live()), real(df))[1])
+    passages.passage_classes(docs)
+    assert seen[2] <= seen[0]
+
+
 def test_a_passage_whose_pieces_very_many_share_is_found(spark):
     """Two documents share sixty words; four hundred others, before and after them, hold pieces of eighteen of these words."""
     rng = random.Random(11)
