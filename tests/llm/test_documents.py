@@ -605,6 +605,32 @@ def test_passages_of_very_many_documents_lose_no_link(spark):
     assert [got[i].n_links for i in range(260, 330)] == [69] * 70 and {got[i].class_id for i in range(260, 330)} == {260}
 
 
+def test_places_of_a_common_line_are_joined_where_words_around_agree():
+    """Sixty pairs with a line of eighteen words in common to all: 18 of the 27 words beside it are equal in a pair."""
+    rng = np.random.default_rng(15)
+    around = rng.integers(2, 1 << 16, (120, passages.AROUND)).astype("<u2")
+    around[:, 36:54] = around[0, 36:54]
+    for n in range(0, 120, 2):
+        left = rng.integers(0, 28)
+        flank = np.array([*range(36 - left, 36), *range(54, 81 - left)])
+        equal = rng.choice(flank, 18, replace=False)
+        around[n + 1, equal] = around[n, equal]
+    around[4:6, :20] = 0  # beyond the text, where nothing is equal
+    for brute in (2048, 0):
+        label = passages.near_places(around, np.arange(120), brute)
+        fine = [n for n in range(0, 120, 2) if n != 4]
+        assert all(label[n] == label[n + 1] for n in fine) and len(set(label[fine].tolist())) == 59
+
+
+def test_texts_with_only_a_line_in_common_go_to_no_tile(spark):
+    rng = random.Random(16)
+    fill = lambda n: random_words(rng, n, 1_000_000)
+    line = fill(18)
+    rows = [(i, " ".join([fill(50), line, fill(50)])) for i in range(100)]
+    kin = passages._shared(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")[3]
+    assert kin.count() == 0
+
+
 def test_tiles_against_each_pair():
     """A tile, cut in two sides or not, against chaining of each pair; forests join what links join."""
     rng = random.Random(14)
